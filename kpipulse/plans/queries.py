@@ -176,3 +176,109 @@ def kpi_minute_long(spark, sf_dir):
 )
 def kpi_hour_long(spark, sf_dir):
     return finish(P.gold(spark, sf_dir, "1 hour"), ("value",))
+
+
+# -------------------------------------------------------------- detector ----
+# Driver events are sparse (about 14 per hour at sf0.01), so the detector runs
+# on 1-hour windows: lookback 120 windows, 5 residuals, 6-hour cooldown.
+from ..contract import DetectorParams  # noqa: E402
+from ..operators import detect as D  # noqa: E402
+
+DET = DetectorParams(lookback_s=120 * 3600, rolling=5, alpha=0.2, warn_z=3.0, crit_z=5.0, cooldown_s=6 * 3600, ignore_recent_s=0)
+# Lower denominators so the rate metrics are scored on sparse data.
+DET_RATES = DetectorParams(
+    metrics=("purchase_conversion", "add_to_cart_rate", "checkout_rate"),
+    lookback_s=120 * 3600,
+    rolling=5,
+    cooldown_s=6 * 3600,
+    ignore_recent_s=0,
+    min_denom_clicks=3,
+    min_denom_add_to_cart=3,
+)
+AS_OF = "2024-01-20 12:30:00"
+_SCORE_COLS = ("value", "baseline", "residual", "mu", "sigma", "z", "score")
+
+
+def _hour_kpi_ctes() -> tuple[str, ...]:
+    return (O.stage_ctes(), O.kpi_wide_cte("kw", "silver", "1 hour"), O.kpi_long_cte("kl", "kw"))
+
+
+def _det_sql(p: DetectorParams, select: str, as_of: str | None = None) -> str:
+    return O.with_ctes(*_hour_kpi_ctes(), O.detector_ctes("kl", p, as_of)) + "\n" + select
+
+
+def _hour_kpi(spark, sf_dir):
+    return P.gold(spark, sf_dir, "1 hour")
+
+
+@register(
+    "ewma_baseline",
+    _det_sql(DET, "SELECT metric, window_start, round(value, 6) AS value, round(baseline, 6) AS baseline, n_points FROM scores"),
+)
+def ewma_baseline(spark, sf_dir):
+    s = D.score_all(_hour_kpi(spark, sf_dir), DET)
+    return finish(s.select("metric", "window_start", "value", "baseline", "n_points"), _SCORE_COLS)
+
+
+@register(
+    "residual_zscore",
+    _det_sql(
+        DET,
+        "SELECT metric, window_start, round(residual, 6) AS residual, round(mu, 6) AS mu, "
+        "round(sigma, 6) AS sigma, round(z, 6) AS z FROM scores",
+    ),
+)
+def residual_zscore(spark, sf_dir):
+    s = D.score_all(_hour_kpi(spark, sf_dir), DET)
+    return finish(s.select("metric", "window_start", "residual", "mu", "sigma", "z"), _SCORE_COLS)
+
+
+@register(
+    "rate_guard",
+    _det_sql(
+        DET_RATES,
+        "SELECT metric, window_start, clicks_t, carts_t, round(value, 6) AS value, round(z, 6) AS z FROM scores",
+    ),
+)
+def rate_guard(spark, sf_dir):
+    s = D.score_all(_hour_kpi(spark, sf_dir), DET_RATES)
+    return finish(s.select("metric", "window_start", "clicks_t", "carts_t", "value", "z"), _SCORE_COLS)
+
+
+@register(
+    "anomaly_candidates",
+    _det_sql(DET, "SELECT metric, window_start, round(z, 6) AS score, severity FROM cands"),
+)
+def anomaly_candidates(spark, sf_dir):
+    c = D.candidates(D.score_all(_hour_kpi(spark, sf_dir), DET), DET)
+    return finish(c.select("metric", "window_start", F.col("z").alias("score"), "severity"), _SCORE_COLS)
+
+
+_ALERT_OUT = ("alert_id", "window_start", "metric", "value", "baseline", "score", "severity", "rule_name")
+
+
+@register(
+    "anomaly_alerts",
+    _det_sql(
+        DET,
+        "SELECT alert_id, window_start, metric, round(value, 6) AS value, round(baseline, 6) AS baseline, "
+        "round(score, 6) AS score, severity, rule_name FROM alerts_rows",
+    ),
+)
+def anomaly_alerts(spark, sf_dir):
+    a = D.detect(_hour_kpi(spark, sf_dir), DET)
+    return finish(a.select(*_ALERT_OUT), _SCORE_COLS)
+
+
+@register(
+    "detect_as_of",
+    _det_sql(
+        DET,
+        "SELECT metric, window_start, round(value, 6) AS value, round(baseline, 6) AS baseline, "
+        "round(z, 6) AS z, n_points FROM scores",
+        AS_OF,
+    ),
+)
+def detect_as_of(spark, sf_dir):
+    s = D.score_as_of(_hour_kpi(spark, sf_dir), F.lit(AS_OF).cast("timestamp"), DET)
+    return finish(s.select("metric", "window_start", "value", "baseline", "z", "n_points"), _SCORE_COLS)
