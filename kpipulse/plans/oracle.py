@@ -123,7 +123,7 @@ def with_ctes(*ctes: str) -> str:
     return ("WITH RECURSIVE " if "d_walk AS" in body else "WITH ") + body
 
 
-def detector_ctes(kpi: str, p, as_of: str | None = None) -> str:
+def detector_ctes(kpi: str, p, as_of: str | None = None, pfx: str = "") -> str:
     """CTEs over a long KPI relation ``kpi``: scores, cands, alerts_rows.
 
     Written the straightforward way: a window-ordered poll list, a range join
@@ -151,80 +151,80 @@ def detector_ctes(kpi: str, p, as_of: str | None = None) -> str:
         rng = f" AND window_start >= {end} - to_seconds({p.lookback_s}) AND window_start <= {end}"
     c_us = p.cooldown_s * 1_000_000
     return f"""
-d_loaded AS (
+{pfx}d_loaded AS (
   SELECT window_start, metric, CAST(value AS DOUBLE) AS value, epoch_us(window_start) AS ep
   FROM {kpi} WHERE metric IN ({in_names}) AND value IS NOT NULL{rng}
 ),
-d_wins AS (
+{pfx}d_wins AS (
   SELECT ep, max(CASE WHEN metric = 'events_click' THEN value END) AS clicks,
     max(CASE WHEN metric = 'events_add_to_cart' THEN value END) AS carts
-  FROM d_loaded GROUP BY ep
+  FROM {pfx}d_loaded GROUP BY ep
 ),
-d_polls AS (
+{pfx}d_polls AS (
   SELECT ep AS u_ep,
     count(*) OVER (ORDER BY ep RANGE BETWEEN {lb} PRECEDING AND CURRENT ROW) AS n_wide,
     lag(ep) OVER (ORDER BY ep) AS t_ep, lag(clicks) OVER (ORDER BY ep) AS clicks_t,
     lag(carts) OVER (ORDER BY ep) AS carts_t
-  FROM d_wins
+  FROM {pfx}d_wins
 ),
-d_marks AS (
-  SELECT m.metric, q.* FROM d_polls q, (SELECT unnest([{metric_list}]) AS metric) m
+{pfx}d_marks AS (
+  SELECT m.metric, q.* FROM {pfx}d_polls q, (SELECT unnest([{metric_list}]) AS metric) m
   WHERE q.t_ep IS NOT NULL AND q.t_ep >= q.u_ep - {lb} AND q.n_wide >= {w + 2}
-    {"AND q.u_ep = (SELECT max(ep) FROM d_wins)" if as_of is not None else ""}
+    {f"AND q.u_ep = (SELECT max(ep) FROM {pfx}d_wins)" if as_of is not None else ""}
     AND CASE WHEN m.metric IN ('purchase_conversion', 'add_to_cart_rate') THEN coalesce(q.clicks_t >= {p.min_denom_clicks}, false)
              WHEN m.metric = 'checkout_rate' THEN coalesce(q.carts_t >= {p.min_denom_add_to_cart}, false)
              ELSE true END
 ),
-d_series AS (
+{pfx}d_series AS (
   SELECT k.metric, k.t_ep, k.n_wide, k.clicks_t, k.carts_t,
     list({{'ep': l.ep, 'x': l.value}} ORDER BY l.ep) AS pts
-  FROM d_marks k JOIN d_loaded l ON l.metric = k.metric AND l.ep >= k.u_ep - {lb} AND l.ep < k.u_ep
+  FROM {pfx}d_marks k JOIN {pfx}d_loaded l ON l.metric = k.metric AND l.ep >= k.u_ep - {lb} AND l.ep < k.u_ep
   GROUP BY k.metric, k.t_ep, k.n_wide, k.clicks_t, k.carts_t
   HAVING count(*) >= {w + 2} AND max(l.ep) = k.t_ep
 ),
-d_fold AS (
+{pfx}d_fold AS (
   SELECT metric, t_ep, n_wide, clicks_t, carts_t, len(pts) AS n_points,
     list_reduce(pts, lambda acc, pt: {{
       'y': {y_new},
       'x': pt.x,
       'r': CASE WHEN len({r_new}) > {w + 1} THEN ({r_new})[2:] ELSE {r_new} END
     }}, {{'y': NULL::DOUBLE, 'x': NULL::DOUBLE, 'r': []::DOUBLE[]}}) AS f
-  FROM d_series
+  FROM {pfx}d_series
 ),
-d_mu AS (
+{pfx}d_mu AS (
   SELECT *, f.y AS baseline, f.x AS value, f.r[-1] AS residual, f.r[1:{w}] AS hist,
     list_reduce(f.r[1:{w}], lambda s, v: s + v, 0.0::DOUBLE) / {float(w)!r} AS mu
-  FROM d_fold
+  FROM {pfx}d_fold
 ),
-d_sig AS (
+{pfx}d_sig AS (
   SELECT *, sqrt(list_reduce(list_transform(hist, lambda v: (v - mu) * (v - mu)), lambda s, v: s + v, 0.0::DOUBLE) / {float(w)!r}) AS sigma
-  FROM d_mu
+  FROM {pfx}d_mu
 ),
-scores AS (
+{pfx}scores AS (
   SELECT metric, make_timestamp(t_ep) AS window_start, value, baseline, residual, mu, sigma,
     CASE WHEN {zero} THEN NULL ELSE (residual - mu) / sigma END AS z, n_points, clicks_t, carts_t
-  FROM d_sig
+  FROM {pfx}d_sig
 ),
-cands AS (
+{pfx}cands AS (
   SELECT *, CASE WHEN abs(z) >= {p.crit_z!r} THEN 'critical' ELSE 'warning' END AS severity
-  FROM scores WHERE z IS NOT NULL AND abs(z) >= {p.warn_z!r}
+  FROM {pfx}scores WHERE z IS NOT NULL AND abs(z) >= {p.warn_z!r}
 ),
-d_c AS (
-  SELECT *, epoch_us(window_start) AS ep, row_number() OVER (PARTITION BY metric ORDER BY window_start) AS rn FROM cands
+{pfx}d_c AS (
+  SELECT *, epoch_us(window_start) AS ep, row_number() OVER (PARTITION BY metric ORDER BY window_start) AS rn FROM {pfx}cands
 ),
-d_walk AS (
-  SELECT metric, rn, ep, true AS emitted, ep AS last_ep FROM d_c WHERE rn = 1
+{pfx}d_walk AS (
+  SELECT metric, rn, ep, true AS emitted, ep AS last_ep FROM {pfx}d_c WHERE rn = 1
   UNION ALL
   SELECT c.metric, c.rn, c.ep,
     (c.severity = 'critical' OR c.ep - w.last_ep >= {c_us}) AS emitted,
     CASE WHEN c.severity = 'critical' OR c.ep - w.last_ep >= {c_us} THEN c.ep ELSE w.last_ep END AS last_ep
-  FROM d_walk w JOIN d_c c ON c.metric = w.metric AND c.rn = w.rn + 1
+  FROM {pfx}d_walk w JOIN {pfx}d_c c ON c.metric = w.metric AND c.rn = w.rn + 1
 ),
-kept AS (
-  SELECT c.* FROM d_c c JOIN d_walk w ON w.metric = c.metric AND w.rn = c.rn WHERE w.emitted
+{pfx}kept AS (
+  SELECT c.* FROM {pfx}d_c c JOIN {pfx}d_walk w ON w.metric = c.metric AND w.rn = c.rn WHERE w.emitted
 ),
-alerts_rows AS (
+{pfx}alerts_rows AS (
   SELECT '{p.rule_name}:' || metric || ':' || strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS alert_id,
     window_start, metric, value, baseline, z AS score, severity, '{p.rule_name}' AS rule_name, mu, sigma
-  FROM kept
+  FROM {pfx}kept
 )"""

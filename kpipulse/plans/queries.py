@@ -282,3 +282,190 @@ def anomaly_alerts(spark, sf_dir):
 def detect_as_of(spark, sf_dir):
     s = D.score_as_of(_hour_kpi(spark, sf_dir), F.lit(AS_OF).cast("timestamp"), DET)
     return finish(s.select("metric", "window_start", "value", "baseline", "z", "n_points"), _SCORE_COLS)
+
+
+# --------------------------------------------------------------- serving ----
+from ..operators import serve as S  # noqa: E402
+from ..operators import tables as T  # noqa: E402
+
+SERIES_FROM, SERIES_TO = "2024-01-10T00:00:00Z", "2024-01-20T00:00:00Z"
+ALERTS_FROM, ALERTS_TO = "2024-01-05T00:00:00Z", "2024-01-25T00:00:00Z"
+CUTOFF = "2024-01-16 00:00:00"  # ingest time splitting "already loaded" from "late batch"
+
+
+def _minute_sql(select: str) -> str:
+    return (
+        O.with_ctes(O.stage_ctes(), O.kpi_wide_cte("kw", "silver", "1 minute"), O.kpi_long_cte("kl", "kw"))
+        + "\n"
+        + select
+    )
+
+
+def _minute_kpi(spark, sf_dir):
+    return P.gold(spark, sf_dir, "1 minute")
+
+
+@register(
+    "kpi_series",
+    _minute_sql(
+        "SELECT window_start, round(value, 6) AS value FROM kl WHERE metric = 'events_total' "
+        "AND window_start >= TIMESTAMP '2024-01-10 00:00:00' AND window_start <= TIMESTAMP '2024-01-20 00:00:00' "
+        "ORDER BY window_start LIMIT 500"
+    ),
+)
+def kpi_series(spark, sf_dir):
+    s = S.kpi_series(_minute_kpi(spark, sf_dir), "events_total", to_ts=SERIES_TO, from_ts=SERIES_FROM, limit=500)
+    return finish(s, ("value",))
+
+
+_LATEST_LIST = ", ".join(f"'{m}'" for m in S.DEFAULT_LATEST)
+
+
+@register(
+    "kpi_latest",
+    _minute_sql(
+        f"SELECT m.metric, l.window_start, round(l.value, 6) AS value FROM (SELECT unnest([{_LATEST_LIST}]) AS metric) m "
+        "LEFT JOIN (SELECT metric AS lm, max(window_start) AS window_start, arg_max(value, window_start) AS value "
+        "FROM kl GROUP BY metric) l ON l.lm = m.metric"
+    ),
+)
+def kpi_latest(spark, sf_dir):
+    return finish(S.kpi_latest(_minute_kpi(spark, sf_dir)).select("metric", "window_start", "value"), ("value",))
+
+
+@register(
+    "kpi_sample",
+    _minute_sql("SELECT window_start, metric, round(value, 6) AS value FROM kl ORDER BY window_start DESC, metric LIMIT 30"),
+)
+def kpi_sample(spark, sf_dir):
+    return finish(S.kpi_sample(_minute_kpi(spark, sf_dir), 30), ("value",))
+
+
+@register("kpi_count", _minute_sql("SELECT CAST(count(*) AS BIGINT) AS n_rows FROM kl"))
+def kpi_count(spark, sf_dir):
+    return S.row_count(_minute_kpi(spark, sf_dir))
+
+
+_PIVOT_SEL = ", ".join(f"round(max(CASE WHEN metric = '{m}' THEN value END), 6) AS {m}" for m in K.KPI_METRICS)
+
+
+@register(
+    "kpi_pivot",
+    O.with_ctes(*_hour_kpi_ctes()) + f"\nSELECT window_start, {_PIVOT_SEL} FROM kl GROUP BY window_start",
+)
+def kpi_pivot(spark, sf_dir):
+    return finish(K.pivot_kpis(_hour_kpi(spark, sf_dir)), K.KPI_METRICS)
+
+
+@register(
+    "kpi_trailing",
+    _minute_sql(
+        "SELECT window_start, round(value, 6) AS value FROM kl WHERE metric = 'revenue' AND window_start >= "
+        "(SELECT max(window_start) FROM kl WHERE metric = 'revenue') - INTERVAL 360 MINUTE"
+    ),
+)
+def kpi_trailing(spark, sf_dir):
+    rev = _minute_kpi(spark, sf_dir).filter(F.col("metric") == "revenue").select("window_start", "value")
+    return finish(S.trailing(rev, 360), ("value",))
+
+
+def _partial_silver_sql() -> tuple[str, ...]:
+    return (
+        O.stage_ctes(),
+        f"silver_early AS (SELECT * FROM silver WHERE ingest_time_ts < TIMESTAMP '{CUTOFF}')",
+        O.kpi_wide_cte("kw", "silver", "1 hour"),
+        O.kpi_long_cte("kl", "kw"),
+        O.kpi_wide_cte("kpw", "silver_early", "1 hour"),
+        O.kpi_long_cte("kp", "kpw"),
+    )
+
+
+@register(
+    "kpi_replace_windows",
+    O.with_ctes(*_partial_silver_sql())
+    + f"""
+, touched AS (
+  SELECT DISTINCT time_bucket(INTERVAL '1 hour', event_time_ts) AS window_start
+  FROM silver WHERE ingest_time_ts >= TIMESTAMP '{CUTOFF}'
+), batch AS (SELECT * FROM kl WHERE window_start IN (SELECT window_start FROM touched))
+SELECT window_start, metric, round(value, 6) AS value FROM kp WHERE window_start NOT IN (SELECT window_start FROM batch)
+UNION ALL
+SELECT window_start, metric, round(value, 6) AS value FROM batch""",
+)
+def kpi_replace_windows(spark, sf_dir):
+    silver = P.silver(spark, sf_dir).select("event_time_ts", "ingest_time_ts", "event_type", "price", "quantity")
+    cutoff = F.lit(CUTOFF).cast("timestamp")
+    table = K.kpis_long(silver.filter(F.col("ingest_time_ts") < cutoff), "1 hour")
+    touched = silver.filter(F.col("ingest_time_ts") >= cutoff).select(
+        F.window("event_time_ts", "1 hour").start.alias("window_start")
+    )
+    batch = K.kpis_long(silver, "1 hour").join(touched.distinct(), "window_start", "left_semi")
+    return finish(T.replace_windows(table, batch), ("value",))
+
+
+def _alerts(spark, sf_dir) -> DataFrame:
+    return D.detect(_hour_kpi(spark, sf_dir), DET).select(*_ALERT_OUT)
+
+
+_ALERT_SQL_COLS = (
+    "alert_id, window_start, metric, round(value, 6) AS value, round(baseline, 6) AS baseline, "
+    "round(score, 6) AS score, severity, rule_name"
+)
+
+
+@register(
+    "alert_insert_if_absent",
+    O.with_ctes(*_partial_silver_sql(), O.detector_ctes("kp", DET, pfx="e_"), O.detector_ctes("kl", DET, pfx="n_"))
+    + f"""
+SELECT {_ALERT_SQL_COLS} FROM e_alerts_rows
+UNION ALL
+SELECT {_ALERT_SQL_COLS} FROM n_alerts_rows WHERE alert_id NOT IN (SELECT alert_id FROM e_alerts_rows)""",
+)
+def alert_insert_if_absent(spark, sf_dir):
+    silver = P.silver(spark, sf_dir).select("event_time_ts", "ingest_time_ts", "event_type", "price", "quantity")
+    early = silver.filter(F.col("ingest_time_ts") < F.lit(CUTOFF).cast("timestamp"))
+    existing = D.detect(K.kpis_long(early, "1 hour"), DET).select(*_ALERT_OUT)
+    new = D.detect(K.kpis_long(silver, "1 hour"), DET).select(*_ALERT_OUT)
+    return finish(T.insert_if_absent(existing, new, "alert_id"), _SCORE_COLS)
+
+
+@register(
+    "alerts_filtered",
+    _det_sql(
+        DET,
+        f"SELECT {_ALERT_SQL_COLS} FROM alerts_rows WHERE severity = 'warning' "
+        "AND window_start >= TIMESTAMP '2024-01-05 00:00:00' AND window_start <= TIMESTAMP '2024-01-25 00:00:00' "
+        "ORDER BY window_start DESC, metric, alert_id LIMIT 200",
+    ),
+)
+def alerts_filtered(spark, sf_dir):
+    a = S.alerts_query(_alerts(spark, sf_dir), to_ts=ALERTS_TO, from_ts=ALERTS_FROM, severity="warning", limit=200)
+    return finish(a, _SCORE_COLS)
+
+
+@register(
+    "alerts_latest",
+    _det_sql(DET, f"SELECT {_ALERT_SQL_COLS} FROM alerts_rows ORDER BY window_start DESC, metric, alert_id LIMIT 50"),
+)
+def alerts_latest(spark, sf_dir):
+    return finish(S.alerts_latest(_alerts(spark, sf_dir), 50), _SCORE_COLS)
+
+
+@register(
+    "alert_sample",
+    _det_sql(
+        DET,
+        "SELECT window_start, metric, severity, round(value, 6) AS value, round(baseline, 6) AS baseline, "
+        "round(score, 6) AS score FROM alerts_rows ORDER BY window_start DESC, metric, alert_id LIMIT 20",
+    ),
+)
+def alert_sample(spark, sf_dir):
+    return finish(S.alert_sample(_alerts(spark, sf_dir), 20), _SCORE_COLS)
+
+
+@register(
+    "last_alert_per_metric",
+    _det_sql(DET, "SELECT metric, max(window_start) AS last_window_start FROM alerts_rows GROUP BY metric"),
+)
+def last_alert_per_metric(spark, sf_dir):
+    return finish(D.last_alert_per_metric(_alerts(spark, sf_dir), DET.rule_name))
