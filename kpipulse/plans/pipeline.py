@@ -43,6 +43,20 @@ def gold(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame
     return kpis_long(silver(spark, sf_dir).select("event_time_ts", "event_type", "price", "quantity"), width)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's checkpoint folder and read it back.
+
+    Used where a small derived table (the KPI table) feeds several branches
+    of one plan: the branches scan the stored rows instead of re-running the
+    upstream stages, and lineage is cut. Reliable checkpoint: the folder is the
+    shared one named by ``spark.checkpoint.dir``.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ntz(df: DataFrame, *cols: str) -> DataFrame:
     """Cast the named TIMESTAMP columns to TIMESTAMP_NTZ (UTC wall clock) for
     comparison with engines whose timestamps carry no zone."""
