@@ -96,9 +96,33 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def bronze_query(envelope: DataFrame, out_path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+def cluster_for_write(df: DataFrame, part_cols: list[str], files_per_partition: int | None, salt_col: str) -> DataFrame:
+    """Hash-cluster rows by the partition columns plus a salt of
+    ``files_per_partition`` values before a partitioned file sink.
+
+    Without it every task writes into every date/hour folder it holds rows
+    for (tasks x folders small files). The salt keeps a hot hour spread over
+    ``files_per_partition`` tasks instead of one.
+    """
+    if not files_per_partition:
+        return df
+    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in part_cols], salt)
+
+
+def bronze_query(
+    envelope: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    trigger: str | None = None,
+    files_per_partition: int | None = None,
+) -> StreamingQuery:
+    """Bronze sink. Narrow by default (no shuffle: a live micro-batch spans one
+    or two ingest hours); ``files_per_partition`` clusters by ingest hour
+    first, for backfills whose batches span many hours."""
+    bronze = cluster_for_write(to_bronze(envelope), ["ingest_date", "ingest_hour"], files_per_partition, "kafka_offset")
     w = (
-        to_bronze(envelope)
+        bronze
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
@@ -131,8 +155,11 @@ def silver_queries(
     watermark: str = "1 hour",
     dedupe: str = "within_watermark",
     trigger: str | None = None,
+    files_per_partition: int | None = 8,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     good, bad = silver_frames(bronze, watermark, dedupe)
+    good = cluster_for_write(good, ["event_date", "event_hour"], files_per_partition, "event_id")
+    bad = cluster_for_write(bad, ["ingest_date", "ingest_hour"], files_per_partition, "kafka_offset")
     qq = _trigger(
         bad.writeStream.format("parquet")
         .outputMode("append")

@@ -62,7 +62,12 @@ def run_stream_pipeline(
     dedupe: str = "within_watermark",
     max_files_per_trigger: int | None = None,
     land: bool = True,
+    files_per_partition: int | None = 4,
 ) -> StreamPaths:
+    """Run the streaming stages over the landed topic (availableNow).
+
+    ``files_per_partition`` bounds the files per hour folder in Silver and
+    Quarantine (Bronze stays narrow)."""
     paths = paths or new_paths(spark)
     if land:
         land_topic(spark, sf_dir, paths.topic)
@@ -80,6 +85,7 @@ def run_stream_pipeline(
                 paths.ckpt("quarantine"),
                 watermark=watermark,
                 dedupe=dedupe,
+                files_per_partition=files_per_partition,
             )
         )
     if "gold" in stages:
