@@ -153,7 +153,7 @@ def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame
     """Scores of every closed window per detector metric.
 
     Output: ``metric, window_start (scored t), value, baseline, residual, mu,
-    sigma, z, n_points, clicks_t, carts_t`` for every (metric, t) that passes
+    sigma, z, n_points, clicks_t, carts_t, poll_window (u)`` for every (metric, t) that passes
     the history, presence and rate gates; ``z`` is null when sigma is zero.
     """
     lb = p.lookback_s * 1_000_000
@@ -170,7 +170,7 @@ def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame
     frame = Window.partitionBy("metric", "pb").orderBy("ep").rangeBetween(-lb, -1)
     rows = rows.withColumn("pts", F.collect_list(F.when(F.col("kind") == 0, _point())).over(frame))
     scored = rows.filter((F.col("kind") == 1) & F.col("own")).select(
-        "metric", "t_ep", "n_wide", "clicks_t", "carts_t", F.array_sort("pts").alias("pts")
+        "metric", F.col("ep").alias("u_ep"), "t_ep", "n_wide", "clicks_t", "carts_t", F.array_sort("pts").alias("pts")
     )
     scored = scored.filter(
         (F.size("pts") >= p.rolling + 2) & (F.element_at(F.col("pts"), -1)["ep"] == F.col("t_ep"))
@@ -188,6 +188,7 @@ def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame
         "n_points",
         "clicks_t",
         "carts_t",
+        F.timestamp_micros(F.col("u_ep")).alias("poll_window"),
     )
 
 

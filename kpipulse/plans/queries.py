@@ -510,3 +510,10 @@ def stream_silver(spark, sf_dir):
 def stream_kpi(spark, sf_dir):
     p = R.run_stream_pipeline(spark, sf_dir)
     return finish(R.J.read_kpi(spark, p.kpi), ("value",))
+
+
+@register("stream_alerts", SQL["anomaly_alerts"])
+def stream_alerts(spark, sf_dir):
+    """Bronze -> Silver -> hourly Gold -> detector, all as streaming queries."""
+    p = R.run_stream_pipeline(spark, sf_dir, stages=("bronze", "silver", "gold", "detect"), width="1 hour", detector=DET)
+    return finish(R.read_table(spark, p.alerts).select(*_ALERT_OUT), _SCORE_COLS)

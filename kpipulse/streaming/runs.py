@@ -29,6 +29,10 @@ class StreamPaths:
     quarantine: str
     kpi: str
 
+    @property
+    def alerts(self) -> str:
+        return f"{self.root}/alerts"
+
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
@@ -63,6 +67,7 @@ def run_stream_pipeline(
     max_files_per_trigger: int | None = None,
     land: bool = True,
     files_per_partition: int | None = 4,
+    detector=None,
 ) -> StreamPaths:
     """Run the streaming stages over the landed topic (availableNow).
 
@@ -91,6 +96,10 @@ def run_stream_pipeline(
     if "gold" in stages:
         silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA, max_files_per_trigger)
         _finish(J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark))
+    if "detect" in stages:
+        from .detector import detector_query
+
+        _finish(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector))
     return paths
 
 
