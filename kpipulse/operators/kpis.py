@@ -73,3 +73,16 @@ def pivot_kpis(kpi: DataFrame, metrics: tuple[str, ...] | list[str] = KPI_METRIC
     extra pass to discover the metric names.
     """
     return kpi.groupBy("window_start").pivot("metric", list(metrics)).agg(F.first("value"))
+
+
+def window_aggregate(df: DataFrame, ts_col: str, width: str, aggs: dict, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Any additive aggregates per tumbling window of ``ts_col`` (and optional
+    extra keys): the KPI machinery for tables of any schema. One hash
+    aggregate with partial results before the shuffle."""
+    w = F.window(F.col(ts_col).cast("timestamp"), width)
+    out = (
+        df.filter(F.col(ts_col).isNotNull())
+        .groupBy(w.alias("w"), *keys)
+        .agg(*[c.alias(name) for name, c in aggs.items()])
+    )
+    return out.select(F.col("w.start").alias("window_start"), *keys, *aggs.keys())

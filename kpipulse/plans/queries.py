@@ -517,3 +517,86 @@ def stream_alerts(spark, sf_dir):
     """Bronze -> Silver -> hourly Gold -> detector, all as streaming queries."""
     p = R.run_stream_pipeline(spark, sf_dir, stages=("bronze", "silver", "gold", "detect"), width="1 hour", detector=DET)
     return finish(R.read_table(spark, p.alerts).select(*_ALERT_OUT), _SCORE_COLS)
+
+
+# ------------------------------------------------- other table schemas ----
+# The rules, dedupe and window operators are schema-agnostic; these run them
+# over the whole ``lineitem`` table.
+from ..operators.dedupe import dedupe as _dedupe  # noqa: E402
+from ..operators.validate import Rule  # noqa: E402
+
+_LI_COLS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+def lineitem_rules() -> list[Rule]:
+    c = F.col
+    return [
+        Rule("bad_quantity", lambda: ~F.coalesce(c("l_quantity") >= 1, F.lit(False))),
+        Rule("bad_discount", lambda: ~F.coalesce(c("l_discount").between(0.0, 0.1), F.lit(False))),
+        Rule("bad_returnflag", lambda: ~F.coalesce(c("l_returnflag").isin("A", "N", "R"), F.lit(False))),
+        Rule("bad_linestatus", lambda: ~F.coalesce(c("l_linestatus").isin("F", "O"), F.lit(False))),
+        # a return (A or R) needs a shipped, finished line
+        Rule(
+            "return_requires_finished_line",
+            lambda: F.coalesce(c("l_returnflag").isin("A", "R"), F.lit(False)) & ~F.coalesce(c("l_linestatus") == "F", F.lit(False)),
+        ),
+    ]
+
+
+@register(
+    "lineitem_dq",
+    """
+SELECT error_code, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT unnest(string_split(e, ',')) AS error_code FROM (
+    SELECT concat_ws(',',
+      CASE WHEN NOT coalesce(l_quantity >= 1, false) THEN 'bad_quantity' END,
+      CASE WHEN NOT coalesce(l_discount BETWEEN 0.0 AND 0.1, false) THEN 'bad_discount' END,
+      CASE WHEN NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false) THEN 'bad_returnflag' END,
+      CASE WHEN NOT coalesce(l_linestatus IN ('F', 'O'), false) THEN 'bad_linestatus' END,
+      CASE WHEN coalesce(l_returnflag IN ('A', 'R'), false) AND NOT coalesce(l_linestatus = 'F', false)
+           THEN 'return_requires_finished_line' END) AS e
+    FROM lineitem) WHERE e <> '')
+GROUP BY error_code""",
+)
+def lineitem_dq(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return V.error_counts(V.validate(li, lineitem_rules(), parse_times=False))
+
+
+@register(
+    "lineitem_dedupe",
+    f"""
+SELECT {", ".join(_LI_COLS)} FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
+)
+def lineitem_dedupe(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*_LI_COLS)
+    return finish(_dedupe(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
+
+
+@register(
+    "lineitem_daily",
+    """
+SELECT time_bucket(INTERVAL '1 day', l_shipdate) AS window_start, l_returnflag,
+  CAST(count(*) AS BIGINT) AS n_lines, round(sum(l_quantity), 6) AS sum_qty,
+  round(sum(l_extendedprice * (1 - l_discount)), 6) AS revenue
+FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2""",
+)
+def lineitem_daily(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    out = K.window_aggregate(
+        li,
+        "l_shipdate",
+        "1 day",
+        {
+            "n_lines": F.count(F.lit(1)),
+            "sum_qty": F.sum("l_quantity"),
+            "revenue": F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))),
+        },
+        keys=("l_returnflag",),
+    )
+    return finish(out, ("sum_qty", "revenue"))
