@@ -17,9 +17,9 @@ def dedupe(df: DataFrame, keys: list[str] | str = "event_id", order: list[str] |
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = ["kafka_partition", "kafka_offset"] if order is None else list(order)
     cols = df.columns
-    payload = [c for c in cols if c not in keys]
+    rest = [c for c in cols if c not in keys and c not in order]
     # min over a struct compares fields left to right: ordering columns first,
-    # then the payload, so the choice is total and deterministic.
-    best = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in payload]))
+    # then the rest, so the choice is total and deterministic
+    best = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]))
     out = df.groupBy(*keys).agg(best.alias("_best"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_best.{c}").alias(c) for c in payload]).select(*cols)
+    return out.select(*[F.col(k) for k in keys], *[F.col(f"_best.{c}").alias(c) for c in order + rest]).select(*cols)

@@ -26,7 +26,7 @@ def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink does). Silver's filters then reach a parquet scan of Bronze columns
     instead of being pushed through the JSON parse, where Catalyst would copy
     ``from_json`` into every predicate that reads a parsed field."""
-    return materialize(bronze(spark, sf_dir))
+    return materialize(bronze(spark, sf_dir), "bronze")
 
 
 def validated(spark: SparkSession, sf_dir: str, null_type: str = "invalid") -> DataFrame:
@@ -37,32 +37,48 @@ def quarantined(spark: SparkSession, sf_dir: str, null_type: str = "invalid") ->
     return quarantine(validated(spark, sf_dir, null_type))
 
 
-def silver(spark: SparkSession, sf_dir: str, null_type: str = "invalid") -> DataFrame:
-    """Valid rows, one per event id (first delivery wins)."""
-    return dedupe(valid_rows(validated(spark, sf_dir, null_type)), "event_id")
+DEDUPE_ORDER = ("kafka_partition", "kafka_offset")
+
+
+def silver(spark: SparkSession, sf_dir: str, null_type: str = "invalid", cols: tuple[str, ...] | None = None) -> DataFrame:
+    """Valid rows, one per event id (first delivery wins).
+
+    With ``cols`` only those columns (plus the key and the delivery order)
+    travel through the dedupe shuffle; the surviving copy is the same.
+    """
+    valid = valid_rows(validated(spark, sf_dir, null_type))
+    if cols is not None:
+        keep = list(dict.fromkeys(["event_id", *DEDUPE_ORDER, *cols]))
+        valid = valid.select(*keep)
+    return dedupe(valid, "event_id", list(DEDUPE_ORDER))
+
+
+KPI_INPUT = ("event_time_ts", "ingest_time_ts", "event_type", "price", "quantity")
 
 
 def gold_wide(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame:
-    return kpis_wide(silver(spark, sf_dir), width)
+    return kpis_wide(silver(spark, sf_dir, cols=KPI_INPUT), width)
 
 
 def gold(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame:
     """The KPI table ``(window_start, metric, value)`` at ``width``."""
-    return kpis_long(silver(spark, sf_dir).select("event_time_ts", "event_type", "price", "quantity"), width)
+    return kpis_long(silver(spark, sf_dir, cols=KPI_INPUT), width)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a parquet table in a fresh folder under the session's
+    ``spark.checkpoint.dir`` and read it back.
 
-    Used where a small derived table (the KPI table) feeds several branches
-    of one plan: the branches scan the stored rows instead of re-running the
-    upstream stages, and lineage is cut. Reliable checkpoint: the folder is the
-    shared one named by ``spark.checkpoint.dir``.
+    Used where a derived table (Bronze, the KPI table) feeds later stages or
+    several branches: they scan stored rows instead of re-running the upstream
+    plan, lineage is cut, and unlike an RDD checkpoint the read-back is a
+    parquet scan, so column pruning and filter pushdown still apply.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import scratch_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def ntz(df: DataFrame, *cols: str) -> DataFrame:

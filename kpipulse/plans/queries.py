@@ -209,7 +209,7 @@ def _det_sql(p: DetectorParams, select: str, as_of: str | None = None) -> str:
 
 def _hour_kpi(spark, sf_dir):
     # the stored KPI table of this run: the detector reads it from several branches
-    return P.materialize(P.gold(spark, sf_dir, "1 hour"))
+    return P.materialize(P.gold(spark, sf_dir, "1 hour"), "kpi")
 
 
 @register(
@@ -394,7 +394,7 @@ UNION ALL
 SELECT window_start, metric, round(value, 6) AS value FROM batch""",
 )
 def kpi_replace_windows(spark, sf_dir):
-    silver = P.silver(spark, sf_dir).select("event_time_ts", "ingest_time_ts", "event_type", "price", "quantity")
+    silver = P.silver(spark, sf_dir, cols=P.KPI_INPUT)
     cutoff = F.lit(CUTOFF).cast("timestamp")
     table = K.kpis_long(silver.filter(F.col("ingest_time_ts") < cutoff), "1 hour")
     touched = silver.filter(F.col("ingest_time_ts") >= cutoff).select(
@@ -423,7 +423,7 @@ UNION ALL
 SELECT {_ALERT_SQL_COLS} FROM n_alerts_rows WHERE alert_id NOT IN (SELECT alert_id FROM e_alerts_rows)""",
 )
 def alert_insert_if_absent(spark, sf_dir):
-    silver = P.silver(spark, sf_dir).select("event_time_ts", "ingest_time_ts", "event_type", "price", "quantity")
+    silver = P.silver(spark, sf_dir, cols=P.KPI_INPUT)
     early = silver.filter(F.col("ingest_time_ts") < F.lit(CUTOFF).cast("timestamp"))
     existing = D.detect(P.materialize(K.kpis_long(early, "1 hour")), DET).select(*_ALERT_OUT)
     new = D.detect(P.materialize(K.kpis_long(silver, "1 hour")), DET).select(*_ALERT_OUT)
