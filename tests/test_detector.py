@@ -89,7 +89,8 @@ def test_cooldown_matches_loop(kpi):
     assert len(kept) < len(cands)
 
 
-def test_cooldown_seeded(spark, kpi):
+@pytest.mark.parametrize("max_fold", [4096, 1])
+def test_cooldown_seeded(spark, kpi, max_fold):
     c = D.candidates(D.score_all(kpi, P_HOUR), P_HOUR)
     cands = c.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric", "severity").toPandas()
     first = cands.sort_values("window_start").groupby("metric").window_start.min()
@@ -97,7 +98,7 @@ def test_cooldown_seeded(spark, kpi):
     seed_df = spark.createDataFrame(
         [(m, t.to_pydatetime()) for m, t in seeds.items()], "metric string, last_window_start timestamp_ntz"
     )
-    kept = D.apply_cooldown(c, P_HOUR, seed_df).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric").toPandas()
+    kept = D.apply_cooldown(c, P_HOUR, seed_df, max_fold=max_fold).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric").toPandas()
     want = cooldown_loop(cands, P_HOUR, seeds)
     assert sorted(map(tuple, kept[["metric", "window_start"]].astype(str).values)) == sorted(
         map(tuple, want[["metric", "window_start"]].astype(str).values)
@@ -130,3 +131,18 @@ def test_alerts_assembly(kpi):
     assert d["method"] == "ewma+zscore(residual)" and d["rolling_window"] == 5 and d["cooldown_minutes"] == 360.0
     assert a.groupBy("alert_id").count().filter("count > 1").count() == 0
     assert {x.severity for x in rows} <= {"warning", "critical"}
+
+
+@pytest.mark.parametrize("max_fold", [1, 3])
+def test_cooldown_pointer_doubling_matches_loop(spark, kpi, max_fold):
+    # a low warn threshold gives long chains; max_fold forces the doubling walk
+    p = replace(P_HOUR, warn_z=1.0, cooldown_s=12 * 3600)
+    c = D.candidates(D.score_all(kpi, p), p)
+    cands = c.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric", "severity").toPandas()
+    kept = D.apply_cooldown(c, p, max_fold=max_fold).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric"
+    ).toPandas()
+    want = cooldown_loop(cands, p)
+    assert sorted(map(tuple, kept[["metric", "window_start"]].astype(str).values)) == sorted(
+        map(tuple, want[["metric", "window_start"]].astype(str).values)
+    )
