@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,28 +38,26 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is left
-    alone; a local scratch folder is used only when nothing is configured
-    (tests, local runs).
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
+    is (and handed to the SparkContext if it has not picked it up); a local
+    scratch folder is created only when nothing is configured (tests, local
+    runs).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="kpipulse-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder, for stream outputs and state."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        # shared storage: unique child path, Spark creates it on write
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh, unique child path of the checkpoint folder (stream outputs,
+    stored intermediate tables). Nothing is created here: Spark creates the
+    folder on write, on whatever file system the path names."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
