@@ -73,6 +73,10 @@ def run_stream_pipeline(
 
     ``files_per_partition`` bounds the files per hour folder in Silver and
     Quarantine (Bronze stays narrow)."""
+    # job-level settings of the streaming stages: UTC event times, and files
+    # removed between listing and reading (compaction, retention) are skipped
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
     paths = paths or new_paths(spark)
     if land:
         land_topic(spark, sf_dir, paths.topic)
