@@ -600,3 +600,34 @@ def lineitem_daily(spark, sf_dir):
         keys=("l_returnflag",),
     )
     return finish(out, ("sum_qty", "revenue"))
+
+
+# ------------------------------------------------------------ reads, cont. ----
+_HIST_METRICS = DET.metrics + ("events_click", "events_add_to_cart", "events_checkout")
+_HIST_LIST = ", ".join(f"'{m}'" for m in _HIST_METRICS)
+
+
+@register(
+    "kpi_history",
+    O.with_ctes(*_hour_kpi_ctes())
+    + f"""
+SELECT window_start, metric, round(value, 6) AS value FROM kl
+WHERE metric IN ({_HIST_LIST}) AND window_start >= TIMESTAMP '2024-01-10 00:00:00'
+  AND window_start <= TIMESTAMP '2024-01-15 00:00:00'""",
+)
+def kpi_history(spark, sf_dir):
+    h = S.kpi_history(_hour_kpi(spark, sf_dir), _HIST_METRICS, "2024-01-10T00:00:00Z", "2024-01-15T00:00:00Z")
+    return finish(h, ("value",))
+
+
+@register(
+    "kpi_series_iso",
+    _minute_sql(
+        "SELECT strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') AS ts, round(value, 6) AS value FROM kl "
+        "WHERE metric = 'revenue' AND window_start >= TIMESTAMP '2024-01-10 00:00:00' "
+        "AND window_start <= TIMESTAMP '2024-01-20 00:00:00' ORDER BY window_start LIMIT 500"
+    ),
+)
+def kpi_series_iso(spark, sf_dir):
+    s = S.kpi_series(_minute_kpi(spark, sf_dir), "revenue", to_ts=SERIES_TO, from_ts=SERIES_FROM, limit=500)
+    return finish(S.to_iso_z_columns(s, "window_start").withColumnRenamed("window_start", "ts"), ("value",))

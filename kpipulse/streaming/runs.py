@@ -71,8 +71,10 @@ def run_stream_pipeline(
 ) -> StreamPaths:
     """Run the streaming stages over the landed topic (availableNow).
 
-    ``files_per_partition`` bounds the files per hour folder in Silver and
-    Quarantine (Bronze stays narrow)."""
+    ``max_files_per_trigger`` rate-limits the topic source (ST8); the later
+    stages read whatever the previous stage committed. ``files_per_partition``
+    bounds the files per hour folder in Silver and Quarantine (Bronze stays
+    narrow)."""
     # job-level settings of the streaming stages: UTC event times, and files
     # removed between listing and reading (compaction, retention) are skipped
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -84,7 +86,7 @@ def run_stream_pipeline(
         env = J.envelope_file_source(spark, paths.topic, max_files_per_trigger)
         _finish(J.bronze_query(env, paths.bronze, paths.ckpt("bronze")))
     if "silver" in stages:
-        bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA, max_files_per_trigger)
+        bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA)
         _finish(
             *J.silver_queries(
                 bronze,
@@ -98,7 +100,7 @@ def run_stream_pipeline(
             )
         )
     if "gold" in stages:
-        silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA, max_files_per_trigger)
+        silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA)
         _finish(J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark))
     if "detect" in stages:
         from .detector import detector_query
