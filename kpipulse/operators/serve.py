@@ -77,8 +77,8 @@ def kpi_history(kpi: DataFrame, metrics, lo, hi) -> DataFrame:
 def kpi_latest(kpi: DataFrame, metrics=DEFAULT_LATEST) -> DataFrame:
     """Latest point of each requested metric; null ``window_start``/``value``
     for a metric with no rows. One aggregate for all metrics (partial
-    ``max_by`` per task, then one row per metric), right-joined to the request
-    list, whose size is the argument's."""
+    ``max_by`` per task, then one row per metric), broadcast onto the request
+    list; both sides are argument-sized."""
     metrics = [m.strip() for m in metrics if m and m.strip()]
     if not metrics:
         raise ValueError("metrics is empty")
@@ -92,7 +92,8 @@ def kpi_latest(kpi: DataFrame, metrics=DEFAULT_LATEST) -> DataFrame:
             F.max_by("value", "window_start").alias("value"),
         )
     )
-    return latest.join(F.broadcast(wanted), "metric", "right")
+    # the aggregate has at most one row per requested metric: broadcast it
+    return wanted.join(F.broadcast(latest), "metric", "left").select("metric", "window_start", "value")
 
 
 def alerts_query(
