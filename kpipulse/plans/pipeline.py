@@ -79,9 +79,3 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def ntz(df: DataFrame, *cols: str) -> DataFrame:
-    """Cast the named TIMESTAMP columns to TIMESTAMP_NTZ (UTC wall clock) for
-    comparison with engines whose timestamps carry no zone."""
-    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -70,10 +70,6 @@ def _sel(cols) -> str:
     return ", ".join(cols)
 
 
-def _ntz(cols, ts_cols) -> str:
-    return ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" if c in ts_cols else c for c in cols)
-
-
 def _rnd(cols, rcols) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" if c in rcols else c for c in cols)
 

@@ -123,3 +123,21 @@ def test_rate_limited_topic_equals_batch(spark):
     r = lambda df: kv(df.select("window_start", "metric", F.round("value", 6).alias("v")), "window_start", "metric", "v")
     assert r(got) == r(want)
     assert R.read_table(spark, paths.bronze).count() == 1020
+
+
+def test_dedupe_modes_state_lifetime(spark):
+    """exact: a repeat of an old id is suppressed forever (state never shrinks);
+    within_watermark: the id's state is evicted once the watermark passes, so
+    a much later repeat is emitted again."""
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+    later = t0 + dt.timedelta(hours=3)
+    got = {}
+    for mode in ("exact", "within_watermark"):
+        paths = R.new_paths(spark, f"mode-{mode}")
+        batches = [[_event("a", t0)], [_event("z", later)], [_event("a", later)]]
+        for i, evs in enumerate(batches):
+            envelope_rows(spark, evs, start_offset=10 * i).write.mode("append").parquet(paths.topic)
+            R.run_stream_pipeline(spark, SF001, paths, stages=("bronze", "silver"), land=False, watermark="15 minutes", dedupe=mode)
+        got[mode] = kv(R.read_table(spark, paths.silver).select("event_id"), "event_id")
+    assert got["exact"] == [("a",), ("z",)]
+    assert got["within_watermark"] == [("a",), ("a",), ("z",)]
