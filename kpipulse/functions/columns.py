@@ -45,7 +45,7 @@ def to_iso_z(c: Column | str) -> Column:
 
 def alert_id(rule: Column | str, metric: Column | str, ts: Column | str) -> Column:
     """Deterministic alert id ``rule:metric:yyyy-MM-ddTHH:mm:ss`` (no zone)."""
-    rule = F.lit(rule) if isinstance(rule, str) and not rule.startswith("col:") else rule
+    rule = F.lit(rule) if isinstance(rule, str) else rule
     metric = F.col(metric) if isinstance(metric, str) else metric
     ts = F.col(ts) if isinstance(ts, str) else ts
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
