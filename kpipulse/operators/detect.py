@@ -175,7 +175,7 @@ def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame
     )
     scored = scored.filter(
         (F.size("pts") >= p.rolling + 2) & (F.element_at(F.col("pts"), -1)["ep"] == F.col("t_ep"))
-    ).withColumn("n_points", F.size("pts"))
+    ).withColumn("n_points", F.size("pts").cast("long"))
     out = _finish_scores(scored, p)
     return out.select(
         "metric",
