@@ -79,8 +79,57 @@ def read_versioned(spark, path: str) -> DataFrame:
 
 
 def latest_versions(raw: DataFrame) -> DataFrame:
+    """Per window, the rows of its newest ``(run, batch)``; identical copies
+    inside one version (a compacted snapshot next to the batch's own rows)
+    collapse to one. Both steps reuse the partitioning by ``window_start``."""
     ver = F.struct(F.col("run").cast("long"), F.col("batch").cast("long"))
     w = Window.partitionBy("window_start")
-    return raw.withColumn("_v", ver).withColumn("_m", F.max("_v").over(w)).filter(F.col("_v") == F.col("_m")).select(
-        "window_start", "metric", "value"
-    )
+    newest = raw.withColumn("_v", ver).withColumn("_m", F.max("_v").over(w)).filter(F.col("_v") == F.col("_m"))
+    return newest.select("window_start", "metric", "value").dropDuplicates(["window_start", "metric"])
+
+
+def _versions(spark, path: str) -> list[tuple[int, int]]:
+    from ..sources import files as FS
+
+    out = []
+    for run_dir in FS.child_dirs(spark, path):
+        if not run_dir.startswith("run="):
+            continue
+        for batch_dir in FS.child_dirs(spark, f"{path.rstrip('/')}/{run_dir}"):
+            if batch_dir.startswith("batch="):
+                try:
+                    out.append((int(run_dir[4:]), int(batch_dir[6:])))
+                except ValueError:
+                    pass
+    return sorted(out)
+
+
+def compact_versions(spark, path: str, upto: tuple[int, int] | None = None) -> tuple[int, int] | None:
+    """Fold all KPI versions up to ``upto`` into that version's folder and
+    delete the older folders, so listing does not grow with micro-batches.
+
+    ``upto`` defaults to the second-newest version: a stream starts a batch
+    only after committing the previous one, so that version is never
+    replayed. The snapshot (the current view as of ``upto``) is appended next
+    to that batch's own rows (identical rows collapse on read) and written
+    before anything is deleted, so a concurrent reader sees a complete view
+    throughout; later versions keep winning over it. Returns the version
+    compacted into, or None when there is nothing to fold.
+    """
+    from ..sources import files as FS
+
+    versions = _versions(spark, path)
+    if upto is None:
+        if len(versions) < 2:
+            return None
+        upto = versions[-2]
+    old = [v for v in versions if v <= upto]
+    if len(old) < 2:
+        return None
+    base = path.rstrip("/")
+    folders = [f"{base}/run={r}/batch={b}" for r, b in old]
+    snapshot = latest_versions(spark.read.option("basePath", base).parquet(*folders))
+    snapshot.write.mode("append").parquet(folders[-1])
+    for folder in folders[:-1]:
+        FS.delete(spark, folder)
+    return upto

@@ -27,7 +27,8 @@ from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField,
 from ..contract import DetectorParams
 from ..operators import detect as D
 from ..operators.tables import read_versioned
-from .jobs import _fs, _trigger
+from ..sources import files as FS
+from .jobs import _trigger
 
 KPI_VERSION_SCHEMA = StructType(
     [
@@ -40,11 +41,6 @@ KPI_VERSION_SCHEMA = StructType(
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hp = _fs(spark, path)
-    return bool(fs.exists(hp))
-
-
 def detect_batch(spark: SparkSession, new_kpi: DataFrame, kpi: DataFrame, alerts: DataFrame | None, p: DetectorParams) -> DataFrame:
     """Alert rows to insert for the polls whose newest window is in ``new_kpi``.
 
@@ -80,7 +76,7 @@ def detector_query(
         if batch.isEmpty():
             return
         kpi = read_versioned(spark, kpi_path)
-        alerts = spark.read.parquet(alerts_path) if _exists(spark, alerts_path) else None
+        alerts = spark.read.parquet(alerts_path) if FS.exists(spark, alerts_path) else None
         out = detect_batch(spark, batch.select("window_start", "metric", "value"), kpi, alerts, p)
         out.write.mode("append").parquet(alerts_path)
 

@@ -31,6 +31,7 @@ from ..operators.bronze import lineage_projection, to_bronze
 from ..operators.kpis import kpis_long
 from ..operators.tables import read_versioned, write_versioned_batch
 from ..operators.validate import default_rules, quarantine, valid_rows, validate
+from ..sources import files as FS
 
 # Bronze columns Silver reads (explicit schema, no inference).
 BRONZE_READ_SCHEMA = StructType(
@@ -179,58 +180,27 @@ def silver_queries(
     return qs, qq
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, hp = _fs(spark, path)
-    if not fs.exists(hp):
-        return None
-    stream = fs.open(hp)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream))
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, hp = _fs(spark, path)
-    out = fs.create(hp, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
 def run_id(spark: SparkSession, checkpoint: str, kpi_path: str) -> int:
     """Version number of this checkpoint's lineage of KPI batches.
 
-    Kept in ``<checkpoint>/../<name>.run`` (any Hadoop file system). A restart
-    of the same checkpoint reuses it, so a replayed batch overwrites its own
-    folder; a new checkpoint takes one more than the newest run already in
+    Kept in ``<checkpoint>.run`` (any Hadoop file system). A restart of the
+    same checkpoint reuses it, so a replayed batch overwrites its own folder;
+    a new checkpoint takes one more than the newest run already in
     ``kpi_path``, so its batches supersede the old ones.
     """
     marker = checkpoint.rstrip("/") + ".run"
-    fs_ck, ck = _fs(spark, checkpoint)
-    txt = _read_text(spark, marker)
-    if txt is not None and fs_ck.exists(ck):
+    txt = FS.read_text(spark, marker)
+    if txt is not None and FS.exists(spark, checkpoint):
         return int(txt.strip())
     newest = 0
-    fs, kp = _fs(spark, kpi_path)
-    if fs.exists(kp):
-        for st in fs.listStatus(kp):
-            name = st.getPath().getName()
-            if name.startswith("run="):
-                try:
-                    newest = max(newest, int(name[4:]))
-                except ValueError:
-                    pass
+    for name in FS.child_dirs(spark, kpi_path):
+        if name.startswith("run="):
+            try:
+                newest = max(newest, int(name[4:]))
+            except ValueError:
+                pass
     run = newest + 1
-    _write_text(spark, marker, str(run))
+    FS.write_text(spark, marker, str(run))
     return run
 
 
@@ -246,7 +216,13 @@ def gold_query(
     width: str = "1 minute",
     watermark: str = "1 hour",
     trigger: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
+    """Windowed KPIs in update mode; each micro-batch overwrites its own
+    version folder. With ``compact_every`` the callback folds old versions
+    every that many batches (only versions already committed are touched)."""
+    from ..operators.tables import compact_versions
+
     run = run_id(silver.sparkSession, checkpoint, kpi_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -254,6 +230,8 @@ def gold_query(
         if batch.isEmpty():
             return
         write_versioned_batch(batch, kpi_path, run, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_versions(batch.sparkSession, kpi_path)
 
     w = gold_frame(silver, width, watermark).writeStream.outputMode("update").foreachBatch(sink).option(
         "checkpointLocation", checkpoint

@@ -122,3 +122,21 @@ def test_pushdown_and_pruning_in_gold_plan(spark):
     assert "raw_json" not in scan[0] and "DataFilters" in scan[0]
     # dedupe and KPIs are partial aggregates before their shuffles
     assert "partial_min" in plan and "partial_sum" in plan
+
+
+def test_compact_versions_keeps_the_view(spark, tmp_path):
+    path = str(tmp_path / "kpi_versions")
+    T.write_versioned_batch(spark.createDataFrame([(t(1), "a", 1.0), (t(2), "a", 2.0)], TS), path, 1, 0)
+    T.write_versioned_batch(spark.createDataFrame([(t(1), "a", 5.0), (t(3), "a", 3.0)], TS), path, 1, 1)
+    T.write_versioned_batch(spark.createDataFrame([(t(3), "a", 9.0)], TS), path, 1, 2)
+    before = rows(T.read_versioned(spark, path), "window_start", "metric", "value")
+    assert T.compact_versions(spark, path) == (1, 1)
+    assert T._versions(spark, path) == [(1, 1), (1, 2)]
+    assert rows(T.read_versioned(spark, path), "window_start", "metric", "value") == before
+    # a later batch still supersedes the compacted snapshot
+    T.write_versioned_batch(spark.createDataFrame([(t(1), "a", 7.0)], TS), path, 1, 3)
+    got = rows(T.read_versioned(spark, path), "window_start", "metric", "value")
+    assert got == [(t(1), "a", 7.0), (t(2), "a", 2.0), (t(3), "a", 9.0)]
+    # compacting again folds (1,1) and (1,2) into (1,2)
+    assert T.compact_versions(spark, path) == (1, 2)
+    assert rows(T.read_versioned(spark, path), "window_start", "metric", "value") == got
