@@ -227,6 +227,7 @@ def last_alert_per_metric(alerts: DataFrame, rule_name: str | None = None) -> Da
 
 
 MAX_FOLD = 4096
+SUPER = 4096
 
 
 def _chains(cands: DataFrame, p: DetectorParams, seeds: DataFrame | None) -> DataFrame:
@@ -265,8 +266,18 @@ def _chains(cands: DataFrame, p: DetectorParams, seeds: DataFrame | None) -> Dat
     w_in = Window.partitionBy("metric", "bk").orderBy("ep").rowsBetween(Window.unboundedPreceding, 0)
     local = starts.withColumn("local_start", F.max(F.when(F.col("is_start"), F.col("ep"))).over(w_in))
     summ = starts.groupBy("metric", "bk").agg(F.max(F.when(F.col("is_start"), F.col("ep"))).alias("bk_start"))
-    w_b = Window.partitionBy("metric").orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumn("carry", F.max("bk_start").over(w_b)).select("metric", "bk", "carry")
+    # carry = latest start in any earlier bucket: a prefix max inside groups
+    # of SUPER buckets, then over one row per group, so no window holds more
+    # than SUPER rows or span / (cooldown * SUPER) rows
+    summ = summ.withColumn("sb", F.floor(F.col("bk") / F.lit(SUPER)).cast("long"))
+    w_sb = Window.partitionBy("metric", "sb").orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("carry_in", F.max("bk_start").over(w_sb))
+    sup = summ.groupBy("metric", "sb").agg(F.max("bk_start").alias("sb_start"))
+    w_s = Window.partitionBy("metric").orderBy("sb").rowsBetween(Window.unboundedPreceding, -1)
+    sup = sup.withColumn("sb_carry", F.max("sb_start").over(w_s)).select("metric", "sb", "sb_carry")
+    summ = summ.join(sup, ["metric", "sb"]).select(
+        "metric", "bk", F.coalesce("carry_in", "sb_carry").alias("carry")
+    )
     chained = local.join(summ, ["metric", "bk"]).withColumn("chain", F.coalesce("local_start", "carry"))
     chained = chained.select("metric", "ep", "kind", "severity", "row", "is_start", "chain")
     sizes = chained.groupBy("metric", "chain").agg(F.count(F.lit(1)).alias("chain_n"))
