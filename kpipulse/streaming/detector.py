@@ -11,7 +11,8 @@ versions; the ``foreachBatch`` callback
    one lookback, not by the table),
 3. scores those polls with ``score_all``, applies the threshold and the
    cooldown seeded from the newest stored alert per metric,
-4. appends only alert ids that are not in the table yet.
+4. appends only alert ids that are not in the table yet (reading only alerts
+   from one cooldown before the batch's history range onward).
 
 State lives in the two tables, so the query restarts from its checkpoint
 and a replayed batch inserts nothing twice.
@@ -51,6 +52,11 @@ def detect_batch(spark: SparkSession, new_kpi: DataFrame, kpi: DataFrame, alerts
     hi = polls.select(F.max("poll_window")).scalar()
     hist = kpi.filter((F.col("window_start") >= lo) & (F.col("window_start") <= hi))
     scores = D.score_all(hist, p).join(polls, "poll_window", "left_semi")
+    if alerts is not None:
+        # only recent alerts matter: scored windows are >= lo, and an alert more
+        # than one cooldown before that cannot suppress any of them. The range
+        # filter reaches the alert table scan, so the read does not grow with it.
+        alerts = alerts.filter(F.col("window_start") >= lo - F.make_interval(secs=F.lit(float(p.cooldown_s))))
     seeds = None if alerts is None else D.last_alert_per_metric(alerts, p.rule_name)
     fresh = D.alerts_from(D.apply_cooldown(D.candidates(scores, p), p, seeds), p)
     if alerts is None:
