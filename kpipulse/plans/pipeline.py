@@ -8,7 +8,6 @@ columns each plan needs and pushes filters into it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.bronze import to_bronze
 from ..operators.dedupe import dedupe
