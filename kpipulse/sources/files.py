@@ -49,3 +49,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, hp = hadoop_fs(spark, path)
+    fs.mkdirs(hp)

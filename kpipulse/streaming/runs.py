@@ -111,3 +111,52 @@ def run_stream_pipeline(
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
+
+
+def start_pipeline(
+    spark: SparkSession,
+    envelope: DataFrame,
+    paths: StreamPaths,
+    trigger: str = "15 seconds",
+    width: str = "1 minute",
+    watermark: str = "1 hour",
+    dedupe: str = "within_watermark",
+    detector=None,
+    compact_every: int | None = None,
+) -> list:
+    """The deployment form: every stage as a concurrently running query with a
+    processing-time trigger, each reading the folder the previous stage
+    writes. ``envelope`` is the topic stream (``jobs.kafka_source`` on a
+    cluster). Returns the started queries in stage order; ``await_any``
+    blocks until one of them ends."""
+    from ..sources import files as FS
+
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    for folder in (paths.bronze, paths.silver, paths.kpi):
+        FS.mkdirs(spark, folder)
+    queries = [J.bronze_query(envelope, paths.bronze, paths.ckpt("bronze"), trigger=trigger)]
+    bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA)
+    queries += list(
+        J.silver_queries(
+            bronze, paths.silver, paths.quarantine, paths.ckpt("silver"), paths.ckpt("quarantine"),
+            watermark=watermark, dedupe=dedupe, trigger=trigger,
+        )
+    )
+    silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA)
+    queries.append(
+        J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark, trigger=trigger, compact_every=compact_every)
+    )
+    if detector is not None:
+        from .detector import detector_query
+
+        queries.append(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector, trigger=trigger))
+    return queries
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active streaming query ends (or the timeout passes)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(timeout_s)

@@ -149,3 +149,24 @@ def test_dedupe_modes_state_lifetime(spark):
         got[mode] = kv(R.read_table(spark, paths.silver).select("event_id"), "event_id")
     assert got["exact"] == [("a",), ("z",)]
     assert got["within_watermark"] == [("a",), ("a",), ("z",)]
+
+
+def test_running_pipeline_with_processing_time_triggers(spark):
+    """All stages run concurrently on processing-time triggers; draining them
+    in stage order gives the batch KPIs."""
+    paths = R.new_paths(spark, "running")
+    R.land_topic(spark, SF001, paths.topic)
+    env = J.envelope_file_source(spark, paths.topic)
+    queries = R.start_pipeline(spark, env, paths, trigger="1 second")
+    try:
+        for q in queries:
+            q.processAllAvailable()
+        got = J.read_kpi(spark, paths.kpi)
+        want = P.gold(spark, SF001, "1 minute")
+        r = lambda df: kv(df.select("window_start", "metric", F.round("value", 6).alias("v")), "window_start", "metric", "v")
+        assert r(got) == r(want)
+        assert all(q.isActive for q in queries)
+    finally:
+        for q in queries:
+            q.stop()
+    R.await_any(spark, 1)
