@@ -66,7 +66,7 @@ def run_stream_pipeline(
     dedupe: str = "within_watermark",
     max_files_per_trigger: int | None = None,
     land: bool = True,
-    files_per_partition: int | None = 4,
+    files_per_partition: int | None = 2,
     detector=None,
 ) -> StreamPaths:
     """Run the streaming stages over the landed topic (availableNow).
@@ -74,7 +74,8 @@ def run_stream_pipeline(
     ``max_files_per_trigger`` rate-limits the topic source (ST8); the later
     stages read whatever the previous stage committed. ``files_per_partition``
     bounds the files per hour folder in Silver and Quarantine (Bronze stays
-    narrow)."""
+    narrow); 2 suits backfills of sparse data, the sink's own default (8)
+    suits dense live streams."""
     # job-level settings of the streaming stages: UTC event times, and files
     # removed between listing and reading (compaction, retention) are skipped
     spark.conf.set("spark.sql.session.timeZone", "UTC")
