@@ -180,3 +180,20 @@ def test_split_is_partition_of_input(spark):
     q = quarantine(v).filter(F.col("validation_errors").contains("bad_ingest_time"))
     assert q.filter(F.col("ingest_date").isNotNull()).count() == 0
     v.unpersist()
+
+
+def test_lineage_projection_from_broker_rows(spark):
+    """Binary key / value and broker metadata -> the envelope columns."""
+    import datetime as dt
+
+    from kpipulse.operators.bronze import lineage_projection
+
+    raw = spark.createDataFrame(
+        [(bytearray(b"user_0001"), bytearray(json.dumps(base_event()).encode()), "ecom.events.raw.v1", 2, 41, dt.datetime(2026, 1, 24, 13, 5))],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
+    )
+    env = lineage_projection(raw)
+    assert env.columns == ["kafka_key", "raw_json", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"]
+    b = to_bronze(env).collect()[0]
+    assert (b.kafka_key, b.kafka_partition, b.kafka_offset, b.event_id) == ("user_0001", 2, 41, "8d51b9e7")
+    assert b.ingest_hour == 13 and str(b.ingest_date) == "2026-01-24"

@@ -139,3 +139,12 @@ def test_compact_versions_keeps_the_view(spark, tmp_path):
     # compacting again folds (1,1) and (1,2) into (1,2)
     assert T.compact_versions(spark, path) == (1, 2)
     assert rows(T.read_versioned(spark, path), "window_start", "metric", "value") == got
+
+
+def test_created_at_default(spark):
+    """K8: created_at is filled at write time when missing, kept when set."""
+    a = spark.createDataFrame([("x", None), ("y", t(1))], "alert_id string, created_at timestamp")
+    got = {r.alert_id: r.created_at for r in T.with_created_at(a).collect()}
+    assert got["y"] == t(1) and got["x"] is not None
+    b = T.with_created_at(spark.createDataFrame([("z",)], "alert_id string"))
+    assert b.collect()[0].created_at is not None
