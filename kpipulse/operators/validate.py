@@ -80,12 +80,12 @@ def default_rules(null_type: str = "invalid") -> list[Rule]:
 
 
 def with_times(bronze: DataFrame) -> DataFrame:
-    """(Re)parse both event-time strings and stamp the processing time."""
-    return (
-        bronze.withColumn("event_time_ts", parse_event_ts("event_time"))
-        .withColumn("ingest_time_ts", parse_event_ts("ingest_time"))
-        .withColumn("processing_time", F.current_timestamp())
-    )
+    """Parse the event time, parse the ingest time unless Bronze already
+    carries it (same parser, same value), and stamp the processing time."""
+    out = bronze.withColumn("event_time_ts", parse_event_ts("event_time"))
+    if "ingest_time_ts" not in bronze.columns:
+        out = out.withColumn("ingest_time_ts", parse_event_ts("ingest_time"))
+    return out.withColumn("processing_time", F.current_timestamp())
 
 
 def reasons(rules: list[Rule]) -> Column:
