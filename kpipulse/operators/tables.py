@@ -133,3 +133,21 @@ def compact_versions(spark, path: str, upto: tuple[int, int] | None = None) -> t
     for folder in folders[:-1]:
         FS.delete(spark, folder)
     return upto
+
+
+def constraint_report(df: DataFrame, keys: list[str], not_null: list[str]) -> DataFrame:
+    """One row: ``n_rows``, ``n_keys`` (distinct key tuples) and
+    ``n_null_values`` (rows with a null in ``not_null``). A table meets its
+    primary key when ``n_rows == n_keys``. Partial aggregates throughout:
+    the distinct count shuffles key tuples once, not rows to one task."""
+    null_any = F.lit(False)
+    for c in not_null:
+        null_any = null_any | F.col(c).isNull()
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.when(null_any, 1).otherwise(0)).alias("_nulls")
+    )
+    return per_key.agg(
+        F.sum("_n").cast("long").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum("_nulls").cast("long").alias("n_null_values"),
+    )

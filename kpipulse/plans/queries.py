@@ -627,3 +627,17 @@ def kpi_history(spark, sf_dir):
 def kpi_series_iso(spark, sf_dir):
     s = S.kpi_series(_minute_kpi(spark, sf_dir), "revenue", to_ts=SERIES_TO, from_ts=SERIES_FROM, limit=500)
     return finish(S.to_iso_z_columns(s, "window_start").withColumnRenamed("window_start", "ts"), ("value",))
+
+
+@register(
+    "kpi_constraints",
+    O.with_ctes(*_hour_kpi_ctes())
+    + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(count(DISTINCT (window_start, metric)) AS BIGINT) AS n_keys,
+  CAST(count(*) FILTER (WHERE window_start IS NULL OR metric IS NULL OR value IS NULL) AS BIGINT) AS n_null_values
+FROM kl""",
+)
+def kpi_constraints(spark, sf_dir):
+    """K7: primary key (window_start, metric) and NOT NULL on the KPI table."""
+    return T.constraint_report(_hour_kpi(spark, sf_dir), ["window_start", "metric"], ["window_start", "metric", "value"])
