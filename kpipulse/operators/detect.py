@@ -150,17 +150,23 @@ def _finish_scores(df: DataFrame, p: DetectorParams) -> DataFrame:
     return df.select("*", *[F.col(f"_s.{c}").alias(c) for c in _SCORE_FIELDS]).drop("_s")
 
 
-def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame:
+def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams(), polls: DataFrame | None = None) -> DataFrame:
     """Scores of every closed window per detector metric.
 
     Output: ``metric, window_start (scored t), value, baseline, residual, mu,
     sigma, z, n_points, clicks_t, carts_t, poll_window (u)`` for every (metric, t) that passes
     the history, presence and rate gates; ``z`` is null when sigma is zero.
+
+    ``polls`` (a frame with ``poll_window``) restricts scoring to those polls:
+    the other markers are dropped before the window and the fold.
     """
     lb = p.lookback_s * 1_000_000
     src = loaded(kpi, p)
-    polls = poll_frame(src, p).filter(F.col("n_wide") >= p.rolling + 2)
-    markers = polls.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in p.metrics]))).withColumn("kind", F.lit(1))
+    frame_polls = poll_frame(src, p).filter(F.col("n_wide") >= p.rolling + 2)
+    if polls is not None:
+        wanted = polls.select(F.unix_micros(F.col("poll_window").cast("timestamp")).alias("ep")).distinct()
+        frame_polls = frame_polls.join(wanted, "ep", "left_semi")
+    markers = frame_polls.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in p.metrics]))).withColumn("kind", F.lit(1))
     markers = markers.filter(_guard(p))
     pts = (
         src.filter(F.col("metric").isin(*p.metrics))
@@ -205,10 +211,9 @@ def score_as_of(kpi: DataFrame, as_of, p: DetectorParams = DetectorParams()) ->
     end = as_of.cast("timestamp") - F.make_interval(secs=F.lit(float(p.ignore_recent_s)))
     start = end - F.make_interval(secs=F.lit(float(p.lookback_s)))
     src = loaded(kpi, p).filter((F.col("window_start") >= start) & (F.col("window_start") <= end))
-    # scored window of this poll: the second-newest distinct window (top-2, bounded)
-    top2 = src.select("window_start").distinct().orderBy(F.desc("window_start")).limit(2)
-    scored_t = top2.agg(F.min("window_start").alias("window_start"), F.count(F.lit(1)).alias("k")).filter("k = 2")
-    return score_all(src, p).join(F.broadcast(scored_t.select("window_start")), "window_start", "left_semi")
+    # this poll's newest window; only its marker rows are scored
+    newest = src.agg(F.max("window_start").alias("poll_window"))
+    return score_all(src, p, polls=newest)
 
 
 def candidates(scores: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame:

@@ -51,7 +51,7 @@ def detect_batch(spark: SparkSession, new_kpi: DataFrame, kpi: DataFrame, alerts
     lo = polls.select(F.min("poll_window")).scalar() - F.make_interval(secs=F.lit(float(p.lookback_s)))
     hi = polls.select(F.max("poll_window")).scalar()
     hist = kpi.filter((F.col("window_start") >= lo) & (F.col("window_start") <= hi))
-    scores = D.score_all(hist, p).join(polls, "poll_window", "left_semi")
+    scores = D.score_all(hist, p, polls=polls)
     if alerts is not None:
         # only recent alerts matter: scored windows are >= lo, and an alert more
         # than one cooldown before that cannot suppress any of them. The range

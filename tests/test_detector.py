@@ -105,17 +105,22 @@ def test_cooldown_seeded(spark, kpi, max_fold):
     )
 
 
-def test_score_as_of_is_one_poll(kpi, kpi_pd):
-    p = replace(P_HOUR, ignore_recent_s=0)
+@pytest.mark.parametrize("ignore_s", [0, 3600])
+def test_score_as_of_is_one_poll(kpi, kpi_pd, ignore_s):
+    p = replace(P_HOUR, ignore_recent_s=ignore_s)
     as_of = pd.Timestamp("2024-01-20 12:30:00")
     got = D.score_as_of(kpi, F.lit(str(as_of)).cast("timestamp"), p).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "metric", "z"
     ).toPandas()
-    # reference poll: data in [end - lookback, end]; newest window there is the poll
-    sub = kpi_pd[(pd.to_datetime(kpi_pd.window_start) >= as_of - pd.Timedelta(hours=120)) & (pd.to_datetime(kpi_pd.window_start) <= as_of)]
+    # reference poll: data in [end - lookback, end], end = as_of - ignore; the
+    # newest window there is the poll
+    end = as_of - pd.Timedelta(seconds=ignore_s)
+    ws = pd.to_datetime(kpi_pd.window_start)
+    sub = kpi_pd[(ws >= end - pd.Timedelta(hours=120)) & (ws <= end)]
     u = pd.to_datetime(sub.window_start).max()
     want = simulate(sub, p, polls=[u])
     a, b = merged(got, want[["window_start", "metric", "z"]])
+    assert len(a) > 0
     assert max_diff(a, b, "z") < 1e-9
 
 
