@@ -641,3 +641,22 @@ FROM kl""",
 def kpi_constraints(spark, sf_dir):
     """K7: primary key (window_start, metric) and NOT NULL on the KPI table."""
     return T.constraint_report(_hour_kpi(spark, sf_dir), ["window_start", "metric"], ["window_start", "metric", "value"])
+
+
+@register(
+    "orders_daily",
+    """
+SELECT time_bucket(INTERVAL '1 day', o_orderdate) AS window_start, o_orderstatus,
+  CAST(count(*) AS BIGINT) AS n_orders, round(sum(o_totalprice), 6) AS total_price
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2""",
+)
+def orders_daily(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    out = K.window_aggregate(
+        o,
+        "o_orderdate",
+        "1 day",
+        {"n_orders": F.count(F.lit(1)), "total_price": F.sum("o_totalprice")},
+        keys=("o_orderstatus",),
+    )
+    return finish(out, ("total_price",))
