@@ -204,8 +204,8 @@ def _det_sql(p: DetectorParams, select: str, as_of: str | None = None) -> str:
 
 
 def _hour_kpi(spark, sf_dir):
-    # the stored KPI table of this run: the detector reads it from several branches
-    return P.materialize(P.gold(spark, sf_dir, "1 hour"), "kpi")
+    # the stored hourly KPI table: the detector reads it from several branches
+    return P.stored(spark, "kpi_hour", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 hour"))
 
 
 @register(
@@ -299,7 +299,8 @@ def _minute_sql(select: str) -> str:
 
 
 def _minute_kpi(spark, sf_dir):
-    return P.gold(spark, sf_dir, "1 minute")
+    # serving reads query the stored 1-minute KPI table, as the API reads Gold
+    return P.stored(spark, "kpi_minute", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 minute"))
 
 
 @register(
