@@ -31,17 +31,18 @@ def _source_version(spark: SparkSession, path: str) -> tuple:
     return (int(fs.getFileStatus(hp).getModificationTime()), int(fs.getContentSummary(hp).getLength()))
 
 
-def stored(spark: SparkSession, name: str, source: str, build, *key) -> DataFrame:
+def stored(spark: SparkSession, name: str, source: str, build, *key, writer=None) -> DataFrame:
     """A derived table written once per Spark application and source version
     (as a pipeline writes Bronze or Gold once and every later job reads it);
     later calls read the stored parquet table. A changed source, a new
-    application or a missing folder rebuilds it."""
+    application or a missing folder rebuilds it. ``writer(df, path)`` sets
+    the storage layout (default: plain parquet)."""
     from ..sources import files as FS
 
     ident = (spark.sparkContext.applicationId, name, source, _source_version(spark, source), *key)
     path = _STORED.get(ident)
     if path is None or not FS.exists(spark, path):
-        path = write_table(build(), name)
+        path = write_table(build(), name, writer)
         _STORED[ident] = path
     return spark.read.parquet(path)
 
@@ -102,11 +103,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(write_table(df, name))
 
 
-def write_table(df: DataFrame, name: str = "table") -> str:
-    """Write ``df`` as parquet into a fresh folder under the checkpoint folder;
-    return the folder."""
+def write_table(df: DataFrame, name: str = "table", writer=None) -> str:
+    """Write ``df`` as parquet into a fresh folder under the checkpoint folder
+    (with ``writer(df, path)`` when given); return the folder."""
     from ..session import scratch_dir
 
     path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    if writer is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        writer(df, path)
     return path

@@ -205,7 +205,9 @@ def _det_sql(p: DetectorParams, select: str, as_of: str | None = None) -> str:
 
 def _hour_kpi(spark, sf_dir):
     # the stored hourly KPI table: the detector reads it from several branches
-    return P.stored(spark, "kpi_hour", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 hour"))
+    return P.stored(
+        spark, "kpi_hour", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 hour"), writer=T.write_kpi_table
+    )
 
 
 @register(
@@ -300,7 +302,9 @@ def _minute_sql(select: str) -> str:
 
 def _minute_kpi(spark, sf_dir):
     # serving reads query the stored 1-minute KPI table, as the API reads Gold
-    return P.stored(spark, "kpi_minute", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 minute"))
+    return P.stored(
+        spark, "kpi_minute", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 minute"), writer=T.write_kpi_table
+    )
 
 
 @register(
