@@ -26,6 +26,47 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lines
+
+    out = lines.drop_template_lines(_docs(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
+), raw AS (
+  SELECT doc_id, text, unnest(ls) AS l, unnest(range(len(ls))) AS ln FROM d
+), w AS (
+  SELECT doc_id, text, ln, list_filter(regexp_split_to_array(
+           regexp_replace(l, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda x: x <> '') AS words
+  FROM raw
+), p AS (
+  SELECT doc_id, text, ln, words, len(words) || ' ' || array_to_string(words[1:4], ' ') AS leaf, array_to_string(words, ' ') AS sig
+  FROM w WHERE len(words) > 0
+), wide AS (
+  SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5
+), s AS (
+  SELECT leaf, sig, any_value(words) AS words, count(DISTINCT doc_id) AS docs FROM p WHERE leaf IN (SELECT leaf FROM wide) GROUP BY leaf, sig
+), t AS (
+  SELECT leaf, sig, docs, len(words) AS size, unnest(words) AS token, unnest(range(len(words))) AS pos FROM s
+), c AS (
+  SELECT leaf, pos, token FROM t GROUP BY ALL HAVING sum(docs) >= 5
+), hit AS (
+  SELECT leaf, sig FROM t JOIN c USING (leaf, pos, token) GROUP BY leaf, sig, size HAVING count(*) / size >= 0.6
+), h AS (
+  SELECT leaf, doc_id, ln, row_number() OVER (PARTITION BY leaf ORDER BY doc_id, ln) AS nth FROM p JOIN hit USING (leaf, sig)
+), gone AS (
+  SELECT doc_id, list(ln) AS ats FROM h WHERE nth > 1 GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(ats), 0) AS BIGINT) AS n_dropped,
+       sha256(array_to_string(list_transform(list_filter(range(len(string_split(text, chr(10)))),
+              lambda i: NOT coalesce(list_contains(ats, i), false)), lambda i: string_split(text, chr(10))[i + 1]), chr(10))) AS text_sha256
+FROM documents LEFT JOIN gone USING (doc_id)
+"""
+
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -80,5 +121,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op2_pii": op2_pii, "op7_chat": op7_chat}
-SQL = {"op7_chat": OP7_SQL}
+SPARK = {"op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op7_chat": op7_chat}
+SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
