@@ -67,6 +67,13 @@ SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS
 FROM documents LEFT JOIN gone USING (doc_id)
 """
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import substrings
+
+    out = substrings.drop_repeats(_docs(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -121,5 +128,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op7_chat": op7_chat}
+SPARK = {"op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
