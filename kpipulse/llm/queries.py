@@ -74,6 +74,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard
+
+    return jaccard.similar_classes(_docs(spark, sf_dir))
+
+
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -128,5 +134,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
+SPARK = {"op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
