@@ -12,6 +12,14 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import packing
+
+    return packing.pack(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
 
@@ -134,5 +142,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
+SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
