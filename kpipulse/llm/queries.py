@@ -82,6 +82,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = _docs(spark, sf_dir)
+    rules = quality.learn_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+    stats = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality.judge(docs, rules).select("doc_id", *stats, "base_failed", "kept")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jaccard
 
@@ -142,5 +151,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
+SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}

@@ -167,3 +167,15 @@ def window_starts(starts: np.ndarray, size: int) -> np.ndarray:
     """Positions where a window of ``size`` words of one text starts."""
     ends = np.repeat(starts[1:], np.diff(starts))
     return np.flatnonzero(np.arange(len(ends)) + size <= ends)
+
+
+def order_by_doc(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """An order by document, then hash: one sort on 16 + 48 bits, and a full
+    one where documents are too many or 48 bits of different hashes agree."""
+    if len(doc) and int(doc.max()) >> 16:
+        return np.lexsort((h, doc))
+    order = np.argsort((doc.astype(np.uint64) << np.uint64(48)) | (h >> np.uint64(16)))
+    near = np.diff((doc[order].astype(np.uint64) << np.uint64(48)) | (h[order] >> np.uint64(16))) == 0
+    if (h[order][1:][near] != h[order][:-1][near]).any():
+        return np.lexsort((h, doc))
+    return order
