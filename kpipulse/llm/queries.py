@@ -75,6 +75,17 @@ SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS
 FROM documents LEFT JOIN gone USING (doc_id)
 """
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = _docs(spark, sf_dir)
+    machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, machine)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import substrings
 
@@ -151,5 +162,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op10_substring_dedup": op10_substring_dedup}
+SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op9_toxicity": op9_toxicity, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}

@@ -57,7 +57,7 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[at[0] : at[-1]], at - at[0]
 
 
-def _cut(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _cut(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of all words, the offsets of the words in them, and the first
     word of each text (with the total at the end)."""
     body, offsets = raw(texts)
@@ -179,3 +179,9 @@ def order_by_doc(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
     if (h[order][1:][near] != h[order][:-1][near]).any():
         return np.lexsort((h, doc))
     return order
+
+
+# names for other modules
+cut_words = _cut
+powers = _powers
+BYTE_VALUES = _BYTE_VALUES
