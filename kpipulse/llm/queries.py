@@ -34,6 +34,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import tokens
+
+    return tokens.count_tokens(_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import lines
 
@@ -162,5 +170,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op9_toxicity": op9_toxicity, "op10_substring_dedup": op10_substring_dedup}
+SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op3_token_counts": op3_token_counts, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op9_toxicity": op9_toxicity, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
