@@ -83,6 +83,13 @@ SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS
 FROM documents LEFT JOIN gone USING (doc_id)
 """
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.find_overlaps(_docs(spark, sf_dir), benchmark)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
@@ -170,5 +177,5 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op3_token_counts": op3_token_counts, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op9_toxicity": op9_toxicity, "op10_substring_dedup": op10_substring_dedup}
+SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op3_token_counts": op3_token_counts, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op8_decontamination": op8_decontamination, "op9_toxicity": op9_toxicity, "op10_substring_dedup": op10_substring_dedup}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}

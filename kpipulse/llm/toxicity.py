@@ -44,16 +44,20 @@ for _c in range(256):
         _TERM[_c] = _c + 32 if 65 <= _c <= 90 else _c
 
 
-def terms(texts: pa.Array, slot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bucket of each distinct term of each text, sorted. With
-    ``slot`` only buckets that have one."""
+def plain(texts: pa.Array) -> pa.Array:
+    """Texts in lower case with a space for each byte that ends a term."""
     body, offsets = W.raw(texts)
-    plain = pa.LargeBinaryArray.from_buffers(
+    return pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(_TERM[body])]
     )
+
+
+def terms(texts: pa.Array, slot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bucket of each distinct term of each text, sorted. With
+    ``slot`` only buckets that have one."""
     row = None
     keys = []
-    for buckets, starts in hashed(plain):
+    for buckets, starts in hashed(plain(texts)):
         if row is None:
             row = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(starts))
         known = slice(None) if slot is None else slot[buckets] >= 0
