@@ -1,17 +1,76 @@
-"""Corpus pipeline: stages over the documents table, each written as Parquet
-and read again as the next one's input."""
+"""Corpus pipeline: from documents to packed token sequences.
+
+``STAGES`` lists (name, function) pairs; a function takes ``(spark, docs,
+sf_dir)`` and returns a DataFrame, which is written as Parquet and read again
+as the next one's ``docs``. All but the last return the columns of documents.
+
+1. quality rules: documents that the base rules or the learned list reject go;
+2. line dedup: lines of templates that recur across documents are taken out
+   (a document left without a word goes);
+3. n-gram Jaccard join: the first document of each group of near copies stays
+   (rows that repeat a ``doc_id`` stay or go together);
+4. benchmark decontamination: documents with a benchmark passage go;
+5. packing: token ids of what is left, packed into sequences.
+
+The stages use learned rules, hashes of sets and a tokenizer, so SQL cannot
+express them; tests compare each stage with a brute-force version.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kpipulse.llm import decontaminate, jaccard, lines, packing, quality
+from kpipulse.llm.store import stored
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    rules = quality.learn_rules(docs, labels)
+    return quality.judge(docs, rules).filter("kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = lines.drop_template_lines(docs)
+    emptied = (F.col("n_dropped") > 0) & (F.regexp_replace("text", f"[\\n{lines.SPACE}]+", "") == "")
+    left = out.filter(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    classes = jaccard.similar_classes(docs.select("doc_id", "text"))
+    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay"))
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.remove_contaminated(docs, benchmark)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs.select("doc_id", "text"), TOKENIZER)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("packing", pack),
+]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from kpipulse.llm.store import stored
-
+    """All stages over the documents of ``sf_dir``, each stored and reread."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
