@@ -97,17 +97,17 @@ def drop_template_lines(docs: DataFrame, depth: int = 4, min_docs: int = 5, simi
     """``docs`` with the instances of recurring templates taken out of
     ``text``, plus ``n_lines`` and ``n_dropped``."""
     drops = find_instances(docs, depth, min_docs, similarity)
-    per_doc = drops.groupBy(F.col("doc").alias("_doc"), F.col("hash").alias("_hash")).agg(F.collect_list("line").alias("_drop"))
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    joined = keyed.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_hash")), "left")
+    per_doc = drops.groupBy(F.col("doc").alias("__line_doc"), F.col("hash").alias("__line_hash")).agg(F.collect_list("line").alias("__line_drop"))
+    keyed = docs.withColumn("__line_key", F.xxhash64("text"))
+    joined = keyed.join(per_doc, F.col("doc_id").eqNullSafe(F.col("__line_doc")) & (F.col("__line_key") == F.col("__line_hash")), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
-    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.element_at(F.col("_lines"), i + 1)), "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__line_drop"))
+    text = F.when(F.col("__line_drop").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.element_at(F.col("__line_all"), i + 1)), "\n")
     )
     others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return joined.withColumn("_lines", lines).select(
+    return joined.withColumn("__line_all", lines).select(
         *[text.alias(c) if c == "text" else F.col(c) for c in others],
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size("__line_drop"), F.lit(0)).cast("long").alias("n_dropped"),
     )
