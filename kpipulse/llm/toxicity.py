@@ -7,8 +7,8 @@ the linear weights a learned interaction of each pair of terms, the inner
 product of their factors, computed in linear time from two sums per factor.
 
 The machine is fitted on a bounded sample of labelled rows (``MAX_LABELLED``,
-by hash of the id): buckets are screened by chi-square to ``MAX_TERMS``, then
-weights and factors follow mini-batch AdaGrad on the logistic loss. The model
+by hash of the id): Spark counts the buckets and keeps ``MAX_TERMS`` of them by
+chi-square, then weights and factors follow mini-batch AdaGrad on the logistic loss. The model
 is a few megabytes whatever the corpus is; scoring is one pass over
 all texts.
 
@@ -100,23 +100,30 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def screen(row: np.ndarray, bucket: np.ndarray, y: np.ndarray, most: int, min_rows: int = 3) -> np.ndarray:
-    """Buckets with the largest chi-square against the label."""
-    n, pos = len(y), y.sum()
-    seen = np.bincount(bucket, minlength=1 << BITS).astype(float)
-    a = np.bincount(bucket, y[row].astype(float), minlength=1 << BITS)
-    want = seen * pos / n
-    spread = want * (1 - pos / n) * (1 - seen / n)
-    chi = np.where((seen >= min_rows) & (spread > 0), (a - want) ** 2 / np.maximum(spread, 1e-12), 0)
-    best = np.argsort(-chi, kind="stable")[:most]
-    return np.sort(best[chi[best] > 0])
+def screen(counts: DataFrame, n: int, pos: int, most: int, min_rows: int = 3) -> np.ndarray:
+    """Buckets with the largest chi-square against the label, from ``bucket,
+    seen, hits`` (documents with the term, and how many of them are ones)."""
+    want = F.col("seen") * F.lit(pos / n)
+    spread = want * F.lit(1 - pos / n) * (1 - F.col("seen") / F.lit(n))
+    chi = (F.col("hits") - want) ** 2 / spread
+    rows = counts.filter((F.col("seen") >= min_rows) & (spread > 0)).select("bucket", chi.alias("chi")).filter("chi > 0")
+    return np.array(sorted(r["bucket"] for r in rows.orderBy(F.desc("chi"), "bucket").limit(most).collect()), np.int64)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch: each bucket, in how many texts it is, and in how many ones."""
+    for batch in batches:
+        row, bucket = terms(W.as_binary(batch["text"]))
+        toxic = batch["toxic"].to_numpy()[row]
+        found, place = np.unique(bucket, return_inverse=True)
+        columns = [found, np.bincount(place, minlength=len(found)), np.bincount(place, toxic, len(found)).astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["bucket", "seen", "hits"])
 
 
 def fit(
     row: np.ndarray,
     bucket: np.ndarray,
     y: np.ndarray,
-    most: int = MAX_TERMS,
     factors: int = FACTORS,
     epochs: int = 15,
     batch: int = 256,
@@ -130,13 +137,11 @@ def fit(
     if share in (0.0, 1.0) or not len(y):
         share = min(max(share, 1e-3), 1 - 1e-3)
         return Machine(slot, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, factors)))
-    chosen = screen(row, bucket, y, most)
+    chosen = np.unique(bucket)
     slot[chosen] = np.arange(len(chosen))
-    term = slot[bucket]
-    row, term = row[term >= 0], term[term >= 0]
     order = np.argsort(row, kind="stable")
-    row, term = row[order], term[order]
-    first = np.searchsorted(row, np.arange(len(y) + 1))
+    term = slot[bucket][order]
+    first = np.searchsorted(row[order], np.arange(len(y) + 1))
     rng = np.random.default_rng(seed)
     base, w, v = float(np.log(share / (1 - share))), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), factors))
     gb, gw, gv = 1e-6, np.full(len(chosen), 1e-6), np.full((len(chosen), factors), 1e-6)
@@ -173,22 +178,32 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic")
         .limit(max_labelled)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    known = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    known = known.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
+    total = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("pos")).first()
+    if not 0 < total["pos"] < total["n"]:
+        return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.full(total["n"], float(total["pos"] > 0)))
+    counts = known.mapInArrow(_counts, "bucket long, seen long, hits long").groupBy("bucket")
+    best = screen(counts.agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits")), total["n"], total["pos"], MAX_TERMS)
+    slot = np.full(1 << BITS, -1, np.int32)
+    slot[best] = 1
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.as_binary(batch["text"])
-            row, bucket = terms(texts)
+            row, bucket = terms(texts, slot)
             cuts = np.searchsorted(row, np.arange(len(texts) + 1))
             packed = [bucket[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(packed, pa.binary())], ["doc_id", "toxic", "terms"])
 
-    # at most max_labelled rows, and as many more as repeat an id
-    known = rows.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(collect, "doc_id long, toxic int, terms binary").collect()
-    known.sort(key=lambda r: (r["doc_id"], r["toxic"], r["terms"]))
-    lists = [np.frombuffer(r["terms"], "<i4") for r in known]
+    # at most max_labelled rows (and as many more as repeat an id) with at most
+    # MAX_TERMS terms each
+    rows = known.mapInArrow(collect, "doc_id long, toxic int, terms binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["terms"]))
+    lists = [np.frombuffer(r["terms"], "<i4") for r in rows]
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists]).astype(np.int64)
-    return fit(row, np.concatenate([np.zeros(0, "<i4"), *lists]).astype(np.int64), np.array([r["toxic"] for r in known], float))
+    bucket = np.concatenate([np.zeros(0, "<i4"), *lists]).astype(np.int64)
+    return fit(row, bucket, np.array([r["toxic"] for r in rows], float))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
