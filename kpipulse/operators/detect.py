@@ -23,11 +23,14 @@ The folds are JVM higher-order functions (``aggregate``), no Python.
 
 Cooldown (``apply_cooldown``): a warning within ``cooldown`` of the last
 emitted alert of the same metric is dropped; criticals always pass; every
-emitted alert resets the clock. Candidates are cut into chains (a new chain
-starts at a seed, a critical, or after a gap of at least ``cooldown`` since
-the previous candidate); a chain's first member is always emitted, so chains
-are independent. Short chains are folded in order in one group; long ones are
-walked by pointer doubling, so no group holds more than ``max_fold`` items.
+emitted alert resets the clock. Warnings less than ``cooldown`` after the
+newest stored alert, or before it, are dropped first. The rest is cut into
+chains (a new chain starts at a critical, or after a gap of at least
+``cooldown`` since the previous candidate); a chain's first member is always
+emitted, so chains are independent, and each is folded in order. A chain holds
+at most one candidate per window and ends with the first quiet cooldown: a
+whole year of unbroken one-minute warnings of one metric is half a million
+small rows.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contract import GUARD_METRICS, SEVERITY_CRITICAL, SEVERITY_WARNING, DetectorParams
+from ..contract import DETAILS_METHOD, GUARD_METRICS, SEVERITY_CRITICAL, SEVERITY_WARNING, DetectorParams
 from ..functions.columns import alert_id as alert_id_col
 
 
@@ -231,42 +234,26 @@ def last_alert_per_metric(alerts: DataFrame, rule_name: str | None = None) -> Da
     return src.groupBy("metric").agg(F.max("window_start").alias("last_window_start"))
 
 
-MAX_FOLD = 4096
 SUPER = 4096
 
 
-def _chains(cands: DataFrame, p: DetectorParams, seeds: DataFrame | None) -> DataFrame:
-    """Candidates (and seeds) with their chain id and chain size.
+def _chains(cands: DataFrame, p: DetectorParams) -> DataFrame:
+    """Candidates with their chain id.
 
-    A chain starts at a seed, a critical, or a candidate with no other within
-    the cooldown before it; its id is the start's epoch, found as a prefix max
+    A chain starts at a critical, or a candidate with no other within the
+    cooldown before it; its id is the start's epoch, found as a prefix max
     inside cooldown-wide buckets, carried across buckets by a prefix max over
     one summary row per (metric, bucket).
     """
     c_us = p.cooldown_s * 1_000_000
-    cols = cands.columns
-    base = cands.select(
-        "metric", _epoch().alias("ep"), F.lit(0).alias("kind"), "severity", F.struct(*cols).alias("row")
-    )
-    if seeds is not None:
-        s = seeds.select(
-            "metric", F.unix_micros(F.col("last_window_start").cast("timestamp")).alias("ep")
-        ).withColumn("kind", F.lit(1))
-        # a candidate at a seed's window is already alerted
-        base = base.join(s.select("metric", "ep"), ["metric", "ep"], "left_anti")
-        allc = base.unionByName(s, allowMissingColumns=True)
-    else:
-        allc = base
-    rep = _replicate(allc, c_us)
+    base = cands.select("metric", _epoch().alias("ep"), "severity", F.struct(*cands.columns).alias("row"))
+    rep = _replicate(base, c_us)
     w_prev = Window.partitionBy("metric", "pb").orderBy("ep").rangeBetween(-c_us, -1)
     starts = (
         rep.withColumn("prev_ep", F.max("ep").over(w_prev))
         .filter("own")
-        .withColumn(
-            "is_start",
-            (F.col("kind") == 1) | (F.col("severity") == SEVERITY_CRITICAL) | F.col("prev_ep").isNull(),
-        )
-        .select("metric", "ep", "kind", "severity", "row", "is_start", F.col("_b").alias("bk"))
+        .withColumn("is_start", (F.col("severity") == SEVERITY_CRITICAL) | F.col("prev_ep").isNull())
+        .select("metric", "ep", "severity", "row", "is_start", F.col("_b").alias("bk"))
     )
     w_in = Window.partitionBy("metric", "bk").orderBy("ep").rowsBetween(Window.unboundedPreceding, 0)
     local = starts.withColumn("local_start", F.max(F.when(F.col("is_start"), F.col("ep"))).over(w_in))
@@ -280,125 +267,67 @@ def _chains(cands: DataFrame, p: DetectorParams, seeds: DataFrame | None) -> Dat
     sup = summ.groupBy("metric", "sb").agg(F.max("bk_start").alias("sb_start"))
     w_s = Window.partitionBy("metric").orderBy("sb").rowsBetween(Window.unboundedPreceding, -1)
     sup = sup.withColumn("sb_carry", F.max("sb_start").over(w_s)).select("metric", "sb", "sb_carry")
-    summ = summ.join(sup, ["metric", "sb"]).select(
-        "metric", "bk", F.coalesce("carry_in", "sb_carry").alias("carry")
-    )
-    chained = local.join(summ, ["metric", "bk"]).withColumn("chain", F.coalesce("local_start", "carry"))
-    chained = chained.select("metric", "ep", "kind", "severity", "row", "is_start", "chain")
-    sizes = chained.groupBy("metric", "chain").agg(F.count(F.lit(1)).alias("chain_n"))
-    return chained.join(sizes, ["metric", "chain"])
+    summ = summ.join(sup, ["metric", "sb"]).select("metric", "bk", F.coalesce("carry_in", "sb_carry").alias("carry"))
+    chained = local.join(summ, ["metric", "bk"])
+    return chained.select("metric", "ep", "severity", "row", F.coalesce("local_start", "carry").alias("chain"))
 
 
 def _fold_chains(chained: DataFrame, c_us: int, row_type: str) -> DataFrame:
-    """Emitted rows of (short) chains: each chain folded in time order."""
+    """Emitted rows: each chain folded in time order."""
     grouped = chained.groupBy("metric", "chain").agg(
-        F.array_sort(F.collect_list(F.struct("ep", "kind", "severity", "row"))).alias("items")
+        F.array_sort(F.collect_list(F.struct("ep", "severity", "row"))).alias("items")
     )
 
     def step(acc, it):
-        emit = (
-            (it["kind"] == 1)
-            | (it["severity"] == SEVERITY_CRITICAL)
-            | acc["last"].isNull()
-            | (it["ep"] - acc["last"] >= F.lit(c_us))
-        )
+        emit = (it["severity"] == SEVERITY_CRITICAL) | acc["last"].isNull() | (it["ep"] - acc["last"] >= F.lit(c_us))
         last = F.when(emit, it["ep"]).otherwise(acc["last"])
-        out = F.when(emit & (it["kind"] == 0), F.concat(acc["out"], F.array(it["row"]))).otherwise(acc["out"])
+        out = F.when(emit, F.concat(acc["out"], F.array(it["row"]))).otherwise(acc["out"])
         return F.struct(last.alias("last"), out.alias("out"))
 
     init = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast(f"array<{row_type}>").alias("out"))
     return grouped.select(F.explode(F.aggregate("items", init, step)["out"]).alias("r"))
 
 
-def _walk_chains(chained: DataFrame, c_us: int, longest: int) -> DataFrame:
-    """Emitted rows of (long) chains by pointer doubling, no chain in one group.
-
-    Inside a chain only its start can be critical or a seed, so the walk
-    emits the start, then repeatedly the first member at least ``cooldown``
-    later. Consecutive members are less than ``cooldown`` apart, so that next
-    member lies in ``[t + c, t + 2c)``: a forward range frame over
-    cooldown-wide buckets (each row copied into its own and the two previous
-    buckets) finds it. Doubling the pointer ``log2(longest)`` times and walking
-    the levels back down marks every emitted member.
-    """
-    b = F.floor(F.col("ep") / F.lit(c_us)).cast("long")
-    rep = chained.withColumn("_b", b).withColumn("pb", F.explode(F.array(b, b - 1, b - 2)))
-    w_next = Window.partitionBy("metric", "pb").orderBy("ep").rangeBetween(c_us, 2 * c_us - 1)
-    nodes = (
-        rep.withColumn("_nx", F.min(F.struct(F.col("ep").alias("ep"), F.col("chain").alias("chain"))).over(w_next))
-        .filter(F.col("pb") == F.col("_b"))
-        .select(
-            "metric",
-            "ep",
-            "kind",
-            "is_start",
-            "row",
-            F.when(F.col("_nx.chain") == F.col("chain"), F.col("_nx.ep")).alias("nxt"),
-        )
-        .checkpoint()
-    )
-    levels = [nodes.select("metric", "ep", F.col("nxt").alias("j"))]
-    k_max = max(1, (longest - 1).bit_length())
-    for _ in range(1, k_max):
-        prev = levels[-1]
-        a, b2 = prev.alias("a"), prev.alias("b")
-        nxt = a.join(b2, (F.col("a.metric") == F.col("b.metric")) & (F.col("a.j") == F.col("b.ep")), "left").select(
-            F.col("a.metric").alias("metric"), F.col("a.ep").alias("ep"), F.col("b.j").alias("j")
-        )
-        levels.append(nxt.checkpoint())
-    marked = nodes.filter("is_start").select("metric", "ep")
-    for lvl in reversed(levels):
-        hop = marked.join(lvl, ["metric", "ep"]).select("metric", F.col("j").alias("ep")).filter(F.col("ep").isNotNull())
-        marked = marked.unionByName(hop).checkpoint()
-    kept = nodes.filter(F.col("kind") == 0).join(marked, ["metric", "ep"], "left_semi")
-    return kept.select(F.col("row").alias("r"))
-
-
-def apply_cooldown(
-    cands: DataFrame,
-    p: DetectorParams = DetectorParams(),
-    seeds: DataFrame | None = None,
-    max_fold: int = MAX_FOLD,
-) -> DataFrame:
+def apply_cooldown(cands: DataFrame, p: DetectorParams = DetectorParams(), seeds: DataFrame | None = None) -> DataFrame:
     """Keep the candidates an in-order walk with cooldown would emit.
 
     ``seeds`` (``metric, last_window_start``), e.g. from
-    ``last_alert_per_metric``, are earlier alerts that start the clock.
-    Candidates are cut into independent chains. Chains of at most ``max_fold``
-    items are folded in order in one group; longer ones are walked by pointer
-    doubling, so no group ever holds more than ``max_fold`` items. Each
-    candidate row travels as a struct, so no join back is needed.
+    ``last_alert_per_metric``, are the newest stored alerts: a warning passes
+    only a cooldown or more after its metric's seed. One plan for every size;
+    each candidate row travels as a struct, so no join back is needed.
     """
     c_us = p.cooldown_s * 1_000_000
     if c_us <= 0:
         return cands
     cols = cands.columns
+    if seeds is not None:
+        newest = seeds.select("metric", F.unix_micros(F.col("last_window_start").cast("timestamp")).alias("_seed"))
+        late = F.coalesce(_epoch() - F.col("_seed") >= F.lit(c_us), F.lit(True))
+        cands = cands.join(newest, "metric", "left").filter((F.col("severity") == SEVERITY_CRITICAL) | late).select(*cols)
     row_type = cands.select(F.struct(*cols).alias("row")).schema["row"].dataType.simpleString()
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(cands.sparkSession)
-    chained = _chains(cands, p, seeds).checkpoint()
-    longest = chained.filter(F.col("chain_n") > max_fold).agg(F.max("chain_n")).first()[0]
-    kept = _fold_chains(chained.filter(F.col("chain_n") <= max_fold), c_us, row_type)
-    if longest is not None:
-        kept = kept.unionByName(_walk_chains(chained.filter(F.col("chain_n") > max_fold), c_us, longest))
+    kept = _fold_chains(_chains(cands, p), c_us, row_type)
     return kept.select(*[F.col(f"r.{c}").alias(c) for c in cols])
 
 
+def _minutes(seconds: int) -> Column:
+    """Minutes for the details: a whole number where there is one."""
+    return F.lit(seconds // 60) if seconds % 60 == 0 else F.lit(seconds / 60.0)
+
+
 def alerts_from(kept: DataFrame, p: DetectorParams = DetectorParams()) -> DataFrame:
     """Alert rows: id, created_at, window, metric, value, baseline, score,
     severity, rule, details JSON (method, parameters, mu, sigma)."""
     details = F.to_json(
         F.struct(
-            F.lit("ewma+zscore(residual)").alias("method"),
+            F.lit(DETAILS_METHOD).alias("method"),
             F.lit(p.alpha).alias("ewma_alpha"),
             F.lit(p.rolling).alias("rolling_window"),
             F.lit(p.warn_z).alias("warn_z"),
             F.lit(p.crit_z).alias("crit_z"),
             F.col("mu").alias("mu"),
             F.col("sigma").alias("sigma"),
-            F.lit(p.ignore_recent_minutes).alias("ignore_recent_minutes"),
-            F.lit(p.cooldown_minutes).alias("cooldown_minutes"),
+            _minutes(p.ignore_recent_s).alias("ignore_recent_minutes"),
+            _minutes(p.cooldown_s).alias("cooldown_minutes"),
         )
     )
     return kept.select(

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from .dedupe import dedupe
 
@@ -52,87 +53,57 @@ def with_created_at(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("created_at", F.current_timestamp())
 
 
-def kpi_layout(kpi: DataFrame) -> DataFrame:
-    """Storage layout of the KPI table: a ``window_date`` partition column and
-    rows sorted by ``(metric, window_start)`` inside each file, so range and
-    latest reads prune by partition and by row-group statistics."""
-    return kpi.withColumn("window_date", F.to_date("window_start")).sortWithinPartitions("metric", "window_start")
+def write_kpi_table(kpi: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store KPI rows partitioned by ``window_date``, each file sorted by
+    ``(metric, window_start)``: range and latest reads prune by partition and
+    by row-group statistics.
+
+    Rows of a date meet in one task (a date of one-minute KPIs is 14,400
+    rows), and the sort leads with the date because the partitioned write
+    needs it: the order inside is then kept.
+    """
+    dated = kpi.withColumn("window_date", F.to_date("window_start"))
+    rows = dated.repartition("window_date").sortWithinPartitions("window_date", "metric", "window_start")
+    rows.write.mode(mode).partitionBy("window_date").parquet(path)
 
 
-def write_kpi_table(kpi: DataFrame, path: str, mode: str = "overwrite") -> None:
-    kpi_layout(kpi).write.mode(mode).partitionBy("window_date").parquet(path)
+KPI_VERSION_SCHEMA = StructType(
+    [
+        StructField("window_start", TimestampType(), True),
+        StructField("metric", StringType(), True),
+        StructField("value", DoubleType(), True),
+        StructField("run", IntegerType(), True),
+        StructField("batch", IntegerType(), True),
+        StructField("window_date", DateType(), True),
+    ]
+)
 
 
 def write_versioned_batch(batch: DataFrame, path: str, run: int, batch_id: int) -> None:
-    """One micro-batch of KPI rows into its own folder (overwrite = replay-safe)."""
-    (
-        batch.select("window_start", "metric", "value")
-        .write.mode("overwrite")
-        .parquet(f"{path.rstrip('/')}/run={run}/batch={batch_id}")
-    )
+    """One micro-batch of KPI rows into its own folder (overwrite =
+    replay-safe), one sorted file per window date."""
+    write_kpi_table(batch.select("window_start", "metric", "value"), f"{path.rstrip('/')}/run={run}/batch={batch_id}")
 
 
 def read_versioned(spark, path: str) -> DataFrame:
-    """Current KPI rows: per window, the rows of the newest ``(run, batch)``."""
-    raw = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/run=*/batch=*")
+    """Current KPI rows: per window, the rows of the newest ``(run, batch)``;
+    an empty table before the first batch. Versions are never deleted by a
+    writer, so a reader keeps the view it has listed."""
+    from ..sources import files as FS
+
+    if not any(d.startswith("run=") for d in FS.child_dirs(spark, path)):
+        return latest_versions(spark.createDataFrame([], KPI_VERSION_SCHEMA))
+    raw = spark.read.schema(KPI_VERSION_SCHEMA).option("basePath", path).parquet(f"{path.rstrip('/')}/run=*/batch=*")
     return latest_versions(raw)
 
 
 def latest_versions(raw: DataFrame) -> DataFrame:
-    """Per window, the rows of its newest ``(run, batch)``; identical copies
-    inside one version (a compacted snapshot next to the batch's own rows)
-    collapse to one. Both steps reuse the partitioning by ``window_start``."""
+    """Per window, the rows of its newest ``(run, batch)``, with the
+    ``window_date`` column that date predicates prune by."""
     ver = F.struct(F.col("run").cast("long"), F.col("batch").cast("long"))
-    w = Window.partitionBy("window_start")
+    w = Window.partitionBy("window_start", "window_date")
     newest = raw.withColumn("_v", ver).withColumn("_m", F.max("_v").over(w)).filter(F.col("_v") == F.col("_m"))
-    return newest.select("window_start", "metric", "value").dropDuplicates(["window_start", "metric"])
-
-
-def _versions(spark, path: str) -> list[tuple[int, int]]:
-    from ..sources import files as FS
-
-    out = []
-    for run_dir in FS.child_dirs(spark, path):
-        if not run_dir.startswith("run="):
-            continue
-        for batch_dir in FS.child_dirs(spark, f"{path.rstrip('/')}/{run_dir}"):
-            if batch_dir.startswith("batch="):
-                try:
-                    out.append((int(run_dir[4:]), int(batch_dir[6:])))
-                except ValueError:
-                    pass
-    return sorted(out)
-
-
-def compact_versions(spark, path: str, upto: tuple[int, int] | None = None) -> tuple[int, int] | None:
-    """Fold all KPI versions up to ``upto`` into that version's folder and
-    delete the older folders, so listing does not grow with micro-batches.
-
-    ``upto`` defaults to the second-newest version: a stream starts a batch
-    only after committing the previous one, so that version is never
-    replayed. The snapshot (the current view as of ``upto``) is appended next
-    to that batch's own rows (identical rows collapse on read) and written
-    before anything is deleted, so a concurrent reader sees a complete view
-    throughout; later versions keep winning over it. Returns the version
-    compacted into, or None when there is nothing to fold.
-    """
-    from ..sources import files as FS
-
-    versions = _versions(spark, path)
-    if upto is None:
-        if len(versions) < 2:
-            return None
-        upto = versions[-2]
-    old = [v for v in versions if v <= upto]
-    if len(old) < 2:
-        return None
-    base = path.rstrip("/")
-    folders = [f"{base}/run={r}/batch={b}" for r, b in old]
-    snapshot = latest_versions(spark.read.option("basePath", base).parquet(*folders))
-    snapshot.write.mode("append").parquet(folders[-1])
-    for folder in folders[:-1]:
-        FS.delete(spark, folder)
-    return upto
+    return newest.select("window_start", "metric", "value", "window_date")
 
 
 def constraint_report(df: DataFrame, keys: list[str], not_null: list[str]) -> DataFrame:

@@ -4,64 +4,85 @@ A Structured Streaming query over the versioned KPI folder written by
 ``jobs.gold_query``. Each micro-batch holds the KPI rows of newly written
 versions; the ``foreachBatch`` callback
 
-1. takes the windows of the batch as the polls to run (each new window ``u``
-   is "the newest window a poll sees", so its predecessor gets scored),
+1. takes the windows of the batch that are newer than any window polled
+   before as the polls to run (each such window ``u`` is "the newest window a
+   poll sees", so its predecessor gets scored); re-emitted and late windows
+   are not polled again, so each window is scored once,
 2. reads the current KPI rows in ``[min(u) - lookback, max(u)]`` (a range
    filter that reaches the scan: the read is bounded by the batch span plus
    one lookback, not by the table),
 3. scores those polls with ``score_all``, applies the threshold and the
    cooldown seeded from the newest stored alert per metric,
-4. appends only alert ids that are not in the table yet (reading only alerts
-   from one cooldown before the batch's history range onward).
-
-State lives in the two tables, so the query restarts from its checkpoint
-and a replayed batch inserts nothing twice.
+4. appends only alert ids that are not in the table yet (the read is bounded
+   by date, from one cooldown before the batch's history range onward), one
+   file per alert date,
+5. records the newest window polled in its own folder per batch; a replayed
+   batch looks at earlier batches only, so it runs the same polls again and
+   inserts nothing twice.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from ..contract import DetectorParams
 from ..operators import detect as D
-from ..operators.tables import read_versioned
+from ..operators.tables import KPI_VERSION_SCHEMA, read_versioned
 from ..sources import files as FS
 from .jobs import _trigger
 
-KPI_VERSION_SCHEMA = StructType(
-    [
-        StructField("window_start", TimestampType(), True),
-        StructField("metric", StringType(), True),
-        StructField("value", DoubleType(), True),
-        StructField("run", IntegerType(), True),
-        StructField("batch", IntegerType(), True),
-    ]
-)
-
-
-def detect_batch(spark: SparkSession, new_kpi: DataFrame, kpi: DataFrame, alerts: DataFrame | None, p: DetectorParams) -> DataFrame:
-    """Alert rows to insert for the polls whose newest window is in ``new_kpi``.
+def detect_batch(
+    spark: SparkSession,
+    new_kpi: DataFrame,
+    kpi: DataFrame,
+    alerts: DataFrame | None,
+    p: DetectorParams,
+    polled: datetime | None = None,
+) -> DataFrame:
+    """Alert rows to insert for the polls whose newest window is in
+    ``new_kpi`` and after ``polled`` (the newest window polled before).
 
     ``kpi`` is the current KPI table, ``alerts`` the stored alerts (or None).
     """
     polls = new_kpi.select(F.col("window_start").alias("poll_window")).distinct()
+    if polled is not None:
+        polls = polls.filter(F.col("poll_window") > F.lit(polled))
     lo = polls.select(F.min("poll_window")).scalar() - F.make_interval(secs=F.lit(float(p.lookback_s)))
     hi = polls.select(F.max("poll_window")).scalar()
-    hist = kpi.filter((F.col("window_start") >= lo) & (F.col("window_start") <= hi))
-    scores = D.score_all(hist, p, polls=polls)
-    if alerts is not None:
-        # only recent alerts matter: scored windows are >= lo, and an alert more
-        # than one cooldown before that cannot suppress any of them. The range
-        # filter reaches the alert table scan, so the read does not grow with it.
-        alerts = alerts.filter(F.col("window_start") >= lo - F.make_interval(secs=F.lit(float(p.cooldown_s))))
-    seeds = None if alerts is None else D.last_alert_per_metric(alerts, p.rule_name)
-    fresh = D.alerts_from(D.apply_cooldown(D.candidates(scores, p), p, seeds), p)
+    wanted = (F.col("window_start") >= lo) & (F.col("window_start") <= hi)
+    if "window_date" in kpi.columns:
+        wanted &= (F.col("window_date") >= F.to_date(lo)) & (F.col("window_date") <= F.to_date(hi))
+    scores = D.score_all(kpi.filter(wanted), p, polls=polls)
     if alerts is None:
-        return fresh
-    return fresh.join(alerts.select("alert_id"), "alert_id", "left_anti")
+        return D.alerts_from(D.apply_cooldown(D.candidates(scores, p), p), p)
+    # the newest alert of a metric decides; one more than a cooldown before the
+    # first scored window suppresses nothing, so older dates are not read
+    since = lo - F.make_interval(secs=F.lit(float(p.cooldown_s)))
+    recent = alerts.filter(F.col("window_start") >= since)
+    if "window_date" in alerts.columns:
+        recent = recent.filter(F.col("window_date") >= F.to_date(since))
+    fresh = D.alerts_from(D.apply_cooldown(D.candidates(scores, p), p, D.last_alert_per_metric(recent, p.rule_name)), p)
+    return fresh.join(recent.select("alert_id"), "alert_id", "left_anti")
+
+
+def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
+    """Alert rows partitioned by date, one file per date and write."""
+    dated = alerts.withColumn("window_date", F.to_date("window_start"))
+    rows = dated.repartition("window_date").sortWithinPartitions("window_date", F.desc("window_start"), "metric")
+    rows.write.mode(mode).partitionBy("window_date").parquet(path)
+
+
+def polled_before(spark: SparkSession, path: str, batch_id: int) -> datetime | None:
+    """Newest window polled by the batches before ``batch_id``."""
+    done = [int(d[6:]) for d in FS.child_dirs(spark, path) if d.startswith("batch=")]
+    if not any(b < batch_id for b in done):
+        return None
+    marks = spark.read.schema("newest timestamp, batch int").option("basePath", path).parquet(path)
+    return marks.filter(F.col("batch") < batch_id).agg(F.max("newest").alias("t")).first()["t"]
 
 
 def detector_query(
@@ -74,17 +95,33 @@ def detector_query(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     r = spark.readStream.format("parquet").schema(KPI_VERSION_SCHEMA).option("basePath", kpi_path)
+    r = r.option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     versions = r.load(kpi_path)
+    polls_path = checkpoint.rstrip("/") + ".polls"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        newest = batch.agg(F.max("window_start").alias("newest"))
+        mark = newest.first()["newest"]
+        if mark is None:
             return
-        kpi = read_versioned(spark, kpi_path)
-        alerts = spark.read.parquet(alerts_path) if FS.exists(spark, alerts_path) else None
-        out = detect_batch(spark, batch.select("window_start", "metric", "value"), kpi, alerts, p)
-        out.write.mode("append").parquet(alerts_path)
+        polled = polled_before(spark, polls_path, batch_id)
+        if polled is None or mark > polled:
+            alerts = read_alerts(spark, alerts_path) if FS.exists(spark, alerts_path) else None
+            new = batch.select("window_start", "metric", "value")
+            write_alerts(detect_batch(spark, new, read_versioned(spark, kpi_path), alerts, p, polled), alerts_path)
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{polls_path}/batch={batch_id}")
 
     w = versions.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
+
+
+ALERT_SCHEMA = (
+    "alert_id string, created_at timestamp, window_start timestamp, metric string, value double, baseline double, "
+    "score double, severity string, rule_name string, details string, window_date date"
+)
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ALERT_SCHEMA).option("basePath", path).parquet(path)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
-from ..contract import ENVELOPE_SCHEMA, EVENT_SCHEMA, QUARANTINE_COLUMNS
+from ..contract import ENVELOPE_SCHEMA, EVENT_SCHEMA
 from ..operators.bronze import lineage_projection, to_bronze
 from ..operators.kpis import kpis_long
 from ..operators.tables import read_versioned, write_versioned_batch
@@ -61,14 +61,15 @@ SILVER_READ_SCHEMA = StructType(
 )
 
 
-def kafka_source(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
-    """Broker topic as a stream (needs the Kafka connector on the classpath)."""
+def kafka_source(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest", fail_on_data_loss: bool = True) -> DataFrame:
+    """Broker topic as a stream (needs the Kafka connector on the classpath).
+    ``fail_on_data_loss=False`` goes on when the broker has dropped offsets."""
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
     )
     return lineage_projection(raw)
@@ -84,8 +85,10 @@ def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger:
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Partitioned parquet folder as a stream, explicit schema and base path."""
-    r = spark.readStream.format("parquet").schema(schema).option("basePath", path)
+    """Partitioned parquet folder as a stream, explicit schema and base path.
+    Files removed between listing and reading (retention) are skipped here, on
+    the stream source only."""
+    r = spark.readStream.format("parquet").schema(schema).option("basePath", path).option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
@@ -97,38 +100,24 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def cluster_for_write(df: DataFrame, part_cols: list[str], files_per_partition: int | None, salt_col: str) -> DataFrame:
-    """Hash-cluster rows by the partition columns plus a salt of
-    ``files_per_partition`` values before a partitioned file sink.
-
-    Without it every task writes into every date/hour folder it holds rows
-    for (tasks x folders small files). The salt keeps a hot hour spread over
-    ``files_per_partition`` tasks instead of one.
-    """
-    if not files_per_partition:
-        return df
-    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in part_cols], salt)
+def folders(date: str, hour: str, by_hour: bool) -> list[str]:
+    """Partition folders of a sink. Hour folders suit dense live streams,
+    whose micro-batches span an hour or two; sparse backfills span hundreds,
+    and keep the hour as a column instead. Either way a task writes what it
+    has: the width of the write is that of the input (or of the dedupe
+    shuffle), with no further shuffle and no fixed number of writers."""
+    return [date, hour] if by_hour else [date]
 
 
-def bronze_query(
-    envelope: DataFrame,
-    out_path: str,
-    checkpoint: str,
-    trigger: str | None = None,
-    files_per_partition: int | None = None,
-) -> StreamingQuery:
-    """Bronze sink. Narrow by default (no shuffle: a live micro-batch spans one
-    or two ingest hours); ``files_per_partition`` clusters by ingest hour
-    first, for backfills whose batches span many hours."""
-    bronze = cluster_for_write(to_bronze(envelope), ["ingest_date", "ingest_hour"], files_per_partition, "kafka_offset")
+def bronze_query(envelope: DataFrame, out_path: str, checkpoint: str, trigger: str | None = None, by_hour: bool = True) -> StreamingQuery:
+    """Bronze sink: narrow, no shuffle."""
     w = (
-        bronze
+        to_bronze(envelope)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("ingest_date", "ingest_hour")
+        .partitionBy(*folders("ingest_date", "ingest_hour", by_hour))
     )
     return _trigger(w, trigger).start()
 
@@ -156,17 +145,15 @@ def silver_queries(
     watermark: str = "1 hour",
     dedupe: str = "within_watermark",
     trigger: str | None = None,
-    files_per_partition: int | None = 8,
+    by_hour: bool = True,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     good, bad = silver_frames(bronze, watermark, dedupe)
-    good = cluster_for_write(good, ["event_date", "event_hour"], files_per_partition, "event_id")
-    bad = cluster_for_write(bad, ["ingest_date", "ingest_hour"], files_per_partition, "kafka_offset")
     qq = _trigger(
         bad.writeStream.format("parquet")
         .outputMode("append")
         .option("path", quarantine_path)
         .option("checkpointLocation", quarantine_ckpt)
-        .partitionBy("ingest_date", "ingest_hour"),
+        .partitionBy(*folders("ingest_date", "ingest_hour", by_hour)),
         trigger,
     ).start()
     qs = _trigger(
@@ -174,7 +161,7 @@ def silver_queries(
         .outputMode("append")
         .option("path", silver_path)
         .option("checkpointLocation", silver_ckpt)
-        .partitionBy("event_date", "event_hour"),
+        .partitionBy(*folders("event_date", "event_hour", by_hour)),
         trigger,
     ).start()
     return qs, qq
@@ -216,22 +203,13 @@ def gold_query(
     width: str = "1 minute",
     watermark: str = "1 hour",
     trigger: str | None = None,
-    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Windowed KPIs in update mode; each micro-batch overwrites its own
-    version folder. With ``compact_every`` the callback folds old versions
-    every that many batches (only versions already committed are touched)."""
-    from ..operators.tables import compact_versions
-
+    version folder, an empty one writes no rows."""
     run = run_id(silver.sparkSession, checkpoint, kpi_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # empty batches write nothing; a replayed batch id overwrites its folder
-        if batch.isEmpty():
-            return
         write_versioned_batch(batch, kpi_path, run, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_versions(batch.sparkSession, kpi_path)
 
     w = gold_frame(silver, width, watermark).writeStream.outputMode("update").foreachBatch(sink).option(
         "checkpointLocation", checkpoint
@@ -240,7 +218,4 @@ def gold_query(
 
 
 def read_kpi(spark: SparkSession, kpi_path: str) -> DataFrame:
-    return read_versioned(spark, kpi_path)
-
-
-QUARANTINE_READ = QUARANTINE_COLUMNS
+    return read_versioned(spark, kpi_path).drop("window_date")

@@ -49,6 +49,16 @@ def land_topic(spark: SparkSession, sf_dir: str, path: str, files: int | None =
     df.write.mode("append").parquet(path)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def configure(spark: SparkSession) -> None:
+    """Settings the streaming stages need: UTC event times, and the dedupe
+    state in RocksDB rather than on the heap."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def _finish(*queries) -> None:
     for q in queries:
         q.awaitTermination()
@@ -66,28 +76,23 @@ def run_stream_pipeline(
     dedupe: str = "within_watermark",
     max_files_per_trigger: int | None = None,
     land: bool = True,
-    files_per_partition: int | None = 2,
+    by_hour: bool = False,
     detector=None,
 ) -> StreamPaths:
     """Run the streaming stages over the landed topic (availableNow).
 
-    ``max_files_per_trigger`` rate-limits the topic source (ST8); the later
-    stages read whatever the previous stage committed. ``files_per_partition``
-    bounds the files per hour folder in Silver and Quarantine (Bronze stays
-    narrow); 2 suits backfills of sparse data, the sink's own default (8)
-    suits dense live streams."""
-    # job-level settings of the streaming stages: UTC event times, and files
-    # removed between listing and reading (compaction, retention) are skipped
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    ``max_files_per_trigger`` rate-limits every stage's file source (ST8), so
+    a backlog is worked off in many micro-batches. ``by_hour=False`` keeps the
+    hour as a column, which suits backfills of sparse data."""
+    configure(spark)
     paths = paths or new_paths(spark)
     if land:
         land_topic(spark, sf_dir, paths.topic)
     if "bronze" in stages:
         env = J.envelope_file_source(spark, paths.topic, max_files_per_trigger)
-        _finish(J.bronze_query(env, paths.bronze, paths.ckpt("bronze")))
+        _finish(J.bronze_query(env, paths.bronze, paths.ckpt("bronze"), by_hour=by_hour))
     if "silver" in stages:
-        bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA)
+        bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA, max_files_per_trigger)
         _finish(
             *J.silver_queries(
                 bronze,
@@ -97,16 +102,16 @@ def run_stream_pipeline(
                 paths.ckpt("quarantine"),
                 watermark=watermark,
                 dedupe=dedupe,
-                files_per_partition=files_per_partition,
+                by_hour=by_hour,
             )
         )
     if "gold" in stages:
-        silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA)
+        silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA, max_files_per_trigger)
         _finish(J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark))
     if "detect" in stages:
         from .detector import detector_query
 
-        _finish(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector))
+        _finish(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector, max_files_per_trigger=max_files_per_trigger))
     return paths
 
 
@@ -123,35 +128,36 @@ def start_pipeline(
     watermark: str = "1 hour",
     dedupe: str = "within_watermark",
     detector=None,
-    compact_every: int | None = None,
+    max_files_per_trigger: int | None = 50,
+    by_hour: bool = True,
 ) -> list:
     """The deployment form: every stage as a concurrently running query with a
     processing-time trigger, each reading the folder the previous stage
     writes. ``envelope`` is the topic stream (``jobs.kafka_source`` on a
     cluster). Returns the started queries in stage order; ``await_any``
-    blocks until one of them ends."""
+    blocks until one of them ends. ``max_files_per_trigger`` bounds what a
+    micro-batch of Silver, Gold and the detector reads."""
     from ..sources import files as FS
 
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    configure(spark)
     for folder in (paths.bronze, paths.silver, paths.kpi):
         FS.mkdirs(spark, folder)
-    queries = [J.bronze_query(envelope, paths.bronze, paths.ckpt("bronze"), trigger=trigger)]
-    bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA)
+    queries = [J.bronze_query(envelope, paths.bronze, paths.ckpt("bronze"), trigger=trigger, by_hour=by_hour)]
+    bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA, max_files_per_trigger)
     queries += list(
         J.silver_queries(
             bronze, paths.silver, paths.quarantine, paths.ckpt("silver"), paths.ckpt("quarantine"),
-            watermark=watermark, dedupe=dedupe, trigger=trigger,
+            watermark=watermark, dedupe=dedupe, trigger=trigger, by_hour=by_hour,
         )
     )
-    silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA)
+    silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA, max_files_per_trigger)
     queries.append(
-        J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark, trigger=trigger, compact_every=compact_every)
+        J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark, trigger=trigger)
     )
     if detector is not None:
         from .detector import detector_query
 
-        queries.append(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector, trigger=trigger))
+        queries.append(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector, trigger=trigger, max_files_per_trigger=max_files_per_trigger))
     return queries
 
 
