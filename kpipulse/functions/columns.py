@@ -52,9 +52,3 @@ def alert_id(rule: Column | str, metric: Column | str, ts: Column | str) -> Colu
     micros = F.date_format(ts, "SSSSSS")
     iso = F.concat(whole, F.when(micros != F.lit("000000"), F.concat(F.lit("."), micros)).otherwise(F.lit("")))
     return F.concat_ws(":", rule, metric, iso)
-
-
-def epoch_seconds(c: Column | str) -> Column:
-    """Timestamp -> whole epoch seconds (bigint)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.unix_seconds(c.cast("timestamp"))

@@ -2,9 +2,9 @@
 
 Keeps, per key, the row with the least ordering tuple (by default broker
 ``(kafka_partition, kafka_offset)``: the first delivery wins). Expressed as
-``groupBy(key).agg(min_by(struct(all), struct(order)))`` so Spark runs a
-partial aggregate before the shuffle: copies of a hot key collapse map-side and
-only one row per key per task crosses the network.
+``groupBy(key).agg(min(struct(order, rest)))``: the aggregate is partial before
+the shuffle, so copies of a hot key collapse map-side and one row per key and
+task crosses the network (the price is a sort on either side of it).
 """
 
 from __future__ import annotations

@@ -20,6 +20,9 @@ from ..contract import TOPIC
 # Dialect slots.
 _SPARK = {
     "str": "STRING",
+    "unroll": "explode",
+    "pair": "array(0, 1)",
+    "one": "array(0)",
     "k": "CAST(get_json_object(props, '$.k') AS INT)",
     "millis": "date_format({t}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")",
     "secs": "date_format({t}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
@@ -27,6 +30,9 @@ _SPARK = {
 }
 _DUCK = {
     "str": "VARCHAR",
+    "unroll": "unnest",
+    "pair": "[0, 1]",
+    "one": "[0]",
     "k": "CAST(json_extract_string(props, '$.k') AS INTEGER)",
     "millis": "strftime({t}, '%Y-%m-%dT%H:%M:%S.%gZ')",
     "secs": "strftime({t}, '%Y-%m-%dT%H:%M:%SZ')",
@@ -45,9 +51,7 @@ WITH src AS (
   FROM {events}
 ),
 copies AS (
-  SELECT src.*, 0 AS dup FROM src
-  UNION ALL
-  SELECT src.*, 1 AS dup FROM src WHERE e % 50 = 0
+  SELECT src.*, {unroll}(CASE WHEN e % 50 = 0 THEN {pair} ELSE {one} END) AS dup FROM src
 ),
 fields AS (
   SELECT
@@ -107,6 +111,9 @@ def contract_sql(dialect: str, events: str = "events") -> str:
     return _TEMPLATE.format(
         events=events,
         str=s["str"],
+        unroll=s["unroll"],
+        pair=s["pair"],
+        one=s["one"],
         k=s["k"],
         millis_late=s["millis"].format(t=late),
         secs_ts=s["secs"].format(t="ts"),
@@ -119,8 +126,8 @@ def contract_sql(dialect: str, events: str = "events") -> str:
 def contract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker envelope rows derived from ``{sf_dir}/events.parquet``.
 
-    A pure projection of the scan plus one filtered re-read for the re-sent
-    copies: no shuffle, scales with the events table.
+    One scan, a projection and an explode for the re-sent copies: no shuffle,
+    scales with the events table.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     view = f"kpipulse_events_{abs(hash(sf_dir))}"
