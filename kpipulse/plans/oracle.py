@@ -123,12 +123,14 @@ def with_ctes(*ctes: str) -> str:
     return ("WITH RECURSIVE " if "d_walk AS" in body else "WITH ") + body
 
 
-def detector_ctes(kpi: str, p, as_of: str | None = None, pfx: str = "") -> str:
+def detector_ctes(kpi: str, p, as_of: str | None = None, pfx: str = "", seeds: str | None = None) -> str:
     """CTEs over a long KPI relation ``kpi``: scores, cands, alerts_rows.
 
     Written the straightforward way: a window-ordered poll list, a range join
     of each poll to its metric history, ``list_reduce`` folds, and a recursive
-    walk for the cooldown.
+    walk for the cooldown. ``seeds`` is a query ``metric, window_start`` of
+    the newest stored alerts: a warning passes a cooldown or more after its
+    metric's seed only.
     """
     lb = p.lookback_s * 1_000_000
     w = p.rolling
@@ -150,6 +152,10 @@ def detector_ctes(kpi: str, p, as_of: str | None = None, pfx: str = "") -> str:
         end = f"(TIMESTAMP '{as_of}' - to_seconds({p.ignore_recent_s}))"
         rng = f" AND window_start >= {end} - to_seconds({p.lookback_s}) AND window_start <= {end}"
     c_us = p.cooldown_s * 1_000_000
+    open_cands = f"{pfx}cands"
+    if seeds is not None:
+        open_cands = f"""(SELECT c.* FROM {pfx}cands c LEFT JOIN ({seeds}) s ON s.metric = c.metric
+    WHERE c.severity = 'critical' OR s.metric IS NULL OR epoch_us(c.window_start) - epoch_us(s.window_start) >= {c_us})"""
     return f"""
 {pfx}d_loaded AS (
   SELECT window_start, metric, CAST(value AS DOUBLE) AS value, epoch_us(window_start) AS ep
@@ -210,7 +216,7 @@ def detector_ctes(kpi: str, p, as_of: str | None = None, pfx: str = "") -> str:
   FROM {pfx}scores WHERE z IS NOT NULL AND abs(z) >= {p.warn_z!r}
 ),
 {pfx}d_c AS (
-  SELECT *, epoch_us(window_start) AS ep, row_number() OVER (PARTITION BY metric ORDER BY window_start) AS rn FROM {pfx}cands
+  SELECT *, epoch_us(window_start) AS ep, row_number() OVER (PARTITION BY metric ORDER BY window_start) AS rn FROM {open_cands}
 ),
 {pfx}d_walk AS (
   SELECT metric, rn, ep, true AS emitted, ep AS last_ep FROM {pfx}d_c WHERE rn = 1

@@ -1,8 +1,10 @@
 """Batch plans: the stages chained over a table folder.
 
-Each function returns a lazy DataFrame; nothing is collected. Catalyst sees
-the whole chain (scan -> projections -> aggregate), prunes the scan to the
-columns each plan needs and pushes filters into it.
+Nothing is collected. A plan that needs a derived table (Bronze, the KPI
+tables) reads it from the folder named with ``use_tables``, or writes its own
+first; from there on Catalyst sees the whole chain (scan -> projections ->
+aggregate), prunes the scan to the columns each plan needs and pushes filters
+into it.
 """
 
 from __future__ import annotations
@@ -20,39 +22,39 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(contract_events(spark, sf_dir))
 
 
-_STORED: dict = {}
-
-
-def _source_version(spark: SparkSession, path: str) -> tuple:
-    """Identity of a source table: modification time and size."""
-    from ..sources import files as FS
+def use_tables(spark: SparkSession, sf_dir: str, path: str | None) -> None:
+    """Name the folder whose stored tables (``prepare``) the plans over
+    ``sf_dir`` read; None: every plan builds what it needs from the source."""
+    key = f"kpipulse.tables.{sf_dir.rstrip('/')}"
+    if path is None:
+        spark.conf.unset(key)
+    else:
+        spark.conf.set(key, path.rstrip("/"))
 
-    fs, hp = FS.hadoop_fs(spark, path)
-    return (int(fs.getFileStatus(hp).getModificationTime()), int(fs.getContentSummary(hp).getLength()))
 
+def table(spark: SparkSession, sf_dir: str, name: str, build, writer=None) -> DataFrame:
+    """A derived table: read from the folder the caller has named with
+    ``use_tables``, else built, written to scratch and read back by this plan
+    alone. ``writer(df, path)`` sets the storage layout (default: parquet)."""
+    named = spark.conf.get(f"kpipulse.tables.{sf_dir.rstrip('/')}", None)
+    return spark.read.parquet(f"{named}/{name}" if named else write_table(build(), name, writer))
 
-def stored(spark: SparkSession, name: str, source: str, build, *key, writer=None) -> DataFrame:
-    """A derived table written once per Spark application and source version
-    (as a pipeline writes Bronze or Gold once and every later job reads it);
-    later calls read the stored parquet table. A changed source, a new
-    application or a missing folder rebuilds it. ``writer(df, path)`` sets
-    the storage layout (default: plain parquet)."""
-    from ..sources import files as FS
 
-    ident = (spark.sparkContext.applicationId, name, source, _source_version(spark, source), *key)
-    path = _STORED.get(ident)
-    if path is None or not FS.exists(spark, path):
-        path = write_table(build(), name, writer)
-        _STORED[ident] = path
-    return spark.read.parquet(path)
+def prepare(spark: SparkSession, sf_dir: str, path: str, tables: dict) -> None:
+    """Write the derived ``tables`` (name -> (build, writer)) of ``sf_dir``
+    under ``path`` in order, each from the ones before, and name the folder."""
+    use_tables(spark, sf_dir, path)
+    for name, (build, writer) in tables.items():
+        write = writer or (lambda df, to: df.write.mode("overwrite").parquet(to))
+        write(build(spark, sf_dir), f"{path.rstrip('/')}/{name}")
 
 
 def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Bronze table, written once and read back (as the streaming Bronze
-    sink does). Silver's filters then reach a parquet scan of Bronze columns
-    instead of being pushed through the JSON parse, where Catalyst would copy
+    """The Bronze table, written and read back (as the streaming Bronze sink
+    does). Silver's filters then reach a parquet scan of Bronze columns instead
+    of being pushed through the JSON parse, where Catalyst would copy
     ``from_json`` into every predicate that reads a parsed field."""
-    return stored(spark, "bronze", f"{sf_dir}/events.parquet", lambda: bronze(spark, sf_dir))
+    return table(spark, sf_dir, "bronze", lambda: bronze(spark, sf_dir))
 
 
 def validated(spark: SparkSession, sf_dir: str, null_type: str = "invalid") -> DataFrame:

@@ -14,9 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contract import EVENT_FIELDS
+from ..contract import DETAILS_METHOD, EVENT_FIELDS
 from ..operators import kpis as K
 from ..operators import validate as V
+from ..streaming.detector import write_alerts
 from . import oracle as O
 from . import pipeline as P
 
@@ -205,9 +206,7 @@ def _det_sql(p: DetectorParams, select: str, as_of: str | None = None) -> str:
 
 def _hour_kpi(spark, sf_dir):
     # the stored hourly KPI table: the detector reads it from several branches
-    return P.stored(
-        spark, "kpi_hour", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 hour"), writer=T.write_kpi_table
-    )
+    return P.table(spark, sf_dir, "kpi_hour", lambda: P.gold(spark, sf_dir, "1 hour"), T.write_kpi_table)
 
 
 @register(
@@ -269,6 +268,65 @@ def anomaly_alerts(spark, sf_dir):
     return finish(a.select(*_ALERT_OUT), _SCORE_COLS)
 
 
+@register(
+    "alert_details",
+    _det_sql(
+        DET,
+        f"SELECT alert_id, true AS has_created_at, '{DETAILS_METHOD}' AS method, '{DET.alpha}' AS ewma_alpha, "
+        f"'{DET.rolling}' AS rolling_window, '{DET.warn_z}' AS warn_z, '{DET.crit_z}' AS crit_z, round(mu, 6) AS mu, "
+        f"round(sigma, 6) AS sigma, '{DET.ignore_recent_s // 60}' AS ignore_recent_minutes, "
+        f"'{DET.cooldown_s // 60}' AS cooldown_minutes FROM alerts_rows",
+    ),
+)
+def alert_details(spark, sf_dir):
+    """The details text field by field, and a write time on each row."""
+    a = D.detect(_hour_kpi(spark, sf_dir), DET)
+    field = lambda name: F.get_json_object("details", f"$.{name}")
+    texts = ("method", "ewma_alpha", "rolling_window", "warn_z", "crit_z", "ignore_recent_minutes", "cooldown_minutes")
+    return a.select(
+        "alert_id",
+        F.col("created_at").isNotNull().alias("has_created_at"),
+        *[field(n).alias(n) for n in texts],
+        *[F.round(field(n).cast("double"), 6).alias(n) for n in ("mu", "sigma")],
+    )
+
+
+# stored alerts before, between, at and after the candidates, by metric
+_SEED_SQL = " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, " + shift + f" AS window_start FROM cands WHERE metric = '{m}' HAVING count(*) > 0"
+    for m, shift in zip(
+        DET.metrics,
+        (
+            "min(window_start) - INTERVAL 1 HOUR",
+            "quantile_disc(window_start, 0.5) + INTERVAL 1 HOUR",
+            "quantile_disc(window_start, 0.5)",
+            "max(window_start) + INTERVAL 1 DAY",
+            "quantile_disc(window_start, 0.5) - INTERVAL 1 HOUR",
+        ),
+    )
+)
+
+
+@register(
+    "alerts_seeded",
+    O.with_ctes(*_hour_kpi_ctes(), O.detector_ctes("kl", DET, seeds=_SEED_SQL))
+    + "\nSELECT alert_id, window_start, metric, severity FROM alerts_rows",
+)
+def alerts_seeded(spark, sf_dir):
+    """The cooldown after a restart, seeded from stored alerts."""
+    c = D.candidates(D.score_all(_hour_kpi(spark, sf_dir), DET), DET)
+    middle = F.element_at(F.array_sort(F.collect_list("window_start")), F.ceil(F.count("*") * 0.5).cast("int"))
+    hours = lambda n: F.expr(f"INTERVAL '{n}' HOUR")
+    marks = c.groupBy("metric").agg(F.min("window_start").alias("lo"), middle.alias("mid"), F.max("window_start").alias("hi"))
+    shifts = (F.col("lo") - hours(1), F.col("mid") + hours(1), F.col("mid"), F.col("hi") + hours(24), F.col("mid") - hours(1))
+    seed = F.lit(None).cast("timestamp")
+    for m, shift in zip(DET.metrics, shifts):
+        seed = F.when(F.col("metric") == m, shift).otherwise(seed)
+    seeds = marks.select("metric", seed.alias("last_window_start"))
+    kept = D.alerts_from(D.apply_cooldown(c, DET, seeds), DET)
+    return finish(kept.select("alert_id", "window_start", "metric", "severity"))
+
+
 @register(
     "detect_as_of",
     _det_sql(
@@ -302,9 +360,7 @@ def _minute_sql(select: str) -> str:
 
 def _minute_kpi(spark, sf_dir):
     # serving reads query the stored 1-minute KPI table, as the API reads Gold
-    return P.stored(
-        spark, "kpi_minute", f"{sf_dir}/events.parquet", lambda: P.gold(spark, sf_dir, "1 minute"), writer=T.write_kpi_table
-    )
+    return P.table(spark, sf_dir, "kpi_minute", lambda: P.gold(spark, sf_dir, "1 minute"), T.write_kpi_table)
 
 
 @register(
@@ -406,7 +462,9 @@ def kpi_replace_windows(spark, sf_dir):
 
 
 def _alerts(spark, sf_dir) -> DataFrame:
-    return D.detect(_hour_kpi(spark, sf_dir), DET).select(*_ALERT_OUT)
+    """The stored alert table, partitioned by date: alert reads scan it."""
+    stored = P.table(spark, sf_dir, "alerts_hour", lambda: D.detect(_hour_kpi(spark, sf_dir), DET), write_alerts)
+    return stored.select(*_ALERT_OUT, "window_date")
 
 
 _ALERT_SQL_COLS = (
@@ -442,7 +500,7 @@ def alert_insert_if_absent(spark, sf_dir):
 )
 def alerts_filtered(spark, sf_dir):
     a = S.alerts_query(_alerts(spark, sf_dir), to_ts=ALERTS_TO, from_ts=ALERTS_FROM, severity="warning", limit=200)
-    return finish(a, _SCORE_COLS)
+    return finish(a.drop("window_date"), _SCORE_COLS)
 
 
 @register(
@@ -450,7 +508,7 @@ def alerts_filtered(spark, sf_dir):
     _det_sql(DET, f"SELECT {_ALERT_SQL_COLS} FROM alerts_rows ORDER BY window_start DESC, metric, alert_id LIMIT 50"),
 )
 def alerts_latest(spark, sf_dir):
-    return finish(S.alerts_latest(_alerts(spark, sf_dir), 50), _SCORE_COLS)
+    return finish(S.alerts_latest(_alerts(spark, sf_dir), 50).drop("window_date"), _SCORE_COLS)
 
 
 @register(
@@ -513,6 +571,15 @@ def stream_kpi(spark, sf_dir):
     return finish(R.J.read_kpi(spark, p.kpi), ("value",))
 
 
+# tables that later plans can read instead of building them (``P.prepare``)
+PREPARED = {
+    "bronze": (P.bronze, None),
+    "kpi_minute": (lambda spark, sf_dir: P.gold(spark, sf_dir, "1 minute"), T.write_kpi_table),
+    "kpi_hour": (lambda spark, sf_dir: P.gold(spark, sf_dir, "1 hour"), T.write_kpi_table),
+    "alerts_hour": (lambda spark, sf_dir: D.detect(_hour_kpi(spark, sf_dir), DET), write_alerts),
+}
+
+
 @register("stream_alerts", SQL["anomaly_alerts"])
 def stream_alerts(spark, sf_dir):
     """Bronze -> Silver -> hourly Gold -> detector, all as streaming queries."""
@@ -520,6 +587,27 @@ def stream_alerts(spark, sf_dir):
     return finish(R.read_table(spark, p.alerts).select(*_ALERT_OUT), _SCORE_COLS)
 
 
+@register("stream_alerts_batches", SQL["anomaly_alerts"])
+def stream_alerts_batches(spark, sf_dir):
+    """The hourly KPIs in four micro-batches. The open window of a batch comes
+    half filled and is sent again in full by the next one, and each batch
+    sends the first windows of all over: each window is scored once, on the
+    rows that its closing batch has left."""
+    from ..streaming.detector import detector_query, read_alerts
+
+    kpi = _hour_kpi(spark, sf_dir).select("window_start", "metric", "value")
+    p = R.new_paths(spark)
+    days = ["2024-01-08", "2024-01-16", "2024-01-24", "2100-01-01"]
+    for batch, (lo, hi) in enumerate(zip(["1970-01-01", *days], days)):
+        ts = F.col("window_start")
+        open_window = kpi.filter(ts < hi).agg(F.max("window_start")).scalar() if batch < len(days) - 1 else F.lit(None).cast("timestamp")
+        value = F.when(ts == open_window, F.col("value") / 2).otherwise(F.col("value"))
+        again = kpi.filter(ts < "2024-01-02").unionByName(kpi.filter((ts >= F.to_timestamp(F.lit(lo)) - F.expr("INTERVAL '1' HOUR")) & (ts < hi)))
+        T.write_versioned_batch(again.distinct().withColumn("value", value), p.kpi, 1, batch)
+        R._finish(detector_query(spark, p.kpi, p.alerts, p.ckpt("detector"), DET))
+    return finish(read_alerts(spark, p.alerts).select(*_ALERT_OUT), _SCORE_COLS)
+
+
 # ------------------------------------------------- other table schemas ----
 # The rules, dedupe and window operators are schema-agnostic; these run them
 # over the whole ``lineitem`` table.
