@@ -123,22 +123,38 @@ def test_pushdown_and_pruning_in_gold_plan(spark):
     assert "partial_min" in plan and "partial_sum" in plan
 
 
-def test_compact_versions_keeps_the_view(spark, tmp_path):
-    path = str(tmp_path / "kpi_versions")
-    T.write_versioned_batch(spark.createDataFrame([(t(1), "a", 1.0), (t(2), "a", 2.0)], TS), path, 1, 0)
-    T.write_versioned_batch(spark.createDataFrame([(t(1), "a", 5.0), (t(3), "a", 3.0)], TS), path, 1, 1)
-    T.write_versioned_batch(spark.createDataFrame([(t(3), "a", 9.0)], TS), path, 1, 2)
-    before = rows(T.read_versioned(spark, path), "window_start", "metric", "value")
-    assert T.compact_versions(spark, path) == (1, 1)
-    assert T._versions(spark, path) == [(1, 1), (1, 2)]
-    assert rows(T.read_versioned(spark, path), "window_start", "metric", "value") == before
-    # a later batch still supersedes the compacted snapshot
-    T.write_versioned_batch(spark.createDataFrame([(t(1), "a", 7.0)], TS), path, 1, 3)
-    got = rows(T.read_versioned(spark, path), "window_start", "metric", "value")
-    assert got == [(t(1), "a", 7.0), (t(2), "a", 2.0), (t(3), "a", 9.0)]
-    # compacting again folds (1,1) and (1,2) into (1,2)
-    assert T.compact_versions(spark, path) == (1, 2)
-    assert rows(T.read_versioned(spark, path), "window_start", "metric", "value") == got
+def test_empty_kpi_table_reads_as_empty(spark, tmp_path):
+    kpi = T.read_versioned(spark, str(tmp_path / "kpi"))
+    assert kpi.count() == 0 and {"window_start", "metric", "value"} <= set(kpi.columns)
+
+
+def test_reader_planned_before_later_versions_loses_no_row(spark, tmp_path):
+    """Versions are never deleted by the writer: a reader that has listed the
+    table keeps its view while new versions arrive."""
+    path = str(tmp_path / "kpi")
+    T.write_versioned_batch(spark.createDataFrame([(t(h), "a", 1.0) for h in range(20)], TS), path, 1, 0)
+    planned = T.read_versioned(spark, path)
+    planned.explain()
+    for k in range(1, 4):
+        T.write_versioned_batch(spark.createDataFrame([(t(h), "a", 1.0 + k) for h in range(10)], TS), path, 1, k)
+    assert planned.count() == 20
+    assert rows(T.read_versioned(spark, path), "value").count((4.0,)) == 10
+    assert spark.conf.get("spark.sql.files.ignoreMissingFiles") == "false"
+
+
+def test_kpi_files_are_sorted(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "kpi")
+    data = [(t(h) + dt.timedelta(days=d), m, 1.0) for h in range(9, -1, -1) for d in (1, 0) for m in ("b", "a", "c")]
+    T.write_kpi_table(spark.createDataFrame(data, TS).repartition(5), path)
+    files = glob.glob(f"{path}/window_date=*/*.parquet")
+    assert len(files) == 2
+    for f in files:
+        got = [(r["metric"], r["window_start"]) for r in pq.ParquetFile(f).read().to_pylist()]
+        assert got == sorted(got) and len(got) == 30
 
 
 def test_created_at_default(spark):
