@@ -32,6 +32,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from fractions import Fraction
 
 import numpy as np
@@ -46,6 +47,8 @@ from .store import chunks_for, shuffle_width, stored, text_bytes
 from .substrings import NO_ID, chunked, hash_all, in_order
 
 VERTICAL = 4
+FRAGMENTS = 64  # at least, and as many as keep a fragment in memory
+FRAGMENT_TOKENS = 4 << 20
 
 
 def shingles(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,13 +193,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFram
 def similar_classes(docs: DataFrame, size: int = 5, similarity: Fraction = Fraction(4, 5)) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each document."""
     top, bottom = similarity.numerator, similarity.denominator
-    width = shuffle_width(docs.sparkSession)
     base = stored(_digests(docs, size, similarity), "jaccard-digests")
     classes = stored(
         base.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("node").alias("rep"), F.count("*").alias("rows")), "jaccard-classes"
     )
     reps = base.filter("tokens is not null").join(classes.select(F.col("rep").alias("node")), "node", "left_semi")
-    segments = stored(_segments(reps, 4 * width), "jaccard-segments")
+    n_tokens = base.agg(F.sum(F.octet_length("tokens") / 8).alias("n")).first()["n"] or 0
+    fragments = max(FRAGMENTS, math.ceil(n_tokens / FRAGMENT_TOKENS))
+    segments = stored(_segments(reps, fragments), "jaccard-segments")
 
     pairs_of = F.transform(F.arrays_zip("dfs", "ids"), lambda x: F.struct(x["dfs"].alias("df"), F.col("fragment"), x["ids"].alias("id")))
     whole = segments.select("node", "n", pairs_of.alias("part")).groupBy("node", "n").agg(F.flatten(F.collect_list("part")).alias("all"))
