@@ -13,8 +13,8 @@ What keeps it near-linear:
   chunk, then everywhere;
 * a fragment holds all occurrences of its shingles, so it counts document
   frequencies exactly and drops shingles of one representative;
-* a pair must share one of its rarest shingles (prefix filter), and both must
-  have enough shared shingles: ``9 * min(shared) >= 4 * (n_a + n_b)`` for 0.8;
+* a pair must share one of its rarest shingles (prefix filter), early enough
+  that the rest of both sets still holds the overlap asked for (positions);
 * in a bucket (representatives with one rare shingle) every member is first
   compared with the most central one only. Members of the component that this
   makes need no further comparison with each other; pairs across components
@@ -168,11 +168,13 @@ def _segments(reps: DataFrame, n_fragments: int) -> DataFrame:
     return rows.groupBy("fragment").applyInArrow(number, "node long, n long, fragment int, ids array<int>, dfs array<int>")
 
 
-def _fits(similarity: Fraction, shared_a: str, n_a: str, shared_b: str, n_b: str) -> Column:
-    """Upper bound on the overlap against what the similarity asks for:
-    overlap >= s / (1 + s) * (n_a + n_b)."""
+def _fits(similarity: Fraction, rest_a: str, n_a: str, rest_b: str, n_b: str) -> Column:
+    """Whether a common shingle can be the first one, in the global order, of
+    a pair that links: what is left of both sets from there on (``rest``)
+    bounds the overlap, and that must be s / (1 + s) * (n_a + n_b). Each
+    linked pair passes at its first common shingle."""
     top, bottom = similarity.numerator, similarity.denominator
-    return F.least(F.col(shared_a), F.col(shared_b)) * (top + bottom) >= (F.col(n_a) + F.col(n_b)) * top
+    return F.least(F.col(rest_a), F.col(rest_b)) * (top + bottom) >= (F.col(n_a) + F.col(n_b)) * top
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -225,18 +227,18 @@ def similar_classes(docs: DataFrame, size: int = 5, similarity: Fraction = Fract
     )
     entries = stored(
         able.withColumn("rank", central)
-        .select("node", "n", "shared", "rank", F.explode(F.slice("all", F.lit(1), reach.cast("int"))).alias("x"))
-        .select("node", "n", "shared", "rank", F.col("x.fragment").alias("fragment"), F.col("x.id").alias("id")),
+        .select("node", "n", "shared", "rank", F.posexplode(F.slice("all", F.lit(1), reach.cast("int"))).alias("at", "x"))
+        .select("node", "n", (F.col("shared") - F.col("at")).alias("rest"), "rank", "x.fragment", "x.id"),
         "jaccard-prefixes",
     )
 
     # every member with the most central one of its bucket
     token = ["fragment", "id"]
-    hubs = entries.groupBy(*token).agg(F.max(F.struct("rank", "node", "n", "shared")).alias("h"), F.count("*").alias("c")).filter("c > 1")
+    hubs = entries.groupBy(*token).agg(F.max(F.struct("rank", "node", "n", "rest")).alias("h"), F.count("*").alias("c")).filter("c > 1")
     near = (
         entries.join(hubs, token)
-        .select(F.col("h.node").alias("a"), F.col("h.n").alias("n_a"), F.col("h.shared").alias("s_a"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"))
-        .filter((F.col("a") != F.col("b")) & _fits(similarity, "s_a", "n_a", "s_b", "n_b"))
+        .select(F.col("h.node").alias("a"), F.col("h.n").alias("n_a"), F.col("h.rest").alias("r_a"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("r_b"))
+        .filter((F.col("a") != F.col("b")) & _fits(similarity, "r_a", "n_a", "r_b", "n_b"))
     )
     tested = stored(near.select("a", "b", "n_a", "n_b").distinct(), "jaccard-near")
     links = stored(_linked(tested, sets, similarity), "jaccard-links")
@@ -272,22 +274,22 @@ def _across(entries: DataFrame, labels: DataFrame, tested: DataFrame, similarity
     # whoever cannot reach even the shortest partner allowed drops out
     least = marked.groupBy(*token).agg(F.min("n").alias("least"))
     shortest = F.greatest(F.col("least"), F.ceil(F.col("n") * top / bottom))
-    fit = marked.join(least, token).filter(F.col("shared") * (top + bottom) >= (F.col("n") + shortest) * top).drop("least")
+    fit = marked.join(least, token).filter(F.col("rest") * (top + bottom) >= (F.col("n") + shortest) * top).drop("least")
     # buckets with several components: the largest one's members need
     # comparing with the others only
     sizes = fit.groupBy(*token, "label").agg(F.count("*").alias("c"))
     main = sizes.groupBy(*token).agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("k")).filter("k > 1")
     open_ = stored(fit.join(main.drop("k"), token), "jaccard-open")
     small = open_.filter("label <> main").select(
-        *token, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"), F.col("label").alias("l_a")
+        *token, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rest").alias("r_a"), F.col("label").alias("l_a")
     )
     every = open_.select(
-        *token, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"), F.col("label").alias("l_b"), "main"
+        *token, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("rest").alias("r_b"), F.col("label").alias("l_b"), "main"
     )
     both = small.join(every, token).filter(
         (F.col("l_a") != F.col("l_b"))
         & ((F.col("l_b") == F.col("main")) | (F.col("a") < F.col("b")))
-        & _fits(similarity, "s_a", "n_a", "s_b", "n_b")
+        & _fits(similarity, "r_a", "n_a", "r_b", "n_b")
     )
     pairs = both.select("a", "b", "n_a", "n_b").distinct()
     known = tested.select("a", "b").unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
