@@ -62,30 +62,66 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: what stands inside a
+    lambda is evaluated for each element unless it is the lambda's variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+MATCH = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
+BLOCK = 128
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches: array of struct ``start, end, hit,
     before, after`` (code points, end exclusive; the texts between matches).
 
     The gaps come from ``split`` and the matches from ``regexp_extract_all``
-    with the same pattern, so a start is the length of all that precedes it.
+    with the same pattern, so a start is the length of all that precedes it:
+    running sums within blocks of matches, then over the blocks, so that a text
+    with very many matches costs little more per match than one with few.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    both = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
-    kind = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    found = let(hits, lambda h: let(F.split(text, pattern, -1), lambda g: _placed(h, g)))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(MATCH))
+
+
+def _placed(hits: Column, gaps: Column) -> Column:
+    sides = F.zip_with(
+        F.slice(gaps, F.lit(1), F.size(hits)), F.slice(gaps, F.lit(2), F.size(hits)), lambda b, a: F.struct(b.alias("b"), a.alias("a"))
+    )
+    rows = F.zip_with(hits, sides, lambda h, s: F.struct(h.alias("h"), s["b"].alias("b"), s["a"].alias("a")))
+    return let(rows, lambda r: let(F.transform(_blocks(r), _within), _shifted))
+
+
+def _blocks(rows: Column) -> Column:
+    last = F.floor((F.size(rows) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(rows, i * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _within(block: Column) -> Column:
+    """Matches of a block with starts from the block's beginning, and the
+    block's length."""
 
     def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["g"])
+        start = acc["at"] + F.length(x["b"])
         end = start + F.length(x["h"])
-        after = F.element_at(gaps, F.size(acc["out"]) + 2)
-        one = F.struct(
-            start.alias("start"), end.alias("end"), x["h"].alias("hit"), x["g"].alias("before"), after.alias("after")
-        )
+        one = F.struct(start.alias("start"), end.alias("end"), x["h"].alias("hit"), x["b"].alias("before"), x["a"].alias("after"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    found = F.aggregate(both, first, add, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
+    return F.aggregate(block, F.struct(F.lit(0).alias("at"), F.array().cast(MATCH).alias("out")), add)
+
+
+def _shifted(blocks: Column) -> Column:
+    def add(acc: Column, x: Column) -> Column:
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["begin"], F.array(acc["at"])).alias("begin"))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begin"))
+    begins = F.aggregate(blocks, first, add, lambda acc: acc["begin"])
+    move = lambda by: lambda m: F.struct(
+        (m["start"] + by).alias("start"), (m["end"] + by).alias("end"), m["hit"].alias("hit"), m["before"].alias("before"), m["after"].alias("after")
+    )
+    return F.flatten(F.zip_with(blocks, begins, lambda x, by: F.transform(x["out"], move(by))))
 
 
 def base_spans(text: Column) -> Column:
@@ -121,6 +157,10 @@ def _word(gap: Column, last: bool) -> Column:
 
 
 def candidates(text: Column, spans: Column) -> Column:
+    return let(spans, lambda known: _candidates(text, known))
+
+
+def _candidates(text: Column, spans: Column) -> Column:
     """Identifier-shaped tokens: array of struct ``start, end, token, left,
     right, seed`` (seed: rank of the first base span that the token touches,
     else -1)."""
