@@ -19,7 +19,7 @@ def _workers(spark):
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
-LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+LONG = " ".join("abcdefghij"[i % 7] * (1 + i % 5) + "klmnopqrst"[i * i % 10] + "uvwxyz"[i // 5 % 6] * (1 + i % 31 % 4) for i in range(30_000))
 BODY = "the quick brown fox jumps over a lazy dog while seven wizards quietly mix fresh potions under the old stone bridge at dawn"
 
 # id, text: nulls, blanks, a very long text, copies, repeated rows and ids
