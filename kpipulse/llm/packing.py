@@ -21,7 +21,9 @@ separately; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +37,8 @@ from . import words as W
 from .store import stored
 
 BYTES_AT_ONCE = 1 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 RANK_BUCKETS = 256
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -50,6 +53,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = self._letters_only(Tokenizer.from_file(path))
         self.known: dict[bytes, int] = {}
         self._reset()
 
@@ -64,9 +68,43 @@ class WordEncoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
+    @staticmethod
+    def _letters_only(tokenizer):
+        """The same tokenizer without the steps that change nothing in a word
+        of letters in composed form: normal form, white space and the split
+        into letters and others. None if it isn't built of these steps."""
+        steps = json.loads(tokenizer.to_str())
+        norm, pre = steps["normalizer"] or {}, steps["pre_tokenizer"] or {}
+        names = [x["type"] for x in norm.get("normalizers", [])], [x["type"] for x in pre.get("pretokenizers", [])]
+        if names != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+            return None
+        steps["normalizer"], steps["pre_tokenizer"] = norm["normalizers"][2], pre["pretokenizers"][1]
+        return type(tokenizer).from_str(json.dumps(steps))
+
+    def _plain(self, word: str) -> bool:
+        return word.isalpha() and (word.isascii() or (word.lower().isalpha() and unicodedata.is_normalized("NFC", word)))
+
+    def _ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word: letters by the short way, with the marks at their
+        end (which the split always cuts off) added; other words in full."""
+        out: list[list[int]] = [[]] * len(words)
+        whole, cores = [], []
+        for i, word in enumerate(words):
+            core = word.rstrip(MARKS)
+            (cores if self.letters is not None and self._plain(core) else whole).append((i, core))
+        full = self.tokenizer.encode_batch_fast([words[i] for i, _ in whole], add_special_tokens=False)
+        for (i, _), coded in zip(whole, full, strict=True):
+            out[i] = coded.ids
+        if cores:
+            short = self.letters.encode_batch_fast([c for _, c in cores], add_special_tokens=False)
+            ends = [words[i][len(core) :] for i, core in cores]
+            marks = {"": []} | {e: self.tokenizer.encode(e, add_special_tokens=False).ids for e in set(ends) if e}
+            for (i, _), coded, end in zip(cores, short, ends, strict=True):
+                out[i] = coded.ids + marks[end]
+        return out
+
     def _learn(self, fresh: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        lists = [c.ids for c in coded]
+        lists = self._ids([w.decode() for w in fresh])
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter((x for one in lists for x in one), np.uint32, int(sizes.sum()))
         n = len(self.known)
