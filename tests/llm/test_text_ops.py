@@ -157,7 +157,7 @@ TRICKY = [
     "a@b.c%d@e.f x.y@z.w. @no.com me@host, 1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.0255 9999999999999999999999.1.1.1",
     "é\U0001f600 +1 (743) 555-3824 +49-30-1234567890 ++12 34567890 +1..........2 4111 1111 1111 1111 4111-1111-1111-1112",
     "4111111111111111 41111111111111111111 0 1 2 3 4 5 6 7 8 9 0 1 2 3 79927398713000",
-    "9" * 60_000 + " " + "a" * 60_000 + "@" + " a.b@c.d",
+    "9" * 6_000 + " " + "a" * 6_000 + "@" + " a.b@c.d",
     "+1" + " " * 5000 + "2",
     "٣٤.1.1.1.1 1.1.1.1٣",
 ]
