@@ -42,11 +42,22 @@ def test_spark_and_oracle_agree_on_kpis(spark):
 _SINGLE_OK = {"kpi_count", "kpi_constraints", "kpi_trailing", "detect_as_of"}
 
 
-def test_plans_stay_distributed_and_jvm_side(spark):
+def test_plans_stay_distributed_and_jvm_side(spark, tmp_path):
     """No registered batch query uses a cartesian or nested-loop join or
     evaluates Python per row; a single-partition exchange appears only in a
     one-row global aggregate, and a final top-k merge only where a limit is
     the feature."""
+    from kpipulse.plans import pipeline as P
+    from kpipulse.plans import queries as Q
+
+    P.prepare(spark, SF001, str(tmp_path / "tables"), Q.PREPARED)
+    try:
+        _check_plans(spark)
+    finally:
+        P.use_tables(spark, SF001, None)
+
+
+def _check_plans(spark):
     limit_queries = {"detect_as_of", "kpi_series", "kpi_sample", "alerts_filtered", "alerts_latest", "alert_sample", "kpi_series_iso"}
     for name, fn in E.queries().items():
         if name.startswith(("stream_", "op", "pipeline")) and name != "orders_daily":
