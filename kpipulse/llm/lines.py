@@ -89,8 +89,12 @@ def find_instances(docs: DataFrame, depth: int = 4, min_docs: int = 5, similarit
     )
     alone = in_wide.join(mixed, "leaf", "left_anti").select("leaf", "sig")
     hits = stored(places.join(like.unionByName(alone), ["leaf", "sig"]).select("leaf", "doc", "hash", "line"), "line-hits")
-    first = hits.groupBy("leaf").agg(F.min(F.struct("doc", "hash", "line")).alias("first"))
-    return hits.join(first, "leaf").filter(~F.struct("doc", "hash", "line").eqNullSafe(F.col("first"))).select("doc", "hash", "line")
+    # a place is in one leaf, so the first ones are taken out by place: no join
+    # by leaf, which a very common line would make uneven
+    first = hits.groupBy("leaf").agg(F.min(F.struct("doc", "hash", "line")).alias("p"))
+    first = first.select(F.col("p.doc").alias("d"), F.col("p.hash").alias("h"), F.col("p.line").alias("l"))
+    same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")) & (F.col("line") == F.col("l"))
+    return hits.select("doc", "hash", "line").join(first, same, "left_anti")
 
 
 def drop_template_lines(docs: DataFrame, depth: int = 4, min_docs: int = 5, similarity: float = 0.6) -> DataFrame:
