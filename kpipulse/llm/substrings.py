@@ -7,7 +7,8 @@ those: a chunk keeps the first occurrence of each window to itself (so a
 window comes at most once from a chunk, however often it occurs) and marks the
 others; Spark then numbers the remaining occurrences of each window by
 (document, start), and all but the first are marked. The texts are shuffled
-once; identity of windows is a 128-bit hash.
+once; identity of windows is a 128-bit hash in a chunk, and 96 bits of it between
+chunks.
 
 Defined results for odd input: null text has no words; a null ``doc_id`` comes
 after all others; rows that repeat a ``doc_id`` are separate documents, in the
@@ -109,7 +110,7 @@ def drop_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
         return pa.table(
             [
                 np.concatenate([h1[first], own]).view(np.int64),
-                np.concatenate([h2[first], W.mix(own, own)]).view(np.int64),
+                (np.concatenate([h2[first], W.mix(own, own)]) >> np.uint64(32)).astype(np.uint32).view(np.int32),
                 ids[doc],
                 copies[doc].astype(np.int32),
                 place.astype(np.int32),
@@ -119,7 +120,7 @@ def drop_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
         )
 
     found = chunks.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(
-        suspects, "h1 long, h2 long, doc long, copy int, at int, run int"
+        suspects, "h1 long, h2 int, doc long, copy int, at int, run int"
     )
     order = Window.partitionBy("h1", "h2").orderBy("doc", "copy", "at")
     later = found.withColumn("nth", F.row_number().over(order)).filter("run > 0 or nth > 1")
@@ -170,6 +171,6 @@ def join_words(kept: np.ndarray, bounds: np.ndarray, keep: np.ndarray, per_doc:
 
 
 _SUSPECTS = pa.schema(
-    [("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("copy", pa.int32()), ("at", pa.int32()), ("run", pa.int32())]
+    [("h1", pa.int64()), ("h2", pa.int32()), ("doc", pa.int64()), ("copy", pa.int32()), ("at", pa.int32()), ("run", pa.int32())]
 )
 _KEPT = pa.schema([("doc", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
