@@ -3,6 +3,7 @@ and on odd rows (nulls, blanks, long texts, copies, repeated rows, clashing
 column names, empty tables)."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -458,6 +459,70 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert one and by_rows(decontaminate.find_overlaps(docs, bench).collect(), "doc_id", "item_id", "start", "end") == one
 
 
+def test_masks_hit_every_pattern():
+    """All choices of replaced words in overlaps of 13 to 25 words leave a
+    seed whole; longer ones hold one of these."""
+    for n in range(13, 26):
+        patterns = np.array([sum(1 << i for i in c) for c in itertools.combinations(range(n), n * 20 // 100)])
+        hit = np.zeros(len(patterns), bool)
+        for mask in decontaminate.masks_for(13, 80):
+            bits = sum(1 << i for i, b in enumerate(mask) if b == "1")
+            for at in range(n - len(mask) + 1):
+                hit |= patterns & (bits << at) == 0
+        assert hit.all(), n
+
+
+def _overlaps(items, text, min_words, percent):
+    """Maximal stretches of all alignments, by trying every stretch; a short
+    item must occur whole."""
+    out = set()
+    asked = min_words, percent
+    for k, item in enumerate(items):
+        min_words, percent = asked if len(item) >= asked[0] else (len(item), 100)
+        for shift in range(1 - len(item), len(text)):
+            a, b = max(shift, 0), min(shift + len(item), len(text))
+            same = [text[t] == item[t - shift] for t in range(a, b)]
+            run = np.concatenate([[0], np.cumsum(same)])
+            if run[-1] * 100 < min_words * percent:
+                continue
+            good = [
+                (i, j)
+                for i in range(len(same))
+                for j in range(i + min_words, len(same) + 1)
+                if same[i] and same[j - 1] and (run[j] - run[i]) * 100 >= percent * (j - i)
+            ]
+            whole = [x for x in good if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in good)]
+            out |= {(k, a + i, a + j, int(run[j] - run[i])) for i, j in whole}
+    return out
+
+
+@pytest.mark.parametrize("min_words, percent", [(13, 80), (15, 90), (8, 70)])
+def test_overlaps_match_brute_force(min_words, percent):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(500)]
+    some = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [some(n) for n in (13, 15, 20, 25, 40, 60, 90)]
+    texts = []
+    for item in items:
+        for step in range(3, 9):  # every so many words replaced
+            for first in range(step):
+                texts.append(some(5) + [f"x{i}" if i % step == first else w for i, w in enumerate(item)] + some(5))
+        for _ in range(30):  # at random, in a part of the item
+            part = list(item[rng.randrange(len(item) // 3) :])
+            for i in rng.sample(range(len(part)), len(part) // 5):
+                part[i] = "x"
+            texts.append(some(4) + part)
+        texts.append(item[:14] + ["y"] * max(0, len(item) - 28) + item[-14:])  # two stretches of one alignment
+    index = decontaminate.Index.of(list(range(len(items))), [" ".join(x).encode() for x in items], min_words, percent)
+    found = decontaminate.overlaps_of(index, W.as_binary(pa.array([" ".join(t) for t in texts])))
+    assert len(found) == len(set(found))
+    got = defaultdict(set)
+    for row, *rest in found:
+        got[row].add(tuple(rest))
+    for row, text in enumerate(texts):
+        assert got[row] == _overlaps(items, text, min_words, percent), row
+
+
 # --- toxicity --------------------------------------------------------------
 
 
