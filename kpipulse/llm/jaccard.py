@@ -196,9 +196,10 @@ def similar_classes(docs: DataFrame, size: int = 5, similarity: Fraction = Fract
     """``doc_id, n_shingles, component_id`` for each document."""
     top, bottom = similarity.numerator, similarity.denominator
     base = stored(_digests(docs, size, similarity), "jaccard-digests")
-    classes = stored(
-        base.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("node").alias("rep"), F.count("*").alias("rows")), "jaccard-classes"
-    )
+    # the smallest node that holds tokens, if one does (the first document of
+    # a chunk need not be the class's smallest node)
+    first = F.min(F.struct(F.col("tokens").isNull().alias("bare"), "node"))["node"]
+    classes = stored(base.filter("n > 0").groupBy("d1", "d2", "n").agg(first.alias("rep")), "jaccard-classes")
     reps = base.filter("tokens is not null").join(classes.select(F.col("rep").alias("node")), "node", "left_semi")
     n_tokens = base.agg(F.sum(F.octet_length("tokens") / 8).alias("n")).first()["n"] or 0
     fragments = max(FRAGMENTS, math.ceil(n_tokens / FRAGMENT_TOKENS))

@@ -416,6 +416,28 @@ def test_jaccard_near_groups(spark):
     assert by_rows(got, "doc_id", "n_shingles", "component_id") == _classes(rows)
 
 
+def test_jaccard_repeated_ids(spark):
+    """Equal texts under one id, several of them or none, with near copies:
+    whichever row names the class, its links stay."""
+    rng = random.Random(6)
+    some = lambda n: [f"u{rng.randrange(10_000)}" for _ in range(n)]
+    rows = []
+    for g in range(12):
+        text = some(100)
+        near = " ".join([*text[:-3], *some(3)])
+        text = " ".join(text)
+        rows += [(None, text)] * 2 + [(1000 + g, near)]
+        a, b = " ".join(sorted(some(60))), some(100)
+        c = " ".join([*b[:-3], *some(3)])
+        rows += [(g, a), (g, " ".join(b)), (500 + g, " ".join(b)), (2000 + g, c), (g, c)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = _classes(rows)
+    assert by_rows(jaccard.similar_classes(frame).collect(), "doc_id", "n_shingles", "component_id") == want
+    with pytest.MonkeyPatch.context() as patch:  # all rows in one chunk
+        patch.setattr(jaccard, "chunks_for", lambda *_: 1)
+        assert by_rows(jaccard.similar_classes(frame).collect(), "doc_id", "n_shingles", "component_id") == want
+
+
 # --- decontamination -------------------------------------------------------
 
 
