@@ -7,8 +7,8 @@ as the next one's ``docs``. All but the last return the columns of documents.
 1. quality rules: documents that the base rules or the learned list reject go;
 2. line dedup: lines of templates that recur across documents are taken out
    (a document left without a word goes);
-3. n-gram Jaccard join: the first document of each group of near copies stays
-   (rows that repeat a ``doc_id`` stay or go together);
+3. n-gram Jaccard join: one row of each group of near copies stays, the one
+   with the smallest ``doc_id`` (null last; any one of several such rows);
 4. benchmark decontamination: documents with a benchmark passage go;
 5. packing: token ids of what is left, packed into sequences.
 
@@ -44,9 +44,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = jaccard.similar_classes(docs.select("doc_id", "text"))
-    stay = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay"))
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    # rows are numbered and stored: ids may repeat or be null
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
+    classes = jaccard.similar_classes(rows.select(F.col("__row").alias("doc_id"), "text"))
+    group = classes.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    stay = rows.select("doc_id", "__row").join(group, "__row").groupBy("__group").agg(F.min(place)["__row"].alias("__row"))
+    return rows.join(stay.select("__row"), "__row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

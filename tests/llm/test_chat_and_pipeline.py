@@ -111,3 +111,15 @@ def test_pipeline(spark):
     assert len({hashlib.sha256(t.lower().encode()).digest() for t in texts}) == len(texts)
     run = corpus_pipeline.run(spark, SF001).select("doc_id", "start", "ids_crc32").collect()
     assert Counter(map(tuple, run)) == Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in packed)
+
+
+def test_jaccard_stage_keeps_one_row_of_a_group(spark):
+    """Repeated and null ids: one row of each group, the one with the smallest
+    id; rows without words stay."""
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    rows = [(5, a), (5, b), (3, b), (7, c), (7, c), (7, c), (None, d), (None, d + " end"), (None, c), (None, "alone here"), (8, ""), (8, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.jaccard_join(spark, docs, SF001)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"].removesuffix(" end")) for r in kept.collect())
+    assert got == Counter([(5, a), (3, b), (7, c), (None, d), (None, "alone here"), (8, ""), (8, "")])
