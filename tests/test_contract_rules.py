@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import envelope_rows
+from core_helpers import envelope_rows
 from kpipulse.operators.bronze import to_bronze
 from kpipulse.operators.validate import default_rules, quarantine, valid_rows, validate
 
@@ -165,7 +165,7 @@ def test_time_parse_fallbacks(spark):
 
 
 def test_split_is_partition_of_input(spark):
-    from conftest import SF001
+    from core_helpers import SF001
     from kpipulse.plans import pipeline as P
 
     v = P.validated(spark, SF001).cache()

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from core_helpers import SF01
 from detector_oracle import cooldown_loop, simulate
 from kpipulse.contract import DetectorParams
 from kpipulse.operators import detect as D

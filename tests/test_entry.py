@@ -3,7 +3,7 @@
 import duckdb
 
 import __spark_entry__ as E
-from conftest import SF001
+from core_helpers import SF001
 
 
 def test_entry_smoke(spark):

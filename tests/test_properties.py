@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import envelope_rows
+from core_helpers import envelope_rows
 from kpipulse.operators.bronze import to_bronze
 from kpipulse.operators.kpis import kpis_wide
 from kpipulse.operators.validate import quarantine, valid_rows, validate

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, envelope_rows
+from core_helpers import SF001, envelope_rows
 from kpipulse.plans import pipeline as P
 from kpipulse.streaming import jobs as J
 from kpipulse.streaming import runs as R

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SF001
+from core_helpers import SF001
 from kpipulse.operators import serve as S
 from kpipulse.operators import tables as T
 from kpipulse.plans import pipeline as P
