@@ -12,32 +12,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import *  # noqa: F403  (the top conftest)
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_helpers import BODY, ODD, sf001, small, words_of
 
 from kpipulse.llm import decontaminate, jaccard, lines, packing, pii, quality, substrings, tokens, toxicity
 from kpipulse.llm import words as W
 
 
-def _load(name):
-    import importlib.util
-    import os
-
-    spec = importlib.util.spec_from_file_location("llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
-    return getattr(module, name)
-
-
-ODD, words_of, sf001, BODY = _load("ODD"), _load("words_of"), _load("sf001"), _load("BODY")
-
-
-def small(spark):
-    """The rows of the small documents table."""
-    return [(r["doc_id"], r["text"]) for r in sf001(spark, "documents").select("doc_id", "text").collect()]
-
-
 def by_rows(rows, *columns):
     return Counter(tuple(r[c] for c in columns) for r in rows)
 
