@@ -177,5 +177,35 @@ SELECT conv_id,
 FROM m GROUP BY conv_id
 """
 
-SPARK = {"op1_packing": op1_packing, "op2_pii": op2_pii, "op3_token_counts": op3_token_counts, "op4_line_dedup": op4_line_dedup, "op5_quality_rules": op5_quality_rules, "op6_jaccard_join": op6_jaccard_join, "op7_chat": op7_chat, "op8_decontamination": op8_decontamination, "op9_toxicity": op9_toxicity, "op10_substring_dedup": op10_substring_dedup}
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    from . import bpe
+
+    files = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    out = bpe.decode(bpe.encode(_docs(spark, sf_dir), *files), *files)
+    return out.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+SPARK = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_pii,
+        op3_token_counts,
+        op4_line_dedup,
+        op5_quality_rules,
+        op6_jaccard_join,
+        op7_chat,
+        op8_decontamination,
+        op9_toxicity,
+        op10_substring_dedup,
+        op11_byte_bpe,
+    )
+}
 SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
