@@ -192,6 +192,123 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import merkle
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    fields = lambda n_chars: [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+    touched = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    told = docs.select("*", merkle.hashed(fields(F.col("n_chars"))).alias("leaf"))
+    presented = F.when(touched, merkle.hashed(fields(F.try_add("n_chars", F.lit(1))))).otherwise(F.col("leaf"))
+    proved = merkle.prove(told.select(F.col("doc_id").alias("key"), F.col("lang").alias("group"), "leaf", presented.alias("presented")))
+    return proved.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("siblings", 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text in SQL, bit by bit."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295)"""
+
+
+OP12_SQL = f"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, n_chars, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS a, coalesce(strlen(text) || ':' || text, '-') AS z,
+    coalesce({_crc("doc_id::VARCHAR")} % 7 = 0, false) AS touched
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS h,
+    CASE WHEN touched THEN sha256(a || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || z) ELSE h END AS presented
+  FROM f
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), t AS (
+  SELECT lang, 0 AS lvl, i, n, h FROM placed
+  UNION ALL
+  SELECT lang, lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY lang, lvl, i // 2, n
+), subs AS (
+  SELECT lang, lvl AS depth, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM t WHERE n = 1
+), u AS (
+  SELECT 0 AS lvl, g AS i, n, subroot AS h FROM subs
+  UNION ALL
+  SELECT lvl + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY lvl, i // 2, n
+), steps AS (
+  SELECT p.doc_id, p.lang, p.i, t.lvl, CASE WHEN t.i % 2 = 0 THEN 'L' ELSE 'R' END AS side, t.h
+  FROM placed p JOIN t ON t.lang IS NOT DISTINCT FROM p.lang AND t.n > 1 AND t.i = xor(p.i >> t.lvl, 1)
+  UNION ALL
+  SELECT p.doc_id, p.lang, p.i, s.depth + u.lvl, CASE WHEN u.i % 2 = 0 THEN 'L' ELSE 'R' END, u.h
+  FROM placed p JOIN subs s ON s.lang IS NOT DISTINCT FROM p.lang JOIN u ON u.n > 1 AND u.i = xor(s.g >> u.lvl, 1)
+), levels AS (
+  SELECT p.doc_id, p.lang, p.i, p.h AS leaf, p.presented, s.subroot, l.lvl
+  FROM placed p JOIN subs s ON s.lang IS NOT DISTINCT FROM p.lang,
+  LATERAL (SELECT unnest(range(s.depth + (SELECT max(lvl) FROM u))) AS lvl) l
+), proofs AS (
+  SELECT l.doc_id, l.lang, l.i, list(coalesce(s.side || s.h, '-') ORDER BY l.lvl) AS path, coalesce(string_agg(s.h, '' ORDER BY l.lvl), '') AS siblings
+  FROM levels l LEFT JOIN steps s ON s.lang IS NOT DISTINCT FROM l.lang AND s.i = l.i AND s.lvl = l.lvl GROUP BY ALL
+)
+SELECT *, folded_root = root AS verified FROM (
+  SELECT p.doc_id, p.h AS leaf, s.subroot, u.h AS root, sha256(coalesce(q.siblings, '')) AS proof_sha256,
+    list_reduce(list_prepend(p.presented, coalesce(q.path, [])), lambda x, y: sha256(
+      CASE y[1] WHEN 'L' THEN y[2:] || x WHEN 'R' THEN x || y[2:] ELSE x END)) AS folded_root
+  FROM placed p JOIN subs s ON s.lang IS NOT DISTINCT FROM p.lang JOIN u ON u.n = 1
+  LEFT JOIN proofs q ON q.lang IS NOT DISTINCT FROM p.lang AND q.i = p.i
+)
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import trie
+
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    head = F.crc32(F.col("conv").cast("string")) % 4
+    return trie.build(talks, F.col("conv") - F.col("conv") % 20, head, 3)
+
+
+OP13_SQL = f"""
+WITH t AS (
+  SELECT conv_id AS c, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS told,
+    len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(told)) - 1 AS i FROM t
+), convs AS (
+  SELECT c, c - c % 20 AS donor, {_crc("c::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT c FROM t)
+), joined AS (
+  SELECT v.c, p.i, p.told, p.words, 0 AS own FROM convs v JOIN placed p ON p.c = v.donor AND p.i < v.h
+  UNION ALL
+  SELECT v.c, p.i, p.told, p.words, 1 FROM convs v JOIN placed p ON p.c = v.c AND p.i >= v.h
+), turns AS (
+  SELECT c, words, row_number() OVER w AS d, sha256(array_to_string(list(sha256(told)) OVER w, ',')) AS node FROM joined
+  WINDOW w AS (PARTITION BY c ORDER BY own, i)
+), steps AS (
+  SELECT c, d, node, words FROM turns UNION ALL SELECT c, 0, 'root', 0 FROM convs
+), paths AS (
+  SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS up, max(d) OVER (PARTITION BY c) = d AS ends FROM steps
+), nodes AS (
+  SELECT node, any_value(up) AS up, any_value(d) AS d, min(c) AS c, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+    sha256(coalesce(string_agg(c, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM paths GROUP BY node
+), kids AS (
+  SELECT up AS node, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up
+), rolled AS (
+  SELECT p.node, sum(n.saved) AS saved, count(*) FILTER (WHERE n.node NOT IN (SELECT node FROM kids)) AS leaves
+  FROM nodes n JOIN paths p ON p.c = n.c AND p.d <= n.d GROUP BY p.node
+)
+SELECT n.c AS conv_id, CAST(n.d AS BIGINT) AS depth, u.c AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+  r.leaves AS n_leaves, CAST(r.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN rolled r USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes u ON u.node = n.up
+"""
+
+
 SPARK = {
     f.__name__: f
     for f in (
@@ -206,6 +323,8 @@ SPARK = {
         op9_toxicity,
         op10_substring_dedup,
         op11_byte_bpe,
+        op12_merkle_manifest,
+        op13_prefix_trie,
     )
 }
-SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL}
+SQL = {"op4_line_dedup": OP4_SQL, "op7_chat": OP7_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}

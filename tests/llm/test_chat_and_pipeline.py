@@ -88,7 +88,7 @@ def test_sql_agrees(spark):
 
 def test_registered_names():
     names = {n.split("_")[0] for n in E.queries() if n.startswith("op")}
-    assert {f"op{n}" for n in range(1, 11)} <= names and "pipeline" in E.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= names and "pipeline" in E.queries()
 
 
 def test_pipeline(spark):
