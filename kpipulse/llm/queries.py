@@ -53,26 +53,27 @@ OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
 ), raw AS (
-  SELECT doc_id, text, unnest(ls) AS l, unnest(range(len(ls))) AS ln FROM d
+  SELECT doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS ln FROM d
 ), w AS (
-  SELECT doc_id, text, ln, list_filter(regexp_split_to_array(
+  SELECT doc_id, ln, list_filter(regexp_split_to_array(
            regexp_replace(l, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda x: x <> '') AS words
   FROM raw
 ), p AS (
-  SELECT doc_id, text, ln, words, len(words) || ' ' || array_to_string(words[1:4], ' ') AS leaf, array_to_string(words, ' ') AS sig
-  FROM w WHERE len(words) > 0
-), wide AS (
-  SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5
-), s AS (
-  SELECT leaf, sig, any_value(words) AS words, count(DISTINCT doc_id) AS docs FROM p WHERE leaf IN (SELECT leaf FROM wide) GROUP BY leaf, sig
+  SELECT doc_id, ln, words, len(words) || ' ' || array_to_string(words[1:4], ' ') AS leaf FROM w WHERE len(words) > 0
+), inside AS (
+  SELECT * FROM p WHERE leaf IN (SELECT leaf FROM p GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5)
 ), t AS (
-  SELECT leaf, sig, docs, len(words) AS size, unnest(words) AS token, unnest(range(len(words))) AS pos FROM s
+  SELECT doc_id, ln, leaf, unnest(words[5:]) AS token, unnest(range(len(words[5:]))) AS pos FROM inside
 ), c AS (
-  SELECT leaf, pos, token FROM t GROUP BY ALL HAVING sum(docs) >= 5
-), hit AS (
-  SELECT leaf, sig FROM t JOIN c USING (leaf, pos, token) GROUP BY leaf, sig, size HAVING count(*) / size >= 0.6
+  SELECT leaf, pos, token FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 5
+), forms AS (
+  SELECT doc_id, ln, leaf, list(CASE WHEN c.token IS NULL THEN '<*>' ELSE t.token END ORDER BY pos) AS form
+  FROM t LEFT JOIN c USING (leaf, pos, token) GROUP BY doc_id, ln, leaf HAVING count(c.token) / count(*) >= 0.6
+  UNION ALL
+  SELECT doc_id, ln, leaf, [] FROM inside WHERE len(words) <= 4
 ), h AS (
-  SELECT leaf, doc_id, ln, row_number() OVER (PARTITION BY leaf ORDER BY doc_id, ln) AS nth FROM p JOIN hit USING (leaf, sig)
+  SELECT doc_id, ln, row_number() OVER (PARTITION BY leaf, form ORDER BY doc_id, ln) AS nth FROM forms
+  WHERE (leaf, form) IN (SELECT (leaf, form) FROM forms GROUP BY leaf, form HAVING count(DISTINCT doc_id) >= 5)
 ), gone AS (
   SELECT doc_id, list(ln) AS ats FROM h WHERE nth > 1 GROUP BY doc_id
 )
@@ -83,6 +84,7 @@ SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS
 FROM documents LEFT JOIN gone USING (doc_id)
 """
 
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate
 

@@ -222,33 +222,33 @@ def test_token_counts(spark, odd, none):
 
 
 def _instances(rows, depth=4, min_docs=5, similarity=0.6):
-    """Places (document, line) to drop, by the definition."""
+    """Places (row, line) to drop, by the definition; equal rows are one
+    document."""
     mask = lambda w: "<*>" if re.search("[0-9]", w) else w
     parsed = []
     for d, (_, text) in enumerate(rows):
-        for k, line in enumerate((text or "").split("\n") if text is not None else []):
+        for k, line in enumerate(text.split("\n") if text is not None else []):
             ws = [mask(w) for w in re.findall(r"[^ \t\x0b\f\r]+", line)]
             if ws:
-                parsed.append((d, k, (len(ws), tuple(ws[:depth])), tuple(ws)))
-    spread, docs = defaultdict(set), defaultdict(set)
-    for d, _, leaf, ws in parsed:
-        spread[leaf].add(rows[d])
-        docs[leaf, ws].add(rows[d])
-    seen = Counter()
-    for (leaf, ws), who in docs.items():
-        if len(spread[leaf]) >= min_docs:
-            for p, w in enumerate(ws):
-                seen[leaf, p, w] += len(who)
-    first, out = {}, set()
-    key = lambda d, k: ((rows[d][0] is not None, rows[d][0] or 0), k)
-    hit = [
-        (d, k, leaf)
-        for d, k, leaf, ws in parsed
-        if len(spread[leaf]) >= min_docs and sum(seen[leaf, p, w] >= min_docs for p, w in enumerate(ws)) >= similarity * len(ws)
-    ]
-    for d, k, leaf in hit:
-        first[leaf] = min(first.get(leaf, key(d, k)), key(d, k))
-    return {(d, k) for d, k, leaf in hit if key(d, k) != first[leaf]} | out
+                parsed.append((d, k, (len(ws), *ws[:depth]), ws[depth:]))
+    who = defaultdict(set)
+    for d, _, leaf, later in parsed:
+        for p, w in enumerate(later):
+            who[leaf, p, w].add(rows[d])
+    members, places = defaultdict(set), defaultdict(set)
+    for d, k, leaf, later in parsed:
+        constant = [len(who[leaf, p, w]) >= min_docs for p, w in enumerate(later)]
+        if sum(constant) >= similarity * len(later):
+            form = (leaf, *[w if c else "<*>" for c, w in zip(constant, later)])
+            members[form].add(rows[d])
+            places[form].add((d, k))
+    key = lambda place: ((rows[place[0]][0] is not None, rows[place[0]][0] or 0), place[1])
+    out = set()
+    for form, docs in members.items():
+        if len(docs) >= min_docs:
+            first = min(places[form], key=key)
+            out |= {x for x in places[form] if (rows[x[0]], x[1]) != (rows[first[0]], first[1])}
+    return out
 
 
 def test_line_dedup_small(spark):
@@ -274,6 +274,51 @@ def test_line_dedup_templates(spark):
     assert all(got[i] == t for i, t in rows[10:])
 
 
+def _dropped(spark, rows):
+    """Lines that are left of each row, in order of id and text."""
+    out = lines.drop_template_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    gone = _instances(rows)
+    want = Counter()
+    for d, (i, t) in enumerate(rows):
+        kept = [x for k, x in enumerate(t.split("\n")) if (d, k) not in gone]
+        want[(i, "\n".join(kept), len(t.split("\n")), sum(x == d for x, _ in gone))] += 1
+    assert by_rows(out, "doc_id", "text", "n_lines", "n_dropped") == want
+    return {r["doc_id"]: r["text"] for r in out}
+
+
+def test_line_dedup_keeps_different_lines(spark):
+    """Lines with a common opening and different ends are no instances."""
+    rows = [(i, f"We went to the {w} house") for i, w in enumerate("red blue green white brown black".split())]
+    assert _dropped(spark, rows) == dict(rows)
+    # one document's five lines make no constant
+    rows += [(50, "\n".join(f"We went to the {w} {x}" for w, x in zip("abcde", "vwxyz")))]
+    rows += [(60 + i, f"We went to the {'klmno'[i]} v") for i in range(4)]
+    _dropped(spark, rows)
+
+
+def test_line_dedup_many_templates_in_a_leaf(spark):
+    """Two templates share a leaf; the first instance of each stays, and rows
+    that repeat a document count once and lose the same lines."""
+    red = [(i, f"own {chr(97 + i)} text\nthe log says that job {'abcdefgh'[i]} has ended well today") for i in range(7)]
+    blue = [(10 + i, f"own {chr(107 + i)} word\nthe log says that disk {'abcdefgh'[i]} was nearly full again") for i in range(6)]
+    few = [(20 + i, f"the log says that node {'abcdefgh'[i]} could not be found") for i in range(4)]
+    rows = red + blue + few + [red[3], red[3], blue[0], few[0]]
+    got = _dropped(spark, rows)
+    assert got[0] == red[0][1] and got[10] == blue[0][1]
+    assert got[3] == "own d text" and got[12] == "own m word" and all(got[i] == t for i, t in few)
+
+
+def test_line_dedup_random(spark):
+    """Small vocabularies, so that leaves hold many lines and templates."""
+    rng = random.Random(11)
+    word = lambda: rng.choice(["a", "b", "c", "7", "x1"])
+    rows = []
+    for i in range(150):
+        each = [" ".join(["to", "be", "or", "not"][: rng.randint(1, 4)] + [word() for _ in range(rng.randint(0, 5))]) for _ in range(rng.randint(1, 6))]
+        rows.append((i or None, "\n".join(each) + f"\n{i}x own{'abc'[i % 3]} {chr(200 + i)}"))
+    _dropped(spark, rows + rows[:20])
+
+
 def test_line_dedup_odd(spark, odd, none):
     got = lines.drop_template_lines(odd).collect()
     assert Counter((r["doc_id"], r["text"], r["doc"], r["kept"]) for r in got) == Counter((i, t, "doc", "kept") for i, t in ODD)
