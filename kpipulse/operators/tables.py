@@ -5,8 +5,8 @@
   batch twice gives the same table.
 * ``insert_if_absent``: new alerts are added only when their id is not in the
   table; duplicates inside the batch collapse to one deterministic row.
-* ``versioned`` KPI storage for streams: each micro-batch overwrites its own
-  ``run=<r>/batch=<b>`` folder (a replayed batch rewrites the same folder); the
+* ``versioned`` KPI storage for streams (``kpi_store``): each micro-batch is a
+  version in a manifest, versions are merged into one file per date; the
   reader keeps, per window, the rows of the greatest ``(run, batch)``. No
   driver collect, no transaction needed.
 * ``duplicate_keys`` / ``null_keys``: constraint checks as DataFrames that
@@ -15,11 +15,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from .dedupe import dedupe
+from .kpi_store import RETAIN_S, KpiStore
+from .kpi_store import VERSION_SCHEMA as KPI_VERSION_SCHEMA
+from .kpi_store import write_dated as write_kpi_table
+
+__all__ = [
+    "KPI_VERSION_SCHEMA",
+    "constraint_report",
+    "duplicate_keys",
+    "insert_if_absent",
+    "null_keys",
+    "read_versioned",
+    "replace_windows",
+    "with_created_at",
+    "write_kpi_table",
+    "write_versioned_batch",
+]
 
 
 def replace_windows(table: DataFrame, batch: DataFrame, key: str = "window_start") -> DataFrame:
@@ -53,57 +68,20 @@ def with_created_at(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("created_at", F.current_timestamp())
 
 
-def write_kpi_table(kpi: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store KPI rows partitioned by ``window_date``, each file sorted by
-    ``(metric, window_start)``: range and latest reads prune by partition and
-    by row-group statistics.
-
-    Rows of a date meet in one task (a date of one-minute KPIs is 14,400
-    rows), and the sort leads with the date because the partitioned write
-    needs it: the order inside is then kept.
-    """
-    dated = kpi.withColumn("window_date", F.to_date("window_start"))
-    rows = dated.repartition("window_date").sortWithinPartitions("window_date", "metric", "window_start")
-    rows.write.mode(mode).partitionBy("window_date").parquet(path)
-
-
-KPI_VERSION_SCHEMA = StructType(
-    [
-        StructField("window_start", TimestampType(), True),
-        StructField("metric", StringType(), True),
-        StructField("value", DoubleType(), True),
-        StructField("run", IntegerType(), True),
-        StructField("batch", IntegerType(), True),
-        StructField("window_date", DateType(), True),
-    ]
-)
-
-
-def write_versioned_batch(batch: DataFrame, path: str, run: int, batch_id: int) -> None:
-    """One micro-batch of KPI rows into its own folder (overwrite =
-    replay-safe), one sorted file per window date."""
-    write_kpi_table(batch.select("window_start", "metric", "value"), f"{path.rstrip('/')}/run={run}/batch={batch_id}")
+def write_versioned_batch(
+    batch: DataFrame, path: str, run: int, batch_id: int, compact_every: int | None = None, retain_s: float = RETAIN_S
+) -> None:
+    """Commit one micro-batch of KPI rows to the table's manifest (a batch that
+    is committed already changes nothing); after ``compact_every`` versions
+    merge them into one file per date."""
+    KpiStore(batch.sparkSession, path).commit(batch, run, batch_id, compact_every, retain_s)
 
 
 def read_versioned(spark, path: str) -> DataFrame:
     """Current KPI rows: per window, the rows of the newest ``(run, batch)``;
-    an empty table before the first batch. Versions are never deleted by a
-    writer, so a reader keeps the view it has listed."""
-    from ..sources import files as FS
-
-    if not any(d.startswith("run=") for d in FS.child_dirs(spark, path)):
-        return latest_versions(spark.createDataFrame([], KPI_VERSION_SCHEMA))
-    raw = spark.read.schema(KPI_VERSION_SCHEMA).option("basePath", path).parquet(f"{path.rstrip('/')}/run=*/batch=*")
-    return latest_versions(raw)
-
-
-def latest_versions(raw: DataFrame) -> DataFrame:
-    """Per window, the rows of its newest ``(run, batch)``, with the
-    ``window_date`` column that date predicates prune by."""
-    ver = F.struct(F.col("run").cast("long"), F.col("batch").cast("long"))
-    w = Window.partitionBy("window_start", "window_date")
-    newest = raw.withColumn("_v", ver).withColumn("_m", F.max("_v").over(w)).filter(F.col("_v") == F.col("_m"))
-    return newest.select("window_start", "metric", "value", "window_date")
+    an empty table before the first batch. A reader follows the manifest it
+    has seen; what a merge replaces stays for the retention time."""
+    return KpiStore(spark, path).read()
 
 
 def constraint_report(df: DataFrame, keys: list[str], not_null: list[str]) -> DataFrame:

@@ -25,6 +25,14 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hp) if st.isDirectory()]
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` (empty when it does not exist)."""
+    fs, hp = hadoop_fs(spark, path)
+    if not fs.exists(hp):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(hp) if st.isFile()]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hp = hadoop_fs(spark, path)
     fs.delete(hp, True)
@@ -42,9 +50,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
     fs, hp = hadoop_fs(spark, path)
-    out = fs.create(hp, True)
+    out = fs.create(hp, overwrite)
     try:
         out.write(bytearray(text.encode()))
     finally:

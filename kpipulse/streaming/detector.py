@@ -8,22 +8,23 @@ versions; the ``foreachBatch`` callback
    before as the polls to run (each such window ``u`` is "the newest window a
    poll sees", so its predecessor gets scored); re-emitted and late windows
    are not polled again, so each window is scored once,
-2. reads the current KPI rows in ``[min(u) - lookback, max(u)]`` (a range
-   filter that reaches the scan: the read is bounded by the batch span plus
-   one lookback, not by the table),
+2. reads the current KPI rows in ``[min(u) - lookback, max(u)]`` (the dates
+   are chosen in the table's manifest and a range filter reaches the scan: the
+   read is bounded by the batch span plus one lookback, not by the table),
 3. scores those polls with ``score_all``, applies the threshold and the
    cooldown seeded from the newest stored alert per metric,
 4. appends only alert ids that are not in the table yet (the read is bounded
    by date, from one cooldown before the batch's history range onward), one
    file per alert date,
-5. records the newest window polled in its own folder per batch; a replayed
+5. records the newest window polled in a commit log, of which a batch reads
+   the newest record (a replayed one the record before its own); a replayed
    batch looks at earlier batches only, so it runs the same polls again and
    inserts nothing twice.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +32,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import DetectorParams
 from ..operators import detect as D
-from ..operators.tables import KPI_VERSION_SCHEMA, read_versioned
+from ..operators.kpi_store import VERSION_SCHEMA, KpiStore
 from ..sources import files as FS
+from ..sources.log import CommitLog
 from .jobs import _trigger
 
+
 def detect_batch(
     spark: SparkSession,
     new_kpi: DataFrame,
@@ -76,13 +79,25 @@ def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
     rows.write.mode(mode).partitionBy("window_date").parquet(path)
 
 
+def _time(micros: int | None) -> datetime | None:
+    """Epoch microseconds as PySpark hands timestamps to Python."""
+    return None if micros is None else datetime.fromtimestamp(micros // 1_000_000) + timedelta(microseconds=micros % 1_000_000)
+
+
+def _record_before(log: CommitLog, batch_id: int) -> dict | None:
+    """The newest record of a batch before ``batch_id``: the last one, or for
+    a replayed batch the one before its own."""
+    n, body = log.last() or (0, None)
+    while body is not None and body["batch"] >= batch_id:
+        n -= 1
+        body = log.get(n)
+    return body
+
+
 def polled_before(spark: SparkSession, path: str, batch_id: int) -> datetime | None:
     """Newest window polled by the batches before ``batch_id``."""
-    done = [int(d[6:]) for d in FS.child_dirs(spark, path) if d.startswith("batch=")]
-    if not any(b < batch_id for b in done):
-        return None
-    marks = spark.read.schema("newest timestamp, batch int").option("basePath", path).parquet(path)
-    return marks.filter(F.col("batch") < batch_id).agg(F.max("newest").alias("t")).first()["t"]
+    body = _record_before(CommitLog(spark, path), batch_id)
+    return None if body is None else _time(body["newest"])
 
 
 def detector_query(
@@ -94,29 +109,44 @@ def detector_query(
     trigger: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    r = spark.readStream.format("parquet").schema(KPI_VERSION_SCHEMA).option("basePath", kpi_path)
-    r = r.option("ignoreMissingFiles", "true")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    versions = r.load(kpi_path)
-    polls_path = checkpoint.rstrip("/") + ".polls"
+    versions = version_stream(spark, kpi_path, max_files_per_trigger)
+    store, log = KpiStore(spark, kpi_path), CommitLog(spark, checkpoint.rstrip("/") + ".polls")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.agg(F.max("window_start").alias("newest"))
-        mark = newest.first()["newest"]
-        if mark is None:
+        micros = F.unix_micros("window_start")
+        ends = batch.agg(F.min(micros).alias("oldest"), F.max(micros).alias("newest")).first()
+        if ends["newest"] is None:
             return
-        polled = polled_before(spark, polls_path, batch_id)
-        if polled is None or mark > polled:
+        before = _record_before(log, batch_id)
+        polled = None if before is None else before["newest"]
+        if polled is None or ends["newest"] > polled:
             alerts = read_alerts(spark, alerts_path) if FS.exists(spark, alerts_path) else None
             new = batch.select("window_start", "metric", "value")
-            write_alerts(detect_batch(spark, new, read_versioned(spark, kpi_path), alerts, p, polled), alerts_path)
-        newest.coalesce(1).write.mode("overwrite").parquet(f"{polls_path}/batch={batch_id}")
+            kpi = store.read(*_dates(max(ends["oldest"], polled or ends["oldest"]), ends["newest"], p))
+            write_alerts(detect_batch(spark, new, kpi, alerts, p, _time(polled)), alerts_path)
+        last = log.last()
+        if last is None or last[1]["batch"] < batch_id:
+            log.append(1 if last is None else last[0] + 1, {"batch": batch_id, "newest": max(ends["newest"], polled or 0)})
 
     w = versions.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def version_stream(spark: SparkSession, kpi_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The versions of the KPI table as a stream (merged files are hidden)."""
+    r = spark.readStream.format("parquet").schema(VERSION_SCHEMA).option("basePath", kpi_path)
+    r = r.option("ignoreMissingFiles", "true")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(kpi_path)
+
+
+def _dates(oldest: int, newest: int, p: DetectorParams) -> tuple[datetime, datetime]:
+    """First and last date that polls of windows between two times read."""
+    at = lambda micros: datetime.fromtimestamp(micros // 1_000_000, timezone.utc)
+    return at(oldest) - timedelta(seconds=p.lookback_s), at(newest)
+
+
 ALERT_SCHEMA = (
     "alert_id string, created_at timestamp, window_start timestamp, metric string, value double, baseline double, "
     "score double, severity string, rule_name string, details string, window_date date"

@@ -10,8 +10,9 @@ Each job wires the same DataFrame operators the batch plans use into a
   hour) and invalid rows with reasons (append, partitioned by ingest date /
   hour). Each has its own checkpoint; only Silver holds state.
 * ``gold_query``: Silver files -> watermark -> windowed KPIs in update mode ->
-  ``foreachBatch`` that overwrites the batch's own version folder
-  (``run=<r>/batch=<id>``); readers keep the newest version per window.
+  ``foreachBatch`` that commits the batch as a version of the KPI table
+  (``kpi_store``) and merges versions now and then; readers keep the newest
+  version per window.
 
 Dedupe modes: ``within_watermark`` (default; state is evicted once the
 watermark passes, so it runs forever) or ``exact`` (``dropDuplicates`` with
@@ -29,7 +30,8 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, Str
 from ..contract import ENVELOPE_SCHEMA, EVENT_SCHEMA
 from ..operators.bronze import lineage_projection, to_bronze
 from ..operators.kpis import kpis_long
-from ..operators.tables import read_versioned, write_versioned_batch
+from ..operators.kpi_store import RETAIN_S, KpiStore
+from ..operators.tables import read_versioned
 from ..operators.validate import default_rules, quarantine, valid_rows, validate
 from ..sources import files as FS
 
@@ -171,22 +173,15 @@ def run_id(spark: SparkSession, checkpoint: str, kpi_path: str) -> int:
     """Version number of this checkpoint's lineage of KPI batches.
 
     Kept in ``<checkpoint>.run`` (any Hadoop file system). A restart of the
-    same checkpoint reuses it, so a replayed batch overwrites its own folder;
-    a new checkpoint takes one more than the newest run already in
-    ``kpi_path``, so its batches supersede the old ones.
+    same checkpoint reuses it, so a replayed batch is known; a new checkpoint
+    takes one more than the newest run committed to ``kpi_path``, so its
+    batches supersede the old ones.
     """
     marker = checkpoint.rstrip("/") + ".run"
     txt = FS.read_text(spark, marker)
     if txt is not None and FS.exists(spark, checkpoint):
         return int(txt.strip())
-    newest = 0
-    for name in FS.child_dirs(spark, kpi_path):
-        if name.startswith("run="):
-            try:
-                newest = max(newest, int(name[4:]))
-            except ValueError:
-                pass
-    run = newest + 1
+    run = max(0, KpiStore(spark, kpi_path).snapshot()[1].newest[0]) + 1
     FS.write_text(spark, marker, str(run))
     return run
 
@@ -203,13 +198,16 @@ def gold_query(
     width: str = "1 minute",
     watermark: str = "1 hour",
     trigger: str | None = None,
+    compact_every: int | None = 40,
+    retain_s: float = RETAIN_S,
 ) -> StreamingQuery:
-    """Windowed KPIs in update mode; each micro-batch overwrites its own
-    version folder, an empty one writes no rows."""
+    """Windowed KPIs in update mode; each micro-batch is a version of the KPI
+    table, and ``compact_every`` versions are merged into a file per date."""
+    store = KpiStore(silver.sparkSession, kpi_path)
     run = run_id(silver.sparkSession, checkpoint, kpi_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_versioned_batch(batch, kpi_path, run, batch_id)
+        store.commit(batch, run, batch_id, compact_every, retain_s)
 
     w = gold_frame(silver, width, watermark).writeStream.outputMode("update").foreachBatch(sink).option(
         "checkpointLocation", checkpoint
