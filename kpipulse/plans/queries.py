@@ -571,6 +571,28 @@ def stream_kpi(spark, sf_dir):
     return finish(R.J.read_kpi(spark, p.kpi), ("value",))
 
 
+@register("stream_bronze_raw", SQL["bronze_parse"])
+def stream_bronze_raw(spark, sf_dir):
+    """S2, P7, ST8: broker rows with binary key and value, one file of the
+    topic per micro-batch."""
+    p = R.new_paths(spark)
+    R.land_topic(spark, sf_dir, p.topic, files=3, raw=True)
+    R.run_stream_pipeline(spark, sf_dir, p, stages=("bronze",), land=False, raw=True, max_files_per_trigger=1)
+    return finish(R.read_table(spark, p.bronze).select(*_BRONZE_COLS, "ingest_time_ts", "ingest_date", "ingest_hour"))
+
+
+@register("stream_kpi_compacted", SQL["kpi_minute_long"])
+def stream_kpi_compacted(spark, sf_dir):
+    """K5: Gold in several rate-limited micro-batches, each a version of the
+    KPI table; every two versions are merged. The watermark is longer than the
+    data, so that no batch finds late rows."""
+    p = R.run_stream_pipeline(spark, sf_dir, stages=("bronze", "silver"))
+    files = len(R.read_table(spark, p.silver).inputFiles())
+    silver = R.J.parquet_stream(spark, p.silver, R.J.SILVER_READ_SCHEMA, max_files_per_trigger=max(1, files // 4))
+    R._finish(R.J.gold_query(silver, p.kpi, p.ckpt("gold"), watermark="400 days", compact_every=2))
+    return finish(R.J.read_kpi(spark, p.kpi), ("value",))
+
+
 # tables that later plans can read instead of building them (``P.prepare``)
 PREPARED = {
     "bronze": (P.bronze, None),
@@ -608,6 +630,25 @@ def stream_alerts_batches(spark, sf_dir):
     return finish(read_alerts(spark, p.alerts).select(*_ALERT_OUT), _SCORE_COLS)
 
 
+@register("stream_alerts_keyed", SQL["anomaly_alerts"])
+def stream_alerts_keyed(spark, sf_dir):
+    """The hourly KPIs in four micro-batches, candidates as a stream
+    and the cooldown in keyed state, restarted for every batch."""
+    from ..streaming.detector import alerts_query, candidates_query, read_alerts
+
+    R.configure(spark)
+    kpi = _hour_kpi(spark, sf_dir).select("window_start", "metric", "value")
+    p = R.new_paths(spark)
+    days = ["2024-01-08", "2024-01-16", "2024-01-24", "2100-01-01"]
+    for batch, (lo, hi) in enumerate(zip(["1970-01-01", *days], days)):
+        ts = F.col("window_start")
+        again = F.to_timestamp(F.lit(lo)) - F.expr("INTERVAL '1' HOUR")
+        T.write_versioned_batch(kpi.filter((ts >= again) & (ts < hi)), p.kpi, 1, batch)
+        R._finish(candidates_query(spark, p.kpi, p.candidates, p.ckpt("candidates"), DET))
+        R._finish(alerts_query(spark, p.candidates, p.alerts, p.ckpt("alerts"), DET))
+    return finish(read_alerts(spark, p.alerts).select(*_ALERT_OUT), _SCORE_COLS)
+
+
 # ------------------------------------------------- other table schemas ----
 # The rules, dedupe and window operators are schema-agnostic; these run them
 # over the whole ``lineitem`` table.

@@ -35,9 +35,30 @@ from ..operators import detect as D
 from ..operators.kpi_store import VERSION_SCHEMA, KpiStore
 from ..sources import files as FS
 from ..sources.log import CommitLog
+from .cooldown import CANDIDATE_SCHEMA, keyed_cooldown
 from .jobs import _trigger
 
 
+def candidate_batch(new_kpi: DataFrame, kpi: DataFrame, p: DetectorParams, polled: datetime | None = None) -> DataFrame:
+    """Candidates of the polls whose newest window is in ``new_kpi`` and after
+    ``polled`` (the newest window polled before); ``kpi`` is the current KPI
+    table."""
+    polls, lo, hi = _polls(new_kpi, p, polled)
+    wanted = (F.col("window_start") >= lo) & (F.col("window_start") <= hi)
+    if "window_date" in kpi.columns:
+        wanted &= (F.col("window_date") >= F.to_date(lo)) & (F.col("window_date") <= F.to_date(hi))
+    return D.candidates(D.score_all(kpi.filter(wanted), p, polls=polls), p)
+
+
+def _polls(new_kpi: DataFrame, p: DetectorParams, polled: datetime | None):
+    """The polls of a batch, and the range of windows that they look at."""
+    polls = new_kpi.select(F.col("window_start").alias("poll_window")).distinct()
+    if polled is not None:
+        polls = polls.filter(F.col("poll_window") > F.lit(polled))
+    lo = polls.select(F.min("poll_window")).scalar() - F.make_interval(secs=F.lit(float(p.lookback_s)))
+    return polls, lo, polls.select(F.max("poll_window")).scalar()
+
+
 def detect_batch(
     spark: SparkSession,
     new_kpi: DataFrame,
@@ -51,24 +72,17 @@ def detect_batch(
 
     ``kpi`` is the current KPI table, ``alerts`` the stored alerts (or None).
     """
-    polls = new_kpi.select(F.col("window_start").alias("poll_window")).distinct()
-    if polled is not None:
-        polls = polls.filter(F.col("poll_window") > F.lit(polled))
-    lo = polls.select(F.min("poll_window")).scalar() - F.make_interval(secs=F.lit(float(p.lookback_s)))
-    hi = polls.select(F.max("poll_window")).scalar()
-    wanted = (F.col("window_start") >= lo) & (F.col("window_start") <= hi)
-    if "window_date" in kpi.columns:
-        wanted &= (F.col("window_date") >= F.to_date(lo)) & (F.col("window_date") <= F.to_date(hi))
-    scores = D.score_all(kpi.filter(wanted), p, polls=polls)
+    found = candidate_batch(new_kpi, kpi, p, polled)
     if alerts is None:
-        return D.alerts_from(D.apply_cooldown(D.candidates(scores, p), p), p)
+        return D.alerts_from(D.apply_cooldown(found, p), p)
     # the newest alert of a metric decides; one more than a cooldown before the
     # first scored window suppresses nothing, so older dates are not read
+    lo = _polls(new_kpi, p, polled)[1]
     since = lo - F.make_interval(secs=F.lit(float(p.cooldown_s)))
     recent = alerts.filter(F.col("window_start") >= since)
     if "window_date" in alerts.columns:
         recent = recent.filter(F.col("window_date") >= F.to_date(since))
-    fresh = D.alerts_from(D.apply_cooldown(D.candidates(scores, p), p, D.last_alert_per_metric(recent, p.rule_name)), p)
+    fresh = D.alerts_from(D.apply_cooldown(found, p, D.last_alert_per_metric(recent, p.rule_name)), p)
     return fresh.join(recent.select("alert_id"), "alert_id", "left_anti")
 
 
@@ -100,16 +114,10 @@ def polled_before(spark: SparkSession, path: str, batch_id: int) -> datetime | N
     return None if body is None else _time(body["newest"])
 
 
-def detector_query(
-    spark: SparkSession,
-    kpi_path: str,
-    alerts_path: str,
-    checkpoint: str,
-    p: DetectorParams = DetectorParams(),
-    trigger: str | None = None,
-    max_files_per_trigger: int | None = None,
-) -> StreamingQuery:
-    versions = version_stream(spark, kpi_path, max_files_per_trigger)
+def _poll_sink(spark: SparkSession, kpi_path: str, checkpoint: str, p: DetectorParams, step):
+    """A ``foreachBatch`` function that runs ``step(new, kpi, polled,
+    batch_id)`` on batches with windows newer than any polled before, and
+    records the newest window polled."""
     store, log = KpiStore(spark, kpi_path), CommitLog(spark, checkpoint.rstrip("/") + ".polls")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -120,18 +128,103 @@ def detector_query(
         before = _record_before(log, batch_id)
         polled = None if before is None else before["newest"]
         if polled is None or ends["newest"] > polled:
-            alerts = read_alerts(spark, alerts_path) if FS.exists(spark, alerts_path) else None
-            new = batch.select("window_start", "metric", "value")
             kpi = store.read(*_dates(max(ends["oldest"], polled or ends["oldest"]), ends["newest"], p))
-            write_alerts(detect_batch(spark, new, kpi, alerts, p, _time(polled)), alerts_path)
+            step(batch.select("window_start", "metric", "value"), kpi, _time(polled), batch_id)
         last = log.last()
         if last is None or last[1]["batch"] < batch_id:
             log.append(1 if last is None else last[0] + 1, {"batch": batch_id, "newest": max(ends["newest"], polled or 0)})
 
-    w = versions.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return sink
+
+
+def detector_query(
+    spark: SparkSession,
+    kpi_path: str,
+    alerts_path: str,
+    checkpoint: str,
+    p: DetectorParams = DetectorParams(),
+    trigger: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """One query, the cooldown seeded from the alert table in every batch."""
+
+    def step(new: DataFrame, kpi: DataFrame, polled: datetime | None, batch_id: int) -> None:
+        alerts = read_alerts(spark, alerts_path) if FS.exists(spark, alerts_path) else None
+        write_alerts(detect_batch(spark, new, kpi, alerts, p, polled), alerts_path)
+
+    versions = version_stream(spark, kpi_path, max_files_per_trigger)
+    w = versions.writeStream.foreachBatch(_poll_sink(spark, kpi_path, checkpoint, p, step)).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def candidates_query(
+    spark: SparkSession,
+    kpi_path: str,
+    candidates_path: str,
+    checkpoint: str,
+    p: DetectorParams = DetectorParams(),
+    trigger: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """New KPI versions -> candidates, one folder per micro-batch."""
+
+    def step(new: DataFrame, kpi: DataFrame, polled: datetime | None, batch_id: int) -> None:
+        names = [f.split()[0] for f in CANDIDATE_SCHEMA.split(", ")]
+        found = candidate_batch(new, kpi, p, polled).select(*names)
+        found.coalesce(1).write.mode("overwrite").parquet(f"{candidates_path}/batch={batch_id}")
+
+    versions = version_stream(spark, kpi_path, max_files_per_trigger)
+    w = versions.writeStream.foreachBatch(_poll_sink(spark, kpi_path, checkpoint, p, step)).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def alerts_query(
+    spark: SparkSession,
+    candidates_path: str,
+    alerts_path: str,
+    checkpoint: str,
+    p: DetectorParams = DetectorParams(),
+    trigger: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Candidates -> cooldown in keyed state -> alert table, insert-if-absent.
+    The alerts stored when the checkpoint is new are the initial clocks; after
+    that only ids of the dates that a batch inserts to are looked up."""
+    stored = read_alerts(spark, alerts_path) if FS.exists(spark, alerts_path) else spark.createDataFrame([], ALERT_SCHEMA)
+    seeds = D.last_alert_per_metric(stored.select("metric", "window_start", "rule_name"), p.rule_name)
+    if FS.exists(spark, f"{checkpoint}/offsets"):
+        seeds = seeds.filter("false")  # the state store has the clocks
+    FS.mkdirs(spark, candidates_path)
+    r = spark.readStream.format("parquet").schema(CANDIDATE_SCHEMA + ", batch int").option("basePath", candidates_path)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    candidates = r.load(candidates_path).drop("batch")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()  # the state must be stepped once
+        try:
+            insert_alerts(spark, kept, alerts_path)
+        finally:
+            kept.unpersist()
+
+    alerts = D.alerts_from(keyed_cooldown(candidates, p, seeds), p)
+    w = alerts.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def insert_alerts(spark: SparkSession, new: DataFrame, path: str) -> None:
+    """Append the alerts whose id is not stored yet (K6); reads the ids of the
+    dates that ``new`` spans."""
+    day = F.to_date("window_start")
+    ends = new.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    if ends["lo"] is None:
+        return
+    if FS.exists(spark, path):
+        there = read_alerts(spark, path).filter(F.col("window_date").between(ends["lo"], ends["hi"]))
+        new = new.join(there.select("alert_id"), "alert_id", "left_anti")
+    write_alerts(new, path)
+
+
 def version_stream(spark: SparkSession, kpi_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The versions of the KPI table as a stream (merged files are hidden)."""
     r = spark.readStream.format("parquet").schema(VERSION_SCHEMA).option("basePath", kpi_path)

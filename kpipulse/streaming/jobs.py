@@ -77,13 +77,16 @@ def kafka_source(spark: SparkSession, brokers: str, topic: str, starting_offsets
     return lineage_projection(raw)
 
 
-def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Envelope rows landed as parquet files (the same six columns a topic
-    gives after the lineage projection)."""
-    r = spark.readStream.schema(ENVELOPE_SCHEMA)
+RAW_SCHEMA = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+
+
+def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, raw: bool = False) -> DataFrame:
+    """Envelope rows landed as parquet files; with ``raw`` the rows a broker
+    gives, which go through the same lineage projection as a topic."""
+    r = spark.readStream.schema(RAW_SCHEMA if raw else ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    return lineage_projection(r.parquet(path)) if raw else r.parquet(path)
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None) -> DataFrame:

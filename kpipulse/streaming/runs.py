@@ -33,6 +33,10 @@ class StreamPaths:
     def alerts(self) -> str:
         return f"{self.root}/alerts"
 
+    @property
+    def candidates(self) -> str:
+        return f"{self.root}/candidates"
+
     def ckpt(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
@@ -42,8 +46,19 @@ def new_paths(spark: SparkSession, name: str = "stream") -> StreamPaths:
     return StreamPaths(root, f"{root}/topic", f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/kpi")
 
 
-def land_topic(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> None:
+def land_topic(spark: SparkSession, sf_dir: str, path: str, files: int | None = None, raw: bool = False) -> None:
+    """The events as topic rows: the six-column envelope, or with ``raw`` the
+    columns a broker gives (binary key and value)."""
     df = contract_events(spark, sf_dir)
+    if raw:
+        df = df.selectExpr(
+            "CAST(kafka_key AS BINARY) AS key",
+            "CAST(raw_json AS BINARY) AS value",
+            "kafka_topic AS topic",
+            "kafka_partition AS partition",
+            "kafka_offset AS offset",
+            "kafka_timestamp AS timestamp",
+        )
     if files:
         df = df.repartition(files)
     df.write.mode("append").parquet(path)
@@ -78,18 +93,22 @@ def run_stream_pipeline(
     land: bool = True,
     by_hour: bool = False,
     detector=None,
+    raw: bool = False,
+    compact_every: int | None = 40,
 ) -> StreamPaths:
     """Run the streaming stages over the landed topic (availableNow).
 
     ``max_files_per_trigger`` rate-limits every stage's file source (ST8), so
     a backlog is worked off in many micro-batches. ``by_hour=False`` keeps the
-    hour as a column, which suits backfills of sparse data."""
+    hour as a column, which suits backfills of sparse data. ``raw``: the topic
+    holds broker rows with binary key and value. Stage ``detect`` is the
+    one-query detector, ``detect_keyed`` candidates and a keyed cooldown."""
     configure(spark)
     paths = paths or new_paths(spark)
     if land:
-        land_topic(spark, sf_dir, paths.topic)
+        land_topic(spark, sf_dir, paths.topic, raw=raw)
     if "bronze" in stages:
-        env = J.envelope_file_source(spark, paths.topic, max_files_per_trigger)
+        env = J.envelope_file_source(spark, paths.topic, max_files_per_trigger, raw)
         _finish(J.bronze_query(env, paths.bronze, paths.ckpt("bronze"), by_hour=by_hour))
     if "silver" in stages:
         bronze = J.parquet_stream(spark, paths.bronze, J.BRONZE_READ_SCHEMA, max_files_per_trigger)
@@ -107,11 +126,16 @@ def run_stream_pipeline(
         )
     if "gold" in stages:
         silver = J.parquet_stream(spark, paths.silver, J.SILVER_READ_SCHEMA, max_files_per_trigger)
-        _finish(J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark))
+        _finish(J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark, compact_every=compact_every))
     if "detect" in stages:
         from .detector import detector_query
 
         _finish(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector, max_files_per_trigger=max_files_per_trigger))
+    if "detect_keyed" in stages:
+        from .detector import alerts_query, candidates_query
+
+        _finish(candidates_query(spark, paths.kpi, paths.candidates, paths.ckpt("candidates"), detector, max_files_per_trigger=max_files_per_trigger))
+        _finish(alerts_query(spark, paths.candidates, paths.alerts, paths.ckpt("alerts"), detector))
     return paths
 
 
@@ -155,9 +179,11 @@ def start_pipeline(
         J.gold_query(silver, paths.kpi, paths.ckpt("gold"), width=width, watermark=watermark, trigger=trigger)
     )
     if detector is not None:
-        from .detector import detector_query
+        from .detector import alerts_query, candidates_query
 
-        queries.append(detector_query(spark, paths.kpi, paths.alerts, paths.ckpt("detector"), detector, trigger=trigger, max_files_per_trigger=max_files_per_trigger))
+        how = {"trigger": trigger, "max_files_per_trigger": max_files_per_trigger}
+        queries.append(candidates_query(spark, paths.kpi, paths.candidates, paths.ckpt("candidates"), detector, **how))
+        queries.append(alerts_query(spark, paths.candidates, paths.alerts, paths.ckpt("alerts"), detector, **how))
     return queries
 
 
