@@ -1,28 +1,35 @@
 """Personal data: fixed patterns, then bootstrapped contextual extraction.
 
 ``base_spans`` finds e-mail addresses, IPv4 addresses, payment-card numbers
-and phone numbers by pattern and check. ``extract`` uses them as seeds: each
-identifier-shaped token of the corpus (a run without white space that holds a
-digit or ``@``) stands between a left and a right word, which are its lexical
-patterns. Spark scores the bipartite graph of patterns and tokens in rounds: a
-pattern is worth the share of its distinct tokens that are believed to be of a
-kind, a token is believed by the noisy-or of its confident patterns. Tokens
-believed at the end, at places that a confident pattern marks, are added.
+and phone numbers by pattern and check. ``extract`` uses them, and long hex
+keys (kind ``secret``), as seed entities. A candidate is a run of
+identifier-shaped tokens (each holds a digit or ``@``) joined by single spaces,
+and each token of such a run. What surrounds a candidate are its lexical
+patterns: the word to its left, the two words to its left, the word to its
+right (punctuation that stands alone is a word), and its own shape (digits as
+9, letters as a). Spark scores the bipartite graph of patterns and candidates
+in rounds: a context is worth the share of its distinct candidates that are
+believed to be of a kind; a shape the share of that kind among its believed
+ones, since a candidate that fails a check is no evidence against its shape. A
+candidate is believed by the noisy-or of its confident patterns. Candidates
+believed at the end, at places that a confident pattern marks, are added: whole
+ones, none that overlaps a base span, a run before its tokens.
 
 Built-in DataFrame functions only. The texts are read once; what follows works
-on a stored table of spans and candidate tokens.
+on a stored table of spans and candidates.
 
 Defined results for odd input: null or empty text has no spans; a null
 ``doc_id`` is kept as null; rows that repeat a ``doc_id`` are separate
 documents; an empty table gives no rows; other columns are ignored. Matching
-is linear in the text length (possessive quantifiers, anchored starts).
+is linear in the text length (possessive quantifiers, anchored starts), and
+what follows in the number of candidates but for sorting.
 """
 
 from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import stored
@@ -39,7 +46,12 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 _OCTET = r"0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+FOUND_KINDS = (*KINDS, "secret")
+_ID = r"[^\s0-9@]*+[0-9@]\S*+"
+RUN = rf"(?<!\S){_ID}(?: {_ID})*+"
+HEX_KEY = r"^(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"
+MIN_DIGITS = 4  # of a candidate found by its context
+SHAPE_DIGITS = 6  # of a candidate whose shape says something
 
 
 def luhn(digits: Column) -> Column:
@@ -148,57 +160,106 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _word(gap: Column, last: bool) -> Column:
-    """The word of a gap that is next to the match, lower-case, without
-    punctuation at its ends; empty when there is none in reach."""
-    near = F.right(gap, F.lit(80)) if last else F.left(gap, F.lit(80))
-    raw = F.regexp_extract(near, r"(\S++)\s*+$" if last else r"^\s*+(\S++)", 1)
-    return F.regexp_replace(F.lower(raw), r"^[\p{Punct}]+|[\p{Punct}]+$", "")
+def _word(near: Column, pattern: str) -> Column:
+    """The word that ``pattern`` takes from a lower-case gap, without the
+    punctuation at its ends unless it is nothing else; empty when there is
+    none in reach."""
+    raw = F.regexp_extract(near, pattern, 1)
+    bare = F.regexp_replace(raw, r"^[\p{Punct}]+|[\p{Punct}]+$", "")
+    return F.when(bare == "", raw).otherwise(bare)
 
 
-def candidates(text: Column, spans: Column) -> Column:
-    return let(spans, lambda known: _candidates(text, known))
-
-
-def _candidates(text: Column, spans: Column) -> Column:
-    """Identifier-shaped tokens: array of struct ``start, end, token, left,
-    right, seed`` (seed: rank of the first base span that the token touches,
-    else -1)."""
+def runs(text: Column) -> Column:
+    """Runs of identifier-shaped tokens: array of struct ``start, hit, left,
+    before, right`` (before: the word to the left of ``left``)."""
 
     def one(m: Column) -> Column:
-        touch = F.filter(spans, lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
-        core = F.regexp_replace(m["hit"], r"^[\p{Punct}&&[^+@]]+|\p{Punct}+$", "")
-        lead = F.length(F.regexp_extract(m["hit"], r"^([\p{Punct}&&[^+@]]*+)", 1))
-        start = m["start"] + F.when(F.length(core) > 0, lead).otherwise(0)
+        ahead, behind = F.lower(F.right(m["before"], F.lit(80))), F.lower(F.left(m["after"], F.lit(80)))
         return F.struct(
-            start.alias("start"),
-            (start + F.length(core)).alias("end"),
-            core.alias("token"),
-            _word(m["before"], True).alias("left"),
-            _word(m["after"], False).alias("right"),
-            F.when(F.size(touch) > 0, F.element_at(touch, 1)["rank"]).otherwise(-1).alias("seed"),
+            m["start"].alias("start"),
+            m["hit"].alias("hit"),
+            _word(ahead, r"(\S++)\s*+$").alias("left"),
+            _word(ahead, r"(\S++)\s++\S++\s*+$").alias("before"),
+            _word(behind, r"^\s*+(\S++)").alias("right"),
         )
 
-    return F.filter(F.transform(matches(text, TOKEN), one), lambda c: F.length(c["token"]) > 0)
+    return F.transform(matches(text, RUN), one)
+
+
+def shape(token: Column) -> Column:
+    """Hex keys by their length; else digits as 9 and letters as a. Null for
+    a token of few digits."""
+    digits = F.length(F.regexp_replace(token, "[^0-9]", ""))
+    form = F.regexp_replace(F.regexp_replace(token, "[0-9]", "9"), r"\p{L}+", "a")
+    return F.when(token.rlike(HEX_KEY), F.concat(F.lit("hex "), F.length(token))).when(digits >= SHAPE_DIGITS, form)
+
+
+def candidates(table: DataFrame) -> DataFrame:
+    """``row, run, whole, start, end, token, seed, left, two, right``: the runs
+    of a stored table and their tokens, cut to their core. ``seed``: place in
+    ``FOUND_KINDS`` of the base span that is the candidate, or of a key, else
+    -1. Candidates that overlap a base span otherwise are left out."""
+    each = table.select("row", F.explode("runs").alias("r")).select("row", F.col("r.start").alias("run"), "r.hit", "r.left", "r.before", "r.right")
+    two = F.when((F.col("left") != "") & (F.col("before") != ""), F.concat_ws(" ", "before", "left"))
+    each = each.withColumn("two", two).drop("before")
+    whole = each.select("row", "run", F.lit(True).alias("whole"), F.col("run").alias("start"), "hit", "left", "two", "right")
+    several = each.filter(F.col("hit").contains(" ")).withColumn("parts", matches(F.col("hit"), r"\S++"))
+    parts = several.select("row", "run", "left", "two", "right", F.size("parts").alias("n"), F.posexplode("parts").alias("at", "m"))
+    first, last = F.col("at") == 0, F.col("at") == F.col("n") - 1
+    single = parts.select(
+        "row",
+        "run",
+        F.lit(False).alias("whole"),
+        (F.col("run") + F.col("m.start")).alias("start"),
+        F.col("m.hit").alias("hit"),
+        *[F.when(first, F.col(c)).alias(c) for c in ("left", "two")],
+        F.when(last, F.col("right")).alias("right"),
+    )
+    every = whole.unionByName(single)
+    lead = F.regexp_extract("hit", r"^([\p{Punct}&&[^+@(]]*+)", 1)
+    core = F.regexp_replace(F.expr("substring(hit, length(lead) + 1)"), r"\p{Punct}+$", "")
+    opened = F.col("token").startswith("(") & ~F.col("token").contains(")")
+    cut = every.withColumn("lead", lead).withColumn("token", core).withColumn("start", F.col("start") + F.length("lead"))
+    cut = cut.withColumn("start", F.when(opened, F.col("start") + 1).otherwise(F.col("start")))
+    cut = cut.withColumn("token", F.when(opened, F.expr("substring(token, 2)")).otherwise(F.col("token"))).filter("token != ''")
+    cut = cut.drop("hit", "lead").withColumn("end", F.col("start") + F.length("token"))
+
+    # base spans among them: the one that is the candidate, and overlaps
+    spans = table.select("row", F.explode("base").alias("s")).select("row", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.rank").alias("rank"))
+    known = spans.groupBy("row", "start", "end").agg(F.min("rank").alias("rank"))
+    both = cut.join(known, ["row", "start", "end"], "left").withColumn("own", F.lit(False))
+    marks = spans.groupBy("row", "start").agg(F.max("end").alias("end")).withColumn("own", F.lit(True))
+    both = both.unionByName(marks, allowMissingColumns=True)
+    up = Window.partitionBy("row").orderBy("start", F.desc("own")).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("row").orderBy(F.desc("start"), "own").rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumns(
+        {"reach": F.max(F.when(F.col("own"), F.col("end"))).over(up), "next": F.min(F.when(F.col("own"), F.col("start"))).over(down)}
+    )
+    clash = (F.coalesce("reach", F.lit(-1)) > F.col("start")) | (F.coalesce("next", F.col("end")) < F.col("end"))
+    free = near.filter(~F.col("own") & (F.col("rank").isNotNull() | ~clash))
+    seed = F.coalesce("rank", F.when(F.col("token").rlike(HEX_KEY), len(KINDS)), F.lit(-1))
+    return free.select("row", "run", "whole", "start", "end", "token", seed.alias("seed"), "left", "two", "right")
 
 
-def score(edges: DataFrame, rounds: int, min_support: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
-    """Score the graph. ``edges``: ``pattern, token, seed, n``. Returns the
+def score(edges: DataFrame, rounds: int, min_support: int, min_shape_support: int, min_confidence: float) -> tuple[DataFrame, DataFrame]:
+    """Score the graph. ``edges``: ``pattern, token, seed``. Returns the
     confident patterns ``pattern, kind, confidence`` and believed tokens
     ``token, kind, belief``."""
     links = edges.groupBy("pattern", "token").agg(F.max("seed").alias("seed"))
     seeds = links.filter("seed >= 0").groupBy("token").agg(F.max("seed").alias("kind")).withColumn("belief", F.lit(1.0))
     believed, patterns = seeds, None
+    is_shape = F.col("pattern").startswith("S ")
     for _ in range(rounds):
         known = links.join(believed, "token", "left")
-        totals = known.groupBy("pattern").agg(F.countDistinct("token").alias("tokens"))
+        totals = known.groupBy("pattern").agg(F.count("*").alias("tokens"), F.sum("belief").alias("known"))
         worth = known.filter("kind is not null").groupBy("pattern", "kind").agg(
             F.sum("belief").alias("mass"), F.count("*").alias("support")
         )
+        enough = F.col("support") >= F.when(is_shape, min_shape_support).otherwise(min_support)
         patterns = stored(
             worth.join(totals, "pattern")
-            .withColumn("confidence", F.col("mass") / F.col("tokens"))
-            .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
+            .withColumn("confidence", F.col("mass") / F.when(is_shape, F.col("known")).otherwise(F.col("tokens")))
+            .filter(enough & (F.col("confidence") >= min_confidence))
             .select("pattern", "kind", "confidence"),
             "pii-patterns",
         )
@@ -216,6 +277,7 @@ def extract(
     docs: DataFrame,
     rounds: int = 2,
     min_support: int = 5,
+    min_shape_support: int = 3,
     min_confidence: float = 0.8,
     min_belief: float = 0.8,
 ) -> DataFrame:
@@ -224,34 +286,34 @@ def extract(
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", text.alias("text")).withColumn("base", base_spans(F.col("text")))
     table = stored(
-        found.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            "base",
-            candidates(F.col("text"), F.col("base")).alias("tokens"),
-        ),
+        found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", runs(F.col("text")).alias("runs")),
         "pii-spans",
     )
-    each = table.select("row", F.explode("tokens").alias("c")).select("row", "c.*")
-    sides = F.array(
-        F.when(F.col("left") != "", F.concat(F.lit("L "), F.col("left"))),
-        F.when(F.col("right") != "", F.concat(F.lit("R "), F.col("right"))),
+    each = stored(candidates(table), "pii-candidates")
+    mark = lambda name, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(name), c))
+    contexts = F.array(
+        mark("L ", F.col("left")), mark("LL ", F.col("two")), mark("R ", F.col("right")), mark("S ", shape(F.col("token")))
     )
-    marked = each.withColumn("pattern", F.explode(F.array_compact(sides)))
-    edges = stored(marked.groupBy("pattern", "token", "seed").agg(F.count("*").alias("n")), "pii-edges")
-    patterns, believed = score(edges, rounds, min_support, min_confidence)
+    marked = each.withColumn("pattern", F.explode(F.array_compact(contexts)))
+    edges = stored(marked.groupBy("pattern", "token").agg(F.max("seed").alias("seed")), "pii-edges")
+    patterns, believed = score(edges, rounds, min_support, min_shape_support, min_confidence)
 
     # the unseen ones: at a place that a confident pattern marks, of the kind
-    # that the token is believed to be
+    # that the candidate is believed to be
+    digits = F.length(F.regexp_replace("token", "[^0-9]", ""))
+    likely = F.col("pattern").startswith("S ") | (digits >= MIN_DIGITS)
     fresh = (
-        marked.filter("seed < 0")
+        marked.filter((F.col("seed") < 0) | (F.col("seed") >= len(KINDS)))
+        .filter(likely)
         .join(patterns.select("pattern", "kind"), "pattern")
         .join(believed.filter(F.col("belief") >= min_belief), ["token", "kind"])
-        .select("row", "start", "end", "kind")
+        .select("row", "run", "whole", "start", "end", "kind")
         .distinct()
     )
-    names = F.array(*[F.lit(k) for k in KINDS])
-    added = fresh.groupBy("row").agg(
+    in_run = Window.partitionBy("row", "run")
+    kept = fresh.withColumn("all", F.bool_or("whole").over(in_run)).filter(F.col("whole") | ~F.col("all"))
+    names = F.array(*[F.lit(k) for k in FOUND_KINDS])
+    added = kept.groupBy("row").agg(
         F.collect_list(span(F.col("start"), F.col("kind"), F.col("end"), F.element_at(names, F.col("kind") + 1))).alias("added")
     )
     every = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))

@@ -31,6 +31,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
         pii.span_text(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+        F.size("spans").cast("long").alias("n_found"),
     )
 
 

@@ -6,15 +6,19 @@ import hashlib
 import itertools
 import random
 import re
+import string
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_helpers import BODY, ODD, sf001, small, words_of
+from pyspark.sql import functions as F
 
 from kpipulse.llm import decontaminate, jaccard, lines, packing, pii, quality, substrings, tokens, toxicity
 from kpipulse.llm import words as W
@@ -160,6 +164,113 @@ def test_pii_empty(none):
     assert pii.extract(none).count() == 0
 
 
+_S, _ID = r"[^ \t\n\x0b\f\r]", r"[^ \t\n\x0b\f\r0-9@]*[0-9@][^ \t\n\x0b\f\r]*"
+
+
+def _bare(word):
+    return word.strip(string.punctuation) or word
+
+
+def _candidates(text):
+    """Candidates of a text: run, whole, start, end, token, contexts."""
+    out = []
+    for m in re.finditer(rf"(?<!{_S}){_ID}(?: {_ID})*", text):
+        ahead = re.findall(rf"{_S}+", text[max(0, m.start() - 80) : m.start()].lower())
+        behind = re.findall(rf"{_S}+", text[m.end() : m.end() + 80].lower())
+        left = _bare(ahead[-1]) if ahead else ""
+        two = _bare(ahead[-2]) + " " + left if len(ahead) > 1 else ""
+        right = _bare(behind[0]) if behind else ""
+        tokens = list(re.finditer(rf"{_S}+", m.group()))
+        pieces = [(True, m.start(), m.group(), left, two, right)]
+        if len(tokens) > 1:
+            for k, t in enumerate(tokens):
+                first, last = k == 0, k == len(tokens) - 1
+                pieces.append((False, m.start() + t.start(), t.group(), left * first, two * first, right * last))
+        for whole, start, hit, *words in pieces:
+            lead = re.match(r"[!-'*,-/:-?\[-`{-~]*", hit).end()
+            core = hit[lead:].rstrip(string.punctuation)
+            start += lead
+            if core.startswith("(") and ")" not in core:
+                core, start = core[1:], start + 1
+            if core:
+                out.append((m.start(), whole, start, start + len(core), core, words))
+    return out
+
+
+def _shape(token):
+    if re.match(r"^(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9a-f]{32,}|[0-9A-F]{32,})$", token):
+        return f"hex {len(token)}"
+    digits = len(re.sub("[^0-9]", "", token))
+    return regex.sub(r"\p{L}+", "a", re.sub("[0-9]", "9", token)) if digits >= 6 else ""
+
+
+def _discover(texts, rounds=2, min_confidence=0.8, min_belief=0.8):
+    """Added spans of each text (start, rank, end), by the definition."""
+    rows, links = [], defaultdict(lambda: -1)
+    for d, text in enumerate(texts):
+        base = _base(text)
+        for run, whole, start, end, token, words in _candidates(text):
+            own = [rank for s, rank, e, _ in base if (s, e) == (start, end)]
+            if not own and any(s < end and e > start for s, _, e, _ in base):
+                continue
+            key = 4 if _shape(token).startswith("hex") else -1
+            seed = min(own) if own else key
+            marks = [f"{n} {c}" for n, c in zip(("L", "LL", "R", "S"), (*words, _shape(token))) if c]
+            rows.append((d, run, whole, start, end, token, seed, marks))
+            for p in marks:
+                links[p, token] = max(links[p, token], seed)
+    seeds = defaultdict(lambda: -1)
+    for (_, token), seed in links.items():
+        seeds[token] = max(seeds[token], seed)
+    seeds = {t: (k, 1.0) for t, k in seeds.items() if k >= 0}
+    believed, patterns = dict(seeds), {}
+    of = defaultdict(list)
+    for p, token in links:
+        of[p].append(token)
+    for _ in range(rounds):
+        patterns = {}
+        for p, tokens in of.items():
+            sure = [believed[t] for t in tokens if t in believed]
+            for kind in {k for k, _ in sure}:
+                mass = sum(b for k, b in sure if k == kind)
+                support = sum(k == kind for k, _ in sure)
+                over = sum(b for _, b in sure) if p.startswith("S ") else len(tokens)
+                if support >= (3 if p.startswith("S ") else 5) and mass / over >= min_confidence:
+                    patterns[p, kind] = mass / over
+        votes = defaultdict(lambda: 1.0)
+        for p, token in links:
+            for kind in range(5):
+                if (p, kind) in patterns:
+                    votes[token, kind] *= max(1e-9, 1 - patterns[p, kind])
+        grown = {}
+        for (token, kind), doubt in votes.items():
+            if token not in seeds and (token not in grown or (1 - doubt, -kind) > (grown[token][1], -grown[token][0])):
+                grown[token] = (kind, 1 - doubt)
+        believed = seeds | grown
+    added = [set() for _ in texts]
+    runs = [set() for _ in texts]
+    for d, run, whole, start, end, token, seed, marks in rows:
+        kind, belief = believed.get(token, (None, 0.0))
+        digits = len(re.sub("[^0-9]", "", token))
+        told = any((p, kind) in patterns and (p.startswith("S ") or digits >= 4) for p in marks)
+        if seed in (-1, 4) and belief >= min_belief and told:
+            added[d].add((run, whole, start, kind, end))
+            runs[d] |= {run} if whole else set()
+    return [sorted((s, k, e) for run, whole, s, k, e in found if whole or run not in r) for found, r in zip(added, runs)]
+
+
+def _added(spark, rows):
+    out = {r["doc_id"]: r for r in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = [sorted(tuple(x)[:3] for x in out[i]["spans"] if x not in out[i]["base"]) for i, _ in rows]
+    assert got == _discover([t or "" for _, t in rows])
+    return {i: [t[s:e] for s, _, e in found] for (i, t), found in zip(rows, got) if found}
+
+
+def test_pii_finds_the_unseen_in_the_small_table(spark):
+    rows = [(i, t) for i, t in small(spark)]
+    assert _added(spark, rows)
+
+
 def test_pii_learns_contexts(spark):
     """Cards follow the word ``paycard``; a number in that place that fails
     the check is found by its context, one in a common place is not."""
@@ -167,10 +278,37 @@ def test_pii_learns_contexts(spark):
     rows = [(i, f"please charge paycard {c} today or wait") for i, c in enumerate(cards)]
     rows += [(100 + i, f"the room {200 + i} is free") for i in range(30)]
     rows += [(200, "please charge paycard 4111-1111-1111-1112x today or wait"), (201, "the room 4111-1111-1111-1113x is free")]
-    out = {r["doc_id"]: r for r in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    added = {i: [tuple(s) for s in r["spans"] if s not in r["base"]] for i, r in out.items() if len(r["spans"]) > len(r["base"])}
-    at = len("please charge paycard ")
-    assert added == {200: [(at, 2, at + len("4111-1111-1111-1112x"), "card")]}
+    assert _added(spark, rows) == {200: ["4111-1111-1111-1112x"]}
+
+
+def test_pii_finds_whole_identifiers(spark):
+    """Runs of several tokens, secrets in any case behind punctuation, numbers
+    that fail a check, identifiers side by side; versions and years stay."""
+    rows = [(i, f"text {chr(97 + i)}: please call +1 ({700 + i}) 555-{3800 + 7 * i} now or later") for i in range(8)]
+    rows += [(20, "then please call (743) 555-3824, or not"), (21, "they call in 2024 for version 4.0. or 3.11.2")]
+    keys = [hashlib.sha1(bytes([i])).hexdigest() for i in range(7)]
+    rows += [(30 + i, f'{"abcdefg"[i]} we set token = "{k}" there') for i, k in enumerate(keys)]
+    rows += [(40, 'TOKEN = "AB12-98CD-77"!! and commit 77aa'), (41, "hash " + keys[0].upper() + "###")]
+    good = ["4111111111111111", "5500005555555559", "6011000000000004", "4012888888881881", "5105105105105100"]
+    rows += [(50 + i, f"{'vwxyz'[i]}o {c} {'mnopq'[i]}u") for i, c in enumerate(good)]
+    rows += [(60, "one 9807915762804490 2353820953013749 two"), (61, "2353820953013749 was.91@mail6.example.com"), (62, "id 980791576280449 x")]
+    got = _added(spark, rows)
+    assert got[20] == ["(743) 555-3824"] and got[40] == ["AB12-98CD-77"] and got[41] == [keys[0].upper()]
+    assert all(got[30 + i] == [k] for i, k in enumerate(keys))
+    assert got[60] == ["9807915762804490", "2353820953013749"] and got[61] == ["2353820953013749"]
+    assert not {21, 62} & set(got)
+
+
+def test_pii_many_identifiers_in_one_text(spark):
+    """The work for one text follows its number of identifiers."""
+    one = lambda n: [(1, "".join(f"call +1 ({i % 900 + 100}) 555-{i % 9000 + 1000} or 98079157628{i % 90000 + 10000} so " for i in range(n)))]
+    took = {}
+    for n in (200, 2_000, 16_000):
+        t0 = time.time()
+        out = pii.extract(spark.createDataFrame(one(n), "doc_id long, text string")).select(F.size("base")).first()[0]
+        took[n] = time.time() - t0
+        assert out >= n
+    assert took[16_000] < 8 * took[2_000] + 5
 
 
 # --- token counts ----------------------------------------------------------
