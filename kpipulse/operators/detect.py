@@ -16,10 +16,17 @@ Semantics of one poll ``u`` (the newest window the poll sees):
 
 ``score_all`` scores every closed window (each distinct window ``u`` acts as
 one poll). To keep a long history of few metrics from landing in one task, rows
-are bucketed by ``floor(epoch / lookback)`` and copied into their own and the
-next bucket; a frame no longer than the lookback then lies inside one
-``(metric, bucket)`` partition, and each row is kept only in its own bucket.
-The folds are JVM higher-order functions (``aggregate``), no Python.
+are bucketed by ``floor(epoch / lookback)`` and points copied into their own
+and the next bucket; a frame no longer than the lookback then lies inside one
+``(metric, bucket)`` partition.
+
+The baseline is an affine prefix scan, not a fold over each row's history. Any
+two solutions of the recurrence differ by a power of ``1 - a``, so with one
+solution ``g`` per partition (a running sum of points scaled by their place)
+the baseline that starts at point ``s`` is ``g_i + (1-a)^(i-s) (x_s - g_s)``:
+each poll's new start is exact, and a row costs ``rolling + 1`` points whatever
+the lookback. ``exact_zero`` divides by any sigma that is not zero to the bit,
+so it keeps the recurrence itself (``fold_scores``). No Python on either way.
 
 Cooldown (``apply_cooldown``): a warning within ``cooldown`` of the last
 emitted alert of the same metric is dropped; criticals always pass; every
@@ -35,6 +42,8 @@ small rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,25 +74,25 @@ def loaded(kpi: DataFrame, p: DetectorParams) -> DataFrame:
 
 
 def poll_frame(kpi_loaded: DataFrame, p: DetectorParams) -> DataFrame:
-    """One row per distinct window ``u``: the scored window ``t`` before it,
-    the wide-row count of the poll and the guard denominators at ``t``."""
+    """One row per distinct window ``u`` whose poll sees enough wide rows: the
+    scored window ``t`` before it and the guard denominators at ``t``."""
     lb = p.lookback_s * 1_000_000
     wins = kpi_loaded.groupBy("window_start").agg(
         F.max(F.when(F.col("metric") == "events_click", F.col("value"))).alias("clicks"),
         F.max(F.when(F.col("metric") == "events_add_to_cart", F.col("value"))).alias("carts"),
     )
     wins = _replicate(wins.withColumn("ep", _epoch()), lb)
-    w_all = Window.partitionBy("pb").orderBy("ep").rangeBetween(-lb, 0)
-    w_prev = Window.partitionBy("pb").orderBy("ep").rangeBetween(-lb, -1)
+    before = Window.partitionBy("pb").orderBy("ep")
     out = wins.select(
         "ep",
         "own",
-        F.count(F.lit(1)).over(w_all).alias("n_wide"),
-        F.max("ep").over(w_prev).alias("t_ep"),
-        F.last("clicks").over(w_prev).alias("clicks_t"),
-        F.last("carts").over(w_prev).alias("carts_t"),
+        F.lag("ep").over(before).alias("t_ep"),
+        F.lag("clicks").over(before).alias("clicks_t"),
+        F.lag("carts").over(before).alias("carts_t"),
+        F.lag("ep", p.rolling + 1).over(before).alias("enough"),
     )
-    return out.filter(F.col("own") & F.col("t_ep").isNotNull()).drop("own")
+    oldest = F.col("ep") - lb
+    return out.filter(F.col("own") & (F.col("t_ep") >= oldest) & (F.col("enough") >= oldest)).drop("own", "enough")
 
 
 def _guard(p: DetectorParams) -> Column:
@@ -147,10 +156,39 @@ def fold_scores(points: Column, p: DetectorParams) -> Column:
 _SCORE_FIELDS = ("value", "baseline", "residual", "mu", "sigma", "z")
 
 
-def _finish_scores(df: DataFrame, p: DetectorParams) -> DataFrame:
-    """Replace ``pts`` by the fold's fields (one fold per row)."""
-    df = df.withColumn("_s", fold_scores(F.col("pts"), p)).drop("pts")
-    return df.select("*", *[F.col(f"_s.{c}").alias(c) for c in _SCORE_FIELDS]).drop("_s")
+def _z_scores(residuals: Column, baseline: Column, p: DetectorParams) -> list[Column]:
+    """``mu, sigma, z`` from the last ``rolling + 1`` residuals."""
+    hist = F.slice(residuals, 1, p.rolling)
+    w = F.lit(float(p.rolling))
+    mu = F.aggregate(hist, F.lit(0.0), lambda s, v: s + v) / w
+    sigma = F.sqrt(F.aggregate(hist, F.lit(0.0), lambda s, v: s + (v - mu) * (v - mu)) / w)
+    zero = (F.col("sigma") <= F.lit(p.sigma_eps) * F.greatest(F.lit(1.0), F.abs(baseline))) | F.isnan("sigma")
+    z = F.when(zero, F.lit(None).cast("double")).otherwise((F.element_at(residuals, -1) - F.col("mu")) / F.col("sigma"))
+    return [mu, sigma, z]
+
+
+SCALE = 340.0  # exp(-SCALE) vanishes beside any double that it is added to
+
+
+def _scan(points: DataFrame, p: DetectorParams) -> DataFrame:
+    """Points with their place ``n`` in ``(metric, pb, kind)`` and ``g``, a
+    solution of the recurrence over the partition.
+
+    Within a block of places, ``g`` is a running sum of points scaled by
+    ``(1-a)^-j``; blocks are as long as the scale stays in range. What the
+    block before adds to the next one is its end; what lies before that is
+    scaled by less than ``exp(-SCALE)``."""
+    keep = 1.0 - p.alpha
+    if keep <= 0.0:
+        return points.withColumn("n", F.row_number().over(Window.partitionBy("metric", "pb", "kind").orderBy("ep"))).withColumn("g", F.col("x"))
+    size = (1 << 31) - 1 if keep >= 1.0 else max(1, int(SCALE / -math.log(keep)))
+    parts = Window.partitionBy("metric", "pb", "kind").orderBy("ep")
+    power = lambda e: F.pow(F.lit(keep), e)
+    placed = points.withColumn("n", F.row_number().over(parts)).withColumn("j", (F.col("n") - 1) % size).withColumn("block", F.floor((F.col("n") - 1) / size))
+    within = Window.partitionBy("metric", "pb", "kind", "block").orderBy("ep").rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumn("l", power(F.col("j")) * F.sum(F.lit(p.alpha) * F.col("x") * power(-F.col("j"))).over(within))
+    ends = F.last(F.when(F.col("j") == size - 1, F.col("l")), ignorenulls=True).over(parts.rowsBetween(Window.unboundedPreceding, -1))
+    return local.withColumn("g", F.col("l") + power(F.col("j") + 1) * F.coalesce(ends, F.lit(0.0))).drop("j", "block", "l")
 
 
 def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams(), polls: DataFrame | None = None) -> DataFrame:
@@ -161,47 +199,83 @@ def score_all(kpi: DataFrame, p: DetectorParams = DetectorParams(), polls: DataF
     the history, presence and rate gates; ``z`` is null when sigma is zero.
 
     ``polls`` (a frame with ``poll_window``) restricts scoring to those polls:
-    the other markers are dropped before the window and the fold.
+    the other markers are dropped before the windows.
     """
     lb = p.lookback_s * 1_000_000
     src = loaded(kpi, p)
-    frame_polls = poll_frame(src, p).filter(F.col("n_wide") >= p.rolling + 2)
+    frame_polls = poll_frame(src, p)
     if polls is not None:
         wanted = polls.select(F.unix_micros(F.col("poll_window").cast("timestamp")).alias("ep")).distinct()
         frame_polls = frame_polls.join(wanted, "ep", "left_semi")
-    markers = frame_polls.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in p.metrics]))).withColumn("kind", F.lit(1))
-    markers = markers.filter(_guard(p))
-    pts = (
-        src.filter(F.col("metric").isin(*p.metrics))
-        .select("metric", _epoch().alias("ep"), F.col("value").alias("x"))
-        .withColumn("kind", F.lit(0))
-    )
-    rows = _replicate(pts.unionByName(markers, allowMissingColumns=True), lb)
-    frame = Window.partitionBy("metric", "pb").orderBy("ep").rangeBetween(-lb, -1)
-    rows = rows.withColumn("pts", F.collect_list(F.when(F.col("kind") == 0, _point())).over(frame))
-    scored = rows.filter((F.col("kind") == 1) & F.col("own")).select(
-        "metric", F.col("ep").alias("u_ep"), "t_ep", "n_wide", "clicks_t", "carts_t", F.array_sort("pts").alias("pts")
-    )
-    scored = scored.filter(
-        (F.size("pts") >= p.rolling + 2) & (F.element_at(F.col("pts"), -1)["ep"] == F.col("t_ep"))
-    ).withColumn("n_points", F.size("pts").cast("long"))
-    out = _finish_scores(scored, p)
-    return out.select(
+    markers = frame_polls.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in p.metrics]))).filter(_guard(p))
+    pts = src.filter(F.col("metric").isin(*p.metrics)).select("metric", _epoch().alias("ep"), F.col("value").alias("x"))
+    score = _score_by_fold if p.exact_zero else _score_by_scan
+    return score(pts, markers, lb, p).select(
         "metric",
         F.timestamp_micros(F.col("t_ep")).alias("window_start"),
-        "value",
-        "baseline",
-        "residual",
-        "mu",
-        "sigma",
-        "z",
-        "n_points",
+        *_SCORE_FIELDS,
+        F.col("n_points").cast("long").alias("n_points"),
         "clicks_t",
         "carts_t",
         F.timestamp_micros(F.col("u_ep")).alias("poll_window"),
     )
 
 
+def _score_by_scan(pts: DataFrame, markers: DataFrame, lb: int, p: DetectorParams) -> DataFrame:
+    """One shuffle by ``(metric, bucket)``. A poll is a row at its history's
+    start, in the bucket of its newest window: the nearest point from there on
+    starts the baseline, and the point at ``t`` brings the last residuals."""
+    keep = 1.0 - p.alpha
+    points = _replicate(pts, lb).select("metric", "pb", "ep", "x", F.lit(1).alias("kind"))
+    starts = markers.select(
+        "metric",
+        F.floor(F.col("ep") / lb).cast("long").alias("pb"),
+        (F.col("ep") - lb).alias("ep"),
+        F.lit(0).alias("kind"),
+        F.col("ep").alias("u_ep"),
+        "t_ep",
+        "clicks_t",
+        "carts_t",
+    )
+    rows = _scan(points.unionByName(starts, allowMissingColumns=True), p)
+    point = F.struct("n", "x", "g")
+    is_point = F.col("kind") == 1
+    last_ones = Window.partitionBy("metric", "pb", "kind").orderBy("ep").rowsBetween(-p.rolling, 0)
+    rows = rows.withColumn("last", F.when(is_point, F.collect_list(point).over(last_ones)))
+    from_here = Window.partitionBy("metric", "pb").orderBy(F.desc("ep"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("s", F.last(F.when(is_point, point), ignorenulls=True).over(from_here))
+    at_t = Window.partitionBy("metric", "pb", "meet").orderBy("kind").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("meet", F.when(is_point, F.col("ep")).otherwise(F.col("t_ep")))
+    rows = rows.withColumn("hist", F.last("last", ignorenulls=True).over(at_t))
+    scored = rows.filter(~is_point & F.col("hist").isNotNull() & F.col("s").isNotNull()).select(
+        "metric", "u_ep", "t_ep", "clicks_t", "carts_t", "s", "hist", (F.element_at("hist", -1)["n"] - F.col("s.n") + 1).alias("n_points")
+    )
+    scored = scored.filter(F.col("n_points") >= p.rolling + 2)
+    first = F.col("s.x") - F.col("s.g")
+    baseline = lambda h: h["g"] + F.pow(F.lit(keep), h["n"] - F.col("s.n")) * first
+    out = scored.withColumn("r", F.transform("hist", lambda h: h["x"] - baseline(h)))
+    newest = F.element_at("hist", -1)
+    out = out.select("*", newest["x"].alias("value"), baseline(newest).alias("baseline"), F.element_at("r", -1).alias("residual"))
+    for name, column in zip(("mu", "sigma", "z"), _z_scores(F.col("r"), F.col("baseline"), p)):
+        out = out.withColumn(name, column)
+    return out
+
+
+def _score_by_fold(pts: DataFrame, markers: DataFrame, lb: int, p: DetectorParams) -> DataFrame:
+    """The recurrence itself, folded over each poll's history."""
+    rows = _replicate(
+        pts.withColumn("kind", F.lit(0)).unionByName(markers.withColumn("kind", F.lit(1)), allowMissingColumns=True), lb
+    )
+    frame = Window.partitionBy("metric", "pb").orderBy("ep").rangeBetween(-lb, -1)
+    rows = rows.withColumn("pts", F.collect_list(F.when(F.col("kind") == 0, _point())).over(frame))
+    scored = rows.filter((F.col("kind") == 1) & F.col("own")).select(
+        "metric", F.col("ep").alias("u_ep"), "t_ep", "clicks_t", "carts_t", F.array_sort("pts").alias("pts")
+    )
+    enough = (F.size("pts") >= p.rolling + 2) & (F.element_at(F.col("pts"), -1)["ep"] == F.col("t_ep"))
+    scored = scored.filter(enough).withColumn("n_points", F.size("pts")).withColumn("_s", fold_scores(F.col("pts"), p))
+    return scored.select("*", *[F.col(f"_s.{c}").alias(c) for c in _SCORE_FIELDS])
+
+
 def score_as_of(kpi: DataFrame, as_of, p: DetectorParams = DetectorParams()) -> DataFrame:
     """One poll at wall-clock ``as_of`` (a timestamp literal or Column).
 

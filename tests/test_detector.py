@@ -185,3 +185,46 @@ def test_cooldown_carry_across_super_buckets(kpi, monkeypatch):
     assert sorted(map(tuple, kept[["metric", "window_start"]].astype(str).values)) == sorted(
         map(tuple, want[["metric", "window_start"]].astype(str).values)
     )
+
+
+@pytest.mark.parametrize("alpha", [0.02, 0.2, 0.97, 1.0])
+def test_scan_equals_the_fold(spark, alpha):
+    """The affine scan against the recurrence folded over each history: gaps,
+    missing points, jumps of scale, histories over many scan blocks."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(int(alpha * 100))
+    rows = []
+    for m in ("revenue", "events_total", "events_click", "events_add_to_cart"):
+        for k in range(700):
+            if rng.random() < 0.85 and not 300 < k < 330:
+                scale = 1e9 if 100 < k < 110 else 1.0
+                value = 5.0 if m == "events_total" and k < 90 else rng.random() * scale
+                rows.append((dt.datetime(2024, 1, 1) + dt.timedelta(minutes=k), m, value))
+    kpi = spark.createDataFrame(rows, "window_start timestamp, metric string, value double")
+    p = DetectorParams(metrics=("revenue", "events_total"), lookback_s=180 * 60, rolling=7, alpha=alpha, ignore_recent_s=0)
+    src, lb = D.loaded(kpi, p), p.lookback_s * 1_000_000
+    markers = D.poll_frame(src, p).withColumn("metric", F.explode(F.array(*[F.lit(m) for m in p.metrics])))
+    pts = src.filter(F.col("metric").isin(*p.metrics)).select("metric", D._epoch().alias("ep"), F.col("value").alias("x"))
+    cols = ["metric", "t_ep", "u_ep", "n_points", "value", "baseline", "residual", "mu", "sigma", "z"]
+    a, b = (f(pts, markers, lb, p).select(*cols).toPandas().sort_values(cols[:2]).reset_index(drop=True) for f in (D._score_by_scan, D._score_by_fold))
+    assert len(a) == len(b) > 800 and (a[cols[:4]] == b[cols[:4]]).all().all()
+    for col in cols[4:]:
+        x, y = a[col], b[col]
+        assert (x.isna() == y.isna()).all(), col
+        # to 1e-9 of the largest value in the history (z: before division)
+        big = b["value"].abs().rolling(200, min_periods=1).max().clip(lower=1.0)
+        off = (x - y).abs() * (b["sigma"] if col == "z" else 1.0)
+        assert (off.fillna(0) <= 1e-9 * big).all(), col
+    assert a["z"].isna().sum() > 0 or alpha == 1.0
+
+
+def test_rows_carry_few_points(kpi):
+    """What a row carries does not follow the lookback: no history is
+    collected, only the last residuals."""
+    wide = replace(P_HOUR, lookback_s=20 * P_HOUR.lookback_s)
+    for p in (P_HOUR, wide):
+        plan = D.score_all(kpi, p)._jdf.queryExecution().executedPlan().toString()
+        assert "RangeFrame" not in plan and "collect_list" in plan
+        assert f"specifiedwindowframe(RowFrame, -{p.rolling}, currentrow$())" in plan
