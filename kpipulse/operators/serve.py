@@ -6,10 +6,17 @@ they reach the parquet scan as pushed filters; when the table carries a
 ``window_date`` partition column a derived date predicate prunes partitions.
 Limits are top-k reads (``orderBy().limit()`` plans as
 ``TakeOrderedAndProject``: per-task top-k, then a merge of k rows per task).
+
+Reads of the newest rows go backwards through the date partitions: the newest
+date first, then twice as many, until they hold what is asked for
+(``newest_days``); older dates' files are not opened. Rows are ordered by time
+first, so the result is that of the whole table.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -74,24 +81,49 @@ def kpi_history(kpi: DataFrame, metrics, lo, hi) -> DataFrame:
     return kpi.filter(all_of(preds)).select("window_start", "metric", "value").orderBy("window_start")
 
 
+def partition_days(df: DataFrame) -> list[str]:
+    """The ``window_date`` partitions that a stored table's files lie in, newest
+    first (from the file listing; no job)."""
+    if "window_date" not in df.columns:
+        return []
+    found = (re.search(r"/window_date=(\d{4}-\d\d-\d\d)/", f) for f in df.inputFiles())
+    return sorted({m[1] for m in found if m}, reverse=True)
+
+
+def newest_days(df: DataFrame, enough: Callable[[DataFrame], bool]) -> DataFrame:
+    """``df`` from the latest date on whose rows, with all newer ones, are
+    ``enough``: one date is tried, then two, four and so on. The whole of
+    ``df`` where it is not partitioned by date or no dates are enough."""
+    days = partition_days(df)
+    take = 1
+    while take < len(days):
+        part = df.filter(F.col("window_date") >= F.lit(days[take - 1]).cast("date"))
+        if enough(part):
+            return part
+        take *= 2
+    return df
+
+
+def _holds(rows: int) -> Callable[[DataFrame], bool]:
+    return lambda part: part.limit(rows).count() == rows
+
+
 def kpi_latest(kpi: DataFrame, metrics=DEFAULT_LATEST) -> DataFrame:
     """Latest point of each requested metric; null ``window_start``/``value``
     for a metric with no rows. One aggregate for all metrics (partial
-    ``max_by`` per task, then one row per metric), broadcast onto the request
-    list; both sides are argument-sized."""
-    metrics = [m.strip() for m in metrics if m and m.strip()]
+    ``max_by`` per task, then one row per metric) over the newest dates that
+    hold them all, broadcast onto the request list; both sides are
+    argument-sized."""
+    metrics = list(dict.fromkeys(m.strip() for m in metrics if m and m.strip()))
     if not metrics:
         raise ValueError("metrics is empty")
-    spark = kpi.sparkSession
-    wanted = spark.createDataFrame([(m,) for m in dict.fromkeys(metrics)], "metric string")
-    latest = (
-        kpi.filter(F.col("metric").isin(*metrics))
-        .groupBy("metric")
-        .agg(
-            F.max("window_start").alias("window_start"),
-            F.max_by("value", "window_start").alias("value"),
-        )
+    asked = kpi.filter(F.col("metric").isin(*metrics))
+    recent = newest_days(asked, lambda part: part.select("metric").distinct().count() == len(metrics))
+    latest = recent.groupBy("metric").agg(
+        F.max("window_start").alias("window_start"),
+        F.max_by("value", "window_start").alias("value"),
     )
+    wanted = kpi.sparkSession.range(1).select(F.explode(F.array(*[F.lit(m) for m in metrics])).alias("metric"))
     # the aggregate has at most one row per requested metric: broadcast it
     return wanted.join(F.broadcast(latest), "metric", "left").select("metric", "window_start", "value")
 
@@ -121,16 +153,19 @@ def alerts_query(
 
 
 def alerts_latest(alerts: DataFrame, limit: int = 50) -> DataFrame:
-    return alerts.orderBy(F.desc("window_start"), "metric", "alert_id").limit(limit)
+    recent = newest_days(alerts, _holds(limit))
+    return recent.orderBy(F.desc("window_start"), "metric", "alert_id").limit(limit)
 
 
 def kpi_sample(kpi: DataFrame, limit: int = 30) -> DataFrame:
-    return kpi.select("window_start", "metric", "value").orderBy(F.desc("window_start"), "metric").limit(limit)
+    recent = newest_days(kpi, _holds(limit))
+    return recent.select("window_start", "metric", "value").orderBy(F.desc("window_start"), "metric").limit(limit)
 
 
 def alert_sample(alerts: DataFrame, limit: int = 20) -> DataFrame:
     cols = ("window_start", "metric", "severity", "value", "baseline", "score")
-    return alerts.orderBy(F.desc("window_start"), "metric", "alert_id").select(*cols).limit(limit)
+    recent = newest_days(alerts, _holds(limit))
+    return recent.orderBy(F.desc("window_start"), "metric", "alert_id").select(*cols).limit(limit)
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:

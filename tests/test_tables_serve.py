@@ -1,8 +1,10 @@
 """Writers (K5-K8) and serving reads."""
 
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from core_helpers import SF001
 from kpipulse.operators import serve as S
@@ -164,3 +166,31 @@ def test_created_at_default(spark):
     assert got["y"] == t(1) and got["x"] is not None
     b = T.with_created_at(spark.createDataFrame([("z",)], "alert_id string"))
     assert b.collect()[0].created_at is not None
+
+
+def test_newest_reads_open_the_newest_dates_only(spark, tmp_path):
+    """Latest values and newest alerts: exact, from as few dates as hold them;
+    an absent metric makes the read go through all dates and stays null."""
+    path = str(tmp_path / "kpi")
+    data = [(t(5) + dt.timedelta(days=d), m, float(d)) for d in range(40) for m in ("a", "b", "c") if m != "c" or d < 37]
+    T.write_kpi_table(spark.createDataFrame(data, TS), path)
+    kpi = spark.read.parquet(path)
+    days = S.partition_days(kpi)
+    assert len(days) == 40 and days[0] == "2024-02-09"
+
+    def dates(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return re.findall(r"window_date#\d+ >= (\d{4}-\d\d-\d\d)", plan)[:1]
+
+    two = S.kpi_latest(kpi, ["a", "b"])
+    assert dates(two) == ["2024-02-09"] and {(r.metric, r.value) for r in two.collect()} == {("a", 39.0), ("b", 39.0)}
+    three = S.kpi_latest(kpi, ["a", "c"])
+    assert dates(three) == ["2024-02-06"] and {(r.metric, r.value) for r in three.collect()} == {("a", 39.0), ("c", 36.0)}
+    absent = S.kpi_latest(kpi, ["a", "zz"])
+    assert dates(absent) == [] and {(r.metric, r.value) for r in absent.collect()} == {("a", 39.0), ("zz", None)}
+    some = S.kpi_sample(kpi, 5)
+    assert dates(some) == ["2024-02-06"]
+    assert [tuple(r) for r in some.collect()] == [tuple(r) for r in kpi.drop("window_date").orderBy(F.desc("window_start"), "metric").limit(5).collect()]
+    assert dates(S.kpi_sample(kpi, 10_000)) == [] and S.kpi_sample(kpi, 10_000).count() == len(data)
+    # a table that is not partitioned is read as a whole
+    assert S.kpi_sample(spark.createDataFrame(data, TS), 5).count() == 5
