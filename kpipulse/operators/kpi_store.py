@@ -61,6 +61,10 @@ def write_dated(kpi: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.write.mode(mode).partitionBy("window_date").parquet(path)
 
 
+class ConstraintError(ValueError):
+    """A write that would break a table's key or NOT NULL constraint."""
+
+
 @dataclass
 class Version:
     run: int
@@ -117,6 +121,7 @@ class KpiStore:
             return False
         version = Version(run, batch_id, [])
         write_dated(batch.select("window_start", "metric", "value"), self._version_folder(version))
+        self._check(version)
         version.dates = sorted(d.removeprefix("window_date=") for d in FS.child_dirs(self.spark, self._version_folder(version)))
         snap.newest = (run, batch_id)
         if version.dates:  # an empty batch is recorded, but adds nothing to read
@@ -126,6 +131,19 @@ class KpiStore:
             self.compact(retain_s)
         return True
 
+    def _check(self, version: Version) -> None:
+        """Key and NOT NULL of a version that is written but not committed: a
+        batch that breaks them is refused, and the table stays as it is."""
+        if not FS.child_dirs(self.spark, self._version_folder(version)):
+            return
+        rows = self.spark.read.schema(VERSION_SCHEMA).option("basePath", self.path).parquet(self._version_folder(version))
+        nulls = F.count_if(F.col("window_start").isNull() | F.col("metric").isNull() | F.col("value").isNull())
+        per_key = rows.groupBy("window_start", "metric").agg(F.count(F.lit(1)).alias("n"), nulls.alias("nulls"))
+        found = per_key.agg(F.count_if(F.col("n") > 1).alias("twice"), F.sum("nulls").alias("nulls")).first()
+        if found["twice"] or found["nulls"]:
+            FS.delete(self.spark, self._version_folder(version))
+            raise ConstraintError(f"batch {version.batch}: {found['twice']} keys occur twice, {found['nulls']} rows have nulls")
+
     def compact(self, retain_s: float = RETAIN_S) -> None:
         """Merge all versions into the base folders of the dates they touch."""
         n, snap = self.snapshot()

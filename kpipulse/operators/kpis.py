@@ -45,6 +45,16 @@ def kpis_wide(df: DataFrame, width: str = "1 minute", ts_col: str = "event_time_
     return with_ratios(window_aggregate(df, ts_col, width, additive()))
 
 
+ADDITIVE = (*COUNTS, *SUMS)
+
+
+def rollup_kpis(wide: DataFrame, width: str) -> DataFrame:
+    """KPIs of wider windows from those of finer ones (which lie in one wider
+    window each): counts and sums add up, ratios are computed after, so no
+    event is read again."""
+    return with_ratios(window_aggregate(wide, "window_start", width, {name: F.sum(name) for name in ADDITIVE}))
+
+
 def unpivot_kpis(wide: DataFrame) -> DataFrame:
     """Wide KPI rows -> long ``(window_start, metric, value double)``."""
     pairs = ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in KPI_METRICS)

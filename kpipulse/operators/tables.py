@@ -15,22 +15,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..sources import files as FS
 from .dedupe import dedupe
-from .kpi_store import RETAIN_S, KpiStore
+from .kpi_store import RETAIN_S, ConstraintError, KpiStore
 from .kpi_store import VERSION_SCHEMA as KPI_VERSION_SCHEMA
 from .kpi_store import write_dated as write_kpi_table
 
 __all__ = [
     "KPI_VERSION_SCHEMA",
+    "ConstraintError",
+    "checked_append",
     "constraint_report",
     "duplicate_keys",
     "insert_if_absent",
     "null_keys",
     "read_versioned",
     "replace_windows",
+    "violations",
     "with_created_at",
     "write_kpi_table",
     "write_versioned_batch",
@@ -84,6 +90,51 @@ def read_versioned(spark, path: str) -> DataFrame:
     return KpiStore(spark, path).read()
 
 
+def violations(new: DataFrame, keys: list[str], not_null: tuple[str, ...] = (), there: DataFrame | None = None) -> DataFrame:
+    """One row per broken key of ``new``: the key, ``n`` (rows of the key in
+    ``new``, and one if it is in the table ``there``) and ``n_nulls`` (rows
+    with a null in a key or a ``not_null`` column). Empty when all is well."""
+    null_any = reduce(lambda a, c: a | F.col(c).isNull(), (*keys, *not_null), F.lit(False))
+    counted = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(null_any, 1).otherwise(0)).alias("n_nulls"))
+    if there is not None:
+        known = there.select(*keys).distinct().withColumn("_there", F.lit(1))
+        counted = counted.join(known, keys, "left").withColumn("n", F.col("n") + F.coalesce("_there", F.lit(0))).drop("_there")
+    return counted.filter((F.col("n") > 1) | (F.col("n_nulls") > 0))
+
+
+def checked_append(new: DataFrame, path: str, keys: list[str], not_null: tuple[str, ...], writer, day: str = "window_start") -> int:
+    """Append ``new`` to the table at ``path`` with ``writer(df, path)``, or
+    raise ``ConstraintError`` and leave the table as it is.
+
+    The rows are staged once (hidden beside the table) with an observation that
+    counts rows and nulls on the way; keys are checked against the staged rows
+    and the table's partitions of the dates that they touch, no others. Returns
+    the number of rows appended."""
+    spark = new.sparkSession
+    stage = f"{path.rstrip('/')}.staged"
+    null_any = reduce(lambda a, c: a | F.col(c).isNull(), (*keys, *not_null), F.lit(False))
+    seen = Observation()
+    counts = (F.count(F.lit(1)).alias("rows"), F.count_if(null_any).alias("nulls"), F.min(day).alias("lo"), F.max(day).alias("hi"))
+    new.observe(seen, *counts).write.mode("overwrite").parquet(stage)
+    found = seen.get
+    staged = spark.read.schema(new.schema).parquet(stage)
+    try:
+        if found["nulls"]:
+            raise ConstraintError(f"{found['nulls']} rows have a null in {', '.join((*keys, *not_null))}")
+        there = None
+        if found["rows"] and FS.exists(spark, path):
+            table = spark.read.parquet(path)
+            there = table.filter(F.col("window_date").between(F.to_date(F.lit(found["lo"])), F.to_date(F.lit(found["hi"]))))
+        broken = violations(staged, keys, not_null, there).limit(3).collect()
+        if broken:
+            raise ConstraintError(f"keys that are not unique: {[tuple(r[k] for k in keys) for r in broken]}")
+        if found["rows"]:
+            writer(staged, path)
+        return found["rows"]
+    finally:
+        FS.delete(spark, stage)
+
+
 def constraint_report(df: DataFrame, keys: list[str], not_null: list[str]) -> DataFrame:
     """One row: ``n_rows``, ``n_keys`` (distinct key tuples) and
     ``n_null_values`` (rows with a null in ``not_null``). A table meets its

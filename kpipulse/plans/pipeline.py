@@ -93,6 +93,13 @@ def gold(spark: SparkSession, sf_dir: str, width: str = "1 minute") -> DataFrame
     return kpis_long(silver(spark, sf_dir, cols=KPI_INPUT), width)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path under the checkpoint folder."""
+    from ..session import scratch_dir
+
+    return scratch_dir(spark, name)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a parquet table in a fresh folder under the session's
     ``spark.checkpoint.dir`` and read it back.

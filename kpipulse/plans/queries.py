@@ -175,6 +175,13 @@ def kpi_hour_long(spark, sf_dir):
     return finish(P.gold(spark, sf_dir, "1 hour"), ("value",))
 
 
+@register("kpi_hour_rollup", SQL["kpi_hour_long"])
+def kpi_hour_rollup(spark, sf_dir):
+    """A1 at two widths: the hour from the stored one-minute KPIs."""
+    wide = K.pivot_kpis(_minute_kpi(spark, sf_dir))
+    return finish(K.unpivot_kpis(K.rollup_kpis(wide, "1 hour")), ("value",))
+
+
 # -------------------------------------------------------------- detector ----
 # Driver events are sparse (about 14 per hour at sf0.01), so the detector runs
 # on 1-hour windows: lookback 120 windows, 5 residuals, 6-hour cooldown.
@@ -777,6 +784,24 @@ def kpi_constraints(spark, sf_dir):
     return T.constraint_report(_hour_kpi(spark, sf_dir), ["window_start", "metric"], ["window_start", "metric", "value"])
 
 
+@register(
+    "alert_constraints",
+    _det_sql(
+        DET,
+        "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT alert_id) AS BIGINT) AS n_keys, CAST(count(*) FILTER "
+        "(WHERE alert_id IS NULL OR window_start IS NULL OR metric IS NULL OR severity IS NULL) AS BIGINT) AS n_null_values FROM alerts_rows",
+    ),
+)
+def alert_constraints(spark, sf_dir):
+    """K7: primary key and NOT NULL of the alert table, checked as it is
+    written: the alerts of each write pass through the checked append."""
+    path = P.scratch(spark, "checked-alerts")
+    alerts = D.detect(_hour_kpi(spark, sf_dir), DET)
+    for half in (F.col("window_start") < CUTOFF, F.col("window_start") >= CUTOFF):
+        T.checked_append(alerts.filter(half), path, ["alert_id"], ("window_start", "metric", "severity"), write_alerts)
+    return T.constraint_report(spark.read.parquet(path), ["alert_id"], ["alert_id", "window_start", "metric", "severity"])
+
+
 @register(
     "orders_daily",
     """

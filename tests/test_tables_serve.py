@@ -194,3 +194,46 @@ def test_newest_reads_open_the_newest_dates_only(spark, tmp_path):
     assert dates(S.kpi_sample(kpi, 10_000)) == [] and S.kpi_sample(kpi, 10_000).count() == len(data)
     # a table that is not partitioned is read as a whole
     assert S.kpi_sample(spark.createDataFrame(data, TS), 5).count() == 5
+
+
+def test_checked_append_refuses_what_breaks_the_key(spark, tmp_path):
+    """K7: a repeated key in the batch or the touched dates, or a null, and the
+    table stays as it is; other dates are not read."""
+    path = str(tmp_path / "alerts")
+    schema = "alert_id string, window_start timestamp, metric string"
+    put = lambda rows: T.checked_append(spark.createDataFrame(rows, schema), path, ["alert_id"], ("window_start", "metric"), _append_dated)
+    assert put([("x", t(1), "a"), ("y", t(2), "a")]) == 2
+    for bad in ([("x", t(3), "b")], [("z", t(3), "a"), ("z", t(4), "a")], [("q", t(5), None)], [(None, t(5), "a")]):
+        with pytest.raises(T.ConstraintError):
+            put(bad)
+        assert rows(spark.read.parquet(path), "alert_id") == [("x",), ("y",)]
+    assert put([]) == 0 and put([("z", t(3), "b")]) == 1
+    assert rows(spark.read.parquet(path), "alert_id") == [("x",), ("y",), ("z",)]
+    assert not (tmp_path / "alerts.staged").exists()
+
+
+def _append_dated(df, path):
+    df.withColumn("window_date", F.to_date("window_start")).write.mode("append").partitionBy("window_date").parquet(path)
+
+
+def test_kpi_store_refuses_a_bad_batch(spark, tmp_path):
+    from kpipulse.operators.kpi_store import KpiStore
+
+    store = KpiStore(spark, str(tmp_path / "kpi"))
+    store.commit(spark.createDataFrame([(t(1), "a", 1.0)], TS), 1, 0)
+    for bad in ([(t(2), "a", 1.0), (t(2), "a", 2.0)], [(t(2), "a", None)], [(t(2), None, 1.0)]):
+        with pytest.raises(T.ConstraintError):
+            store.commit(spark.createDataFrame(bad, TS), 1, 1)
+        assert rows(store.read(), "window_start", "metric", "value") == [(t(1), "a", 1.0)]
+    assert store.commit(spark.createDataFrame([(t(2), "a", 3.0)], TS), 1, 1) and store.read().count() == 2
+
+
+def test_rollup_reads_no_events(spark):
+    from kpipulse.operators import kpis as K
+
+    wide = P.materialize(P.gold_wide(spark, SF001, "1 minute"))
+    up = K.unpivot_kpis(K.rollup_kpis(wide, "1 hour"))
+    r = lambda df: sorted((x.window_start, x.metric, round(x.value, 6)) for x in df.collect())
+    assert r(up) == r(P.gold(spark, SF001, "1 hour"))
+    plan = up._jdf.queryExecution().executedPlan().toString()
+    assert "event_type" not in plan and "partial_sum" in plan
