@@ -609,6 +609,69 @@ PREPARED = {
 }
 
 
+_RESENT = 1_000_000_000  # the fixture's offsets of second deliveries start here
+
+
+def _bronze_parts(spark, sf_dir, path: str, n: int) -> None:
+    """The Bronze rows as files in delivery order: first deliveries in ``n``
+    files, then all second ones in one."""
+    bronze = P.stored_bronze(spark, sf_dir)
+    last = bronze.filter(F.col("kafka_offset") < _RESENT).agg(F.max("kafka_offset")).scalar()
+    part = F.when(F.col("kafka_offset") < _RESENT, F.floor(F.col("kafka_offset") * n / (last + 1))).otherwise(n)
+    dealt = bronze.withColumn("part", part)
+    for k in range(n + 1):
+        dealt.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
+
+
+_LATE_PARTS, _LATE_DELAY = 3, "36 hours"
+
+
+@register(
+    "stream_late_rows",
+    O.with_ctes(O.stage_ctes())
+    + f"""
+, parts AS (
+  SELECT event_time_ts, CASE WHEN kafka_offset < {_RESENT} THEN kafka_offset * {_LATE_PARTS}
+    // ((SELECT max(kafka_offset) FROM timed WHERE kafka_offset < {_RESENT}) + 1) ELSE {_LATE_PARTS} END AS part FROM silver_valid
+), marks AS (
+  SELECT part, max(max(date_trunc('milliseconds', event_time_ts))) OVER (ORDER BY part) - INTERVAL '{_LATE_DELAY}' AS mark
+  FROM parts GROUP BY part
+)
+SELECT CAST(p.part AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_late
+FROM parts p JOIN marks m ON m.part = p.part - 2 AND p.event_time_ts <= m.mark GROUP BY p.part""",
+)
+def stream_late_rows(spark, sf_dir):
+    """ST1, ST9: the rows that each micro-batch of Silver dropped as late, from
+    the progress table. A batch's late rows are those at or before the
+    watermark that the batch before it started with."""
+    from ..streaming.progress import ProgressLog, read_progress
+
+    R.configure(spark)
+    p = R.new_paths(spark)
+    _bronze_parts(spark, sf_dir, p.bronze, _LATE_PARTS)
+    bronze = R.J.parquet_stream(spark, p.bronze, R.J.BRONZE_READ_SCHEMA, max_files_per_trigger=1)
+    with ProgressLog(spark, f"{p.root}/progress"):
+        good, bad = R.J.silver_queries(bronze, p.silver, p.quarantine, p.ckpt("s"), p.ckpt("q"), watermark=_LATE_DELAY, by_hour=False)
+        R._finish(good, bad)
+    return read_progress(spark, f"{p.root}/progress", good.id).filter("n_late > 0").select("batch_id", "n_late")
+
+
+@register("stream_dq_counts", SQL["dq_errors"])
+def stream_dq_counts(spark, sf_dir):
+    """Rule counts observed by the quarantine stream, summed over
+    its micro-batches; Bronze is not read for them."""
+    from ..streaming.progress import ProgressLog, read_progress, rule_counts
+
+    R.configure(spark)
+    p = R.new_paths(spark)
+    _bronze_parts(spark, sf_dir, p.bronze, 3)
+    bronze = R.J.parquet_stream(spark, p.bronze, R.J.BRONZE_READ_SCHEMA, max_files_per_trigger=1)
+    with ProgressLog(spark, f"{p.root}/progress"):
+        good, bad = R.J.silver_queries(bronze, p.silver, p.quarantine, p.ckpt("s"), p.ckpt("q"), by_hour=False)
+        R._finish(good, bad)
+    return rule_counts(read_progress(spark, f"{p.root}/progress", bad.id))
+
+
 @register("stream_alerts", SQL["anomaly_alerts"])
 def stream_alerts(spark, sf_dir):
     """Bronze -> Silver -> hourly Gold -> detector, all as streaming queries."""

@@ -34,6 +34,7 @@ from ..operators.kpi_store import RETAIN_S, KpiStore
 from ..operators.tables import read_versioned
 from ..operators.validate import default_rules, quarantine, valid_rows, validate
 from ..sources import files as FS
+from .progress import observe_rules
 
 # Bronze columns Silver reads (explicit schema, no inference).
 BRONZE_READ_SCHEMA = StructType(
@@ -128,9 +129,11 @@ def bronze_query(envelope: DataFrame, out_path: str, checkpoint: str, trigger: s
 
 
 def silver_frames(bronze: DataFrame, watermark: str = "1 hour", dedupe: str = "within_watermark", null_type: str = "invalid"):
-    """(silver, quarantine) streaming DataFrames from a Bronze stream."""
-    v = validate(bronze, default_rules(null_type))
-    bad = quarantine(v)
+    """(silver, quarantine) streaming DataFrames from a Bronze stream. The
+    quarantine query, which reads every row, observes the rule counts."""
+    rules = default_rules(null_type)
+    v = validate(bronze, rules)
+    bad = quarantine(observe_rules(v, rules))
     good = valid_rows(v).withWatermark("event_time_ts", watermark)
     if dedupe == "within_watermark":
         good = good.dropDuplicatesWithinWatermark(["event_id"])
