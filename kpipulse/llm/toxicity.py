@@ -7,10 +7,12 @@ the linear weights a learned interaction of each pair of terms, the inner
 product of their factors, computed in linear time from two sums per factor.
 
 The machine is fitted on a bounded sample of labelled rows (``MAX_LABELLED``,
-by hash of the id): Spark counts the buckets and keeps ``MAX_TERMS`` of them by
-chi-square, then weights and factors follow mini-batch AdaGrad on the logistic loss. The model
-is a few megabytes whatever the corpus is; scoring is one pass over
-all texts.
+by hash of the id): Spark counts the buckets, and those take part that depend on
+the label beyond chance (``MIN_CHI``) or stand in so large a share of the rows
+(``FREQUENT``) that a pair of them can matter where each alone does not. There
+is no rank to cut them off: at most ``2**BITS`` buckets exist, so the model has
+a bounded size whatever the corpus is. Weights and factors follow mini-batch
+AdaGrad on the logistic loss; scoring is one pass over all texts.
 
 Defined results for odd input: null and empty texts have no terms and get the
 machine's base rate; a null ``doc_id`` is kept (and not used to learn); rows
@@ -34,7 +36,8 @@ from . import words as W
 BITS = 20
 STEMS = (4, 5, 6)
 MAX_LABELLED = 20_000
-MAX_TERMS = 1024
+MIN_CHI = 10.83  # one in a thousand by chance
+FREQUENT = 0.1
 FACTORS = 8
 BYTES_AT_ONCE = 1 << 20
 
@@ -100,14 +103,16 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def screen(counts: DataFrame, n: int, pos: int, most: int, min_rows: int = 3) -> np.ndarray:
-    """Buckets with the largest chi-square against the label, from ``bucket,
-    seen, hits`` (documents with the term, and how many of them are ones)."""
+def screen(counts: DataFrame, n: int, pos: int, min_chi: float = MIN_CHI, frequent: float = FREQUENT, min_rows: int = 3) -> np.ndarray:
+    """Buckets whose chi-square against the label is at least ``min_chi`` or
+    that stand in a share ``frequent`` of the rows, from ``bucket, seen, hits``
+    (documents with the term, and how many of them are ones)."""
     want = F.col("seen") * F.lit(pos / n)
     spread = want * F.lit(1 - pos / n) * (1 - F.col("seen") / F.lit(n))
     chi = (F.col("hits") - want) ** 2 / spread
-    rows = counts.filter((F.col("seen") >= min_rows) & (spread > 0)).select("bucket", chi.alias("chi")).filter("chi > 0")
-    return np.array(sorted(r["bucket"] for r in rows.orderBy(F.desc("chi"), "bucket").limit(most).collect()), np.int64)
+    some = counts.filter((F.col("seen") >= min_rows) & (spread > 0))
+    rows = some.filter((chi >= min_chi) | (F.col("seen") >= frequent * n)).select("bucket")
+    return np.array(sorted(r["bucket"] for r in rows.collect()), np.int64)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,15 +152,20 @@ def fit(
     gb, gw, gv = 1e-6, np.full(len(chosen), 1e-6), np.full((len(chosen), factors), 1e-6)
     for _ in range(epochs):
         for pick in np.array_split(rng.permutation(len(y)), max(1, len(y) // batch)):
-            x = np.zeros((len(pick), len(chosen)), np.float32)
-            for i, p in enumerate(pick):
-                x[i, term[first[p] : first[p + 1]]] = 1
-            sums = x @ v
-            z = base + x @ w + ((sums**2).sum(1) - x @ (v**2).sum(1)) / 2
+            n = first[pick + 1] - first[pick]
+            doc = np.repeat(np.arange(len(pick)), n)
+            t = term[np.arange(n.sum()) + np.repeat(first[pick] - (np.cumsum(n) - n), n)]
+            of_doc = lambda x: np.bincount(doc, x, len(pick))  # noqa: E731, B023
+            of_term = lambda x: np.bincount(t, x, len(chosen))  # noqa: E731, B023
+            rows = v[t]
+            sums = np.stack([of_doc(rows[:, f]) for f in range(factors)], axis=1)
+            squares = of_doc((rows**2).sum(1))
+            z = base + of_doc(w[t]) + ((sums**2).sum(1) - squares) / 2
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) / len(pick)
-            mass = x.T @ error
+            mass = of_term(error[doc])
             dw = mass + shrink * w
-            dv = x.T @ (error[:, None] * sums) - mass[:, None] * v + shrink * v
+            pulled = error[:, None] * sums
+            dv = np.stack([of_term(pulled[doc, f]) for f in range(factors)], axis=1) - mass[:, None] * v + shrink * v
             db = error.sum()
             gb += db * db
             gw += dw * dw
@@ -184,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     if not 0 < total["pos"] < total["n"]:
         return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.full(total["n"], float(total["pos"] > 0)))
     counts = known.mapInArrow(_counts, "bucket long, seen long, hits long").groupBy("bucket")
-    best = screen(counts.agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits")), total["n"], total["pos"], MAX_TERMS)
+    best = screen(counts.agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits")), total["n"], total["pos"])
     slot = np.full(1 << BITS, -1, np.int32)
     slot[best] = 1
 
@@ -196,8 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
             packed = [bucket[a:b].astype("<i4").tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(packed, pa.binary())], ["doc_id", "toxic", "terms"])
 
-    # at most max_labelled rows (and as many more as repeat an id) with at most
-    # MAX_TERMS terms each
+    # at most max_labelled rows (and as many more as repeat an id), each with
+    # its chosen terms
     rows = known.mapInArrow(collect, "doc_id long, toxic int, terms binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["terms"]))
     lists = [np.frombuffer(r["terms"], "<i4") for r in rows]

@@ -724,6 +724,39 @@ def test_machine_learns_an_interaction():
     assert ((p >= 0.5) == (y == 1)).mean() > 0.98
 
 
+def test_scores_match_a_naive_pair_sum(spark):
+    """The score against the definition: base, weights, and the inner product
+    of the factors for each pair of terms."""
+    docs, labels = sf001(spark, "documents"), sf001(spark, "labels").select("doc_id", "toxic")
+    machine = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, machine).collect()}
+    for i, text in small(spark)[::7]:
+        _, buckets = toxicity.terms(pa.array([(text or "").encode()], pa.large_binary()))
+        known = [machine.slot[b] for b in buckets if machine.slot[b] >= 0]
+        z = machine.base + sum(machine.weights[t] for t in known)
+        z += sum(float(machine.factors[a] @ machine.factors[b]) for a, b in itertools.combinations(known, 2))
+        assert abs(got[i] - 1 / (1 + np.exp(-max(-30, min(30, z))))) < 1e-9
+
+
+def test_training_finds_a_pair_of_neutral_terms(spark):
+    """Toxic when exactly one of two words occurs: neither depends on the
+    label alone, so a screen by single terms must not cut them off."""
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = [rng.choice("oak elm ash fir yew".split()) for _ in range(4)] + ["kettle"] * a + ["violin"] * b
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(a != b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    machine = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(docs, machine).collect()}
+    held = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    right = sum((scored[i] >= 0.5) == bool(labels[i][1]) for i in held)
+    assert right > 0.95 * len(held)
+
+
 def test_toxicity_held_out(spark, odd, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     machine = toxicity.train(docs, labels)
