@@ -19,8 +19,8 @@ benchmark is handled in blocks of about ``BLOCK_WORDS`` words, each a table of
 bounded size that goes to the executors; the corpus is never shuffled.
 
 Defined results for odd input: null and blank texts have no overlap; items of
-fewer than ``MIN_ITEM`` words identify nothing and are left out; items shorter
-than ``min_words`` must occur whole and unchanged; null ids are kept; rows
+fewer than ``min_item`` words (``MIN_ITEM`` by default, 1 for all) identify nothing and
+are left out; items shorter than ``min_words`` must occur whole and unchanged; null ids are kept; rows
 that repeat an id are handled apart; an empty table on either side gives no
 overlaps; other columns are ignored, and kept by ``remove_contaminated``.
 """
@@ -91,13 +91,13 @@ class Index:
     percent: int
 
     @classmethod
-    def of(cls, ids: list, texts: list[bytes], min_words: int, percent: int) -> Index:
+    def of(cls, ids: list, texts: list[bytes], min_words: int, percent: int, min_item: int = MIN_ITEM) -> Index:
         (h,), starts = W.hash_words(plain(pa.array(texts, pa.large_binary())), lanes=1)
         masks = masks_for(min_words, percent)
         rows: dict[str, list] = {}
         for k, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
             words = h[a:b]
-            if len(words) < MIN_ITEM:
+            if len(words) < max(1, min_item):
                 continue
             for mask in masks if len(words) >= min_words else ("1" * len(words),):
                 found = seeds(words, mask)
@@ -182,7 +182,7 @@ def overlaps_of(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int,
     return out
 
 
-def blocks(benchmark: DataFrame, min_words: int, percent: int) -> Iterator[Index]:
+def blocks(benchmark: DataFrame, min_words: int, percent: int, min_item: int) -> Iterator[Index]:
     """Indexes of the benchmark, a block of items at a time."""
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     n_bytes = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -191,12 +191,13 @@ def blocks(benchmark: DataFrame, min_words: int, percent: int) -> Iterator[Index
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()
         rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         if rows:
-            yield Index.of([r["item_id"] for r in rows], [r["text"].encode() for r in rows], min_words, percent)
+            yield Index.of([r["item_id"] for r in rows], [r["text"].encode() for r in rows], min_words, percent, min_item)
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, percent: int = 80) -> DataFrame:
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, percent: int = 80, min_item: int = MIN_ITEM) -> DataFrame:
     """``doc_id, item_id, start, end, n_equal`` of every overlap: word
-    positions in the document, and how many words of the stretch are equal."""
+    positions in the document, and how many words of the stretch are equal.
+    Items of fewer than ``min_item`` words are left out."""
 
     def scan(index: Index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,13 +211,13 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, pe
 
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"`{n}` long" for n in _NAMES))
 
-    found = [scan(index) for index in blocks(benchmark, min_words, percent)]
+    found = [scan(index) for index in blocks(benchmark, min_words, percent, min_item)]
     if not found:
         return docs.sparkSession.createDataFrame([], ", ".join(f"`{n}` long" for n in _NAMES))
     return reduce(DataFrame.unionByName, found)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, percent: int = 80) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, percent: int = 80, min_item: int = MIN_ITEM) -> DataFrame:
     """The rows of ``docs`` without any overlap, in one pass per block."""
 
     def clean(rows: DataFrame, index: Index) -> DataFrame:
@@ -231,7 +232,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int =
 
         return rows.mapInArrow(run, rows.schema)
 
-    return reduce(clean, blocks(benchmark, min_words, percent), docs)
+    return reduce(clean, blocks(benchmark, min_words, percent, min_item), docs)
 
 
 _NAMES = ["doc_id", "item_id", "start", "end", "n_equal"]

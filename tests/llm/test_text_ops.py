@@ -639,6 +639,16 @@ def test_decontamination(spark, none):
     assert decontaminate.remove_contaminated(docs, empty).count() == docs.count()
 
 
+def test_decontamination_of_short_items(spark):
+    """Items of few words: left out by default, found when asked for."""
+    docs = spark.createDataFrame([(1, "we saw a blue moon rise"), (2, "nothing here")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "Blue moon!"), (8, "rise"), (9, "")], "item_id long, text string")
+    assert decontaminate.find_overlaps(docs, items).count() == 0
+    got = decontaminate.find_overlaps(docs, items, min_item=1).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 7, 3, 5, 2), (1, 8, 5, 6, 1)]
+    assert [r["doc_id"] for r in decontaminate.remove_contaminated(docs, items, min_item=1).collect()] == [2]
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     bench, docs = sf001(spark, "benchmark"), sf001(spark, "documents")
     one = by_rows(decontaminate.find_overlaps(docs, bench).collect(), "doc_id", "item_id", "start", "end")
