@@ -33,6 +33,12 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hp) if st.isFile()]
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path`` (0 when it does not exist)."""
+    fs, hp = hadoop_fs(spark, path)
+    return fs.getContentSummary(hp).getLength() if fs.exists(hp) else 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hp = hadoop_fs(spark, path)
     fs.delete(hp, True)

@@ -11,11 +11,13 @@ checkpoint folder.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
+from ..sources import files as FS
 from ..sources.fixture import contract_events
 from . import jobs as J
 
@@ -69,9 +71,36 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def configure(spark: SparkSession) -> None:
     """Settings the streaming stages need: UTC event times, and the dedupe
-    state in RocksDB rather than on the heap."""
+    state in RocksDB rather than on the heap, of which a micro-batch stores
+    its changes only."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+STATE_BYTES = 16 << 20
+
+
+def state_partitions(spark: SparkSession, path: str, least: int = 4) -> int:
+    """Shuffle width for the stateful stages of a run over the files in
+    ``path``: one partition per ``STATE_BYTES`` stored, at least ``least``, at
+    most the session's. Every partition commits a state store and writes a
+    file per date folder, so a small backlog should not be spread thin."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, max(least, -(-FS.size(spark, path) // STATE_BYTES))))
+
+
+@contextmanager
+def _shuffle_width(spark: SparkSession, width: int):
+    """The width that queries started inside get (a query keeps the width of
+    its first start)."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(width))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _finish(*queries) -> None:
@@ -107,6 +136,12 @@ def run_stream_pipeline(
     paths = paths or new_paths(spark)
     if land:
         land_topic(spark, sf_dir, paths.topic, raw=raw)
+    with _shuffle_width(spark, state_partitions(spark, paths.topic)):
+        _run_stages(spark, paths, stages, width, watermark, dedupe, max_files_per_trigger, by_hour, detector, raw, compact_every)
+    return paths
+
+
+def _run_stages(spark, paths, stages, width, watermark, dedupe, max_files_per_trigger, by_hour, detector, raw, compact_every) -> None:
     if "bronze" in stages:
         env = J.envelope_file_source(spark, paths.topic, max_files_per_trigger, raw)
         _finish(J.bronze_query(env, paths.bronze, paths.ckpt("bronze"), by_hour=by_hour))
@@ -136,7 +171,6 @@ def run_stream_pipeline(
 
         _finish(candidates_query(spark, paths.kpi, paths.candidates, paths.ckpt("candidates"), detector, max_files_per_trigger=max_files_per_trigger))
         _finish(alerts_query(spark, paths.candidates, paths.alerts, paths.ckpt("alerts"), detector))
-    return paths
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -161,8 +195,6 @@ def start_pipeline(
     cluster). Returns the started queries in stage order; ``await_any``
     blocks until one of them ends. ``max_files_per_trigger`` bounds what a
     micro-batch of Silver, Gold and the detector reads."""
-    from ..sources import files as FS
-
     configure(spark)
     for folder in (paths.bronze, paths.silver, paths.kpi):
         FS.mkdirs(spark, folder)
