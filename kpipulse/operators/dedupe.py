@@ -2,24 +2,21 @@
 
 Keeps, per key, the row with the least ordering tuple (by default broker
 ``(kafka_partition, kafka_offset)``: the first delivery wins). Expressed as
-``groupBy(key).agg(min(struct(order, rest)))``: the aggregate is partial before
-the shuffle, so copies of a hot key collapse map-side and one row per key and
-task crosses the network (the price is a sort on either side of it).
+``row_number() = 1``, which Spark plans with a group limit on either side of the
+shuffle: each task drops all but the first row of a key before it, so copies of
+a hot key collapse map-side and one row per key and task crosses the network.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedupe(df: DataFrame, keys: list[str] | str = "event_id", order: list[str] | None = None) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = ["kafka_partition", "kafka_offset"] if order is None else list(order)
-    cols = df.columns
-    rest = [c for c in cols if c not in keys and c not in order]
-    # min over a struct compares fields left to right: ordering columns first,
-    # then the rest, so the choice is total and deterministic
-    best = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]))
-    out = df.groupBy(*keys).agg(best.alias("_best"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_best.{c}").alias(c) for c in order + rest]).select(*cols)
+    # the other columns break ties, so the choice is total and deterministic
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    first = Window.partitionBy(*keys).orderBy(*order, *rest)
+    return df.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
