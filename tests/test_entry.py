@@ -37,9 +37,9 @@ def test_spark_and_oracle_agree_on_kpis(spark):
 
 
 # one-row global aggregates (partial per task, one final row) may end in a
-# single partition: the row count, the constraint report, the newest window
+# single partition: the row count, the constraint reports, the newest window
 # of a trailing trim and the newest window of an as-of poll
-_SINGLE_OK = {"kpi_count", "kpi_constraints", "kpi_trailing", "detect_as_of"}
+_SINGLE_OK = {"kpi_count", "kpi_constraints", "alert_constraints", "kpi_trailing", "detect_as_of"}
 
 
 def test_plans_stay_distributed_and_jvm_side(spark, tmp_path):
