@@ -13,7 +13,14 @@ as the next one's ``docs``. All but the last return the columns of documents.
 5. packing: token ids of what is left, packed into sequences.
 
 The stages use learned rules, hashes of sets and a tokenizer, so SQL cannot
-express them; tests compare each stage with a brute-force version.
+express them; tests compare each operator with a brute-force version, and check
+here that every stage works on what its predecessor kept.
+
+Defined results for odd input: rows with a null or repeated ``doc_id`` are rows
+of their own in every stage (line dedup treats rows that repeat both id and text
+alike); null and empty texts fail the base rules and go; extra columns are kept
+until packing, except that ``__row`` and ``__group`` are names of the Jaccard
+stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
