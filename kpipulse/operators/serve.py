@@ -8,7 +8,7 @@ Limits are top-k reads (``orderBy().limit()`` plans as
 ``TakeOrderedAndProject``: per-task top-k, then a merge of k rows per task).
 
 Reads of the newest rows go backwards through the date partitions: the newest
-date first, then twice as many, until they hold what is asked for
+date first, then four times as many, until they hold what is asked for
 (``newest_days``); older dates' files are not opened. Rows are ordered by time
 first, so the result is that of the whole table.
 """
@@ -92,7 +92,7 @@ def partition_days(df: DataFrame) -> list[str]:
 
 def newest_days(df: DataFrame, enough: Callable[[DataFrame], bool]) -> DataFrame:
     """``df`` from the latest date on whose rows, with all newer ones, are
-    ``enough``: one date is tried, then two, four and so on. The whole of
+    ``enough``: one date is tried, then four, sixteen and so on. The whole of
     ``df`` where it is not partitioned by date or no dates are enough."""
     days = partition_days(df)
     take = 1
@@ -100,7 +100,7 @@ def newest_days(df: DataFrame, enough: Callable[[DataFrame], bool]) -> DataFrame
         part = df.filter(F.col("window_date") >= F.lit(days[take - 1]).cast("date"))
         if enough(part):
             return part
-        take *= 2
+        take *= 4
     return df
 
 
