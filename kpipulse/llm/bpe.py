@@ -28,6 +28,7 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -44,7 +45,8 @@ from .store import shuffle_width, stored
 CHUNK_CHARS = 1 << 15
 OVERLAP = 1 << 9
 MARGIN = 4
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 100_000
+CACHED_CHARS = 32
 BYTES_AT_ONCE = 1 << 21
 
 
@@ -59,7 +61,9 @@ class Encoder:
         self.library = lambda extra=None: tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=extra or table, special_tokens={})
         self.encoding = self.library()
         self.pieces_of = regex.compile(pattern).findall
+        # recent pre-tokens, and those of the time before
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.stand_in: dict[int, str] = {}
 
     @classmethod
@@ -99,18 +103,25 @@ class Encoder:
 
     def encode(self, text: str, ahead: int = 0) -> bytes:
         """The ids of a run of whole pre-tokens as little-endian unsigned
-        32-bit integers; each distinct pre-token is encoded once per worker.
+        32-bit integers; each distinct pre-token is encoded once per run, and
+        recent ones of at most ``CACHED_CHARS`` characters are remembered.
         The last ``ahead`` characters belong to what follows the run."""
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
         pieces = self.pieces(text)
         while ahead > 0:
             ahead -= len(pieces.pop())
         if ahead:
             raise ValueError("the run ends inside a pre-token")
+        long = {}
         for p in set(pieces).difference(self.known):
-            self.known[p] = np.array(self.encoding.encode_ordinary(p), "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, pieces))
+            done = self.older.get(p)
+            if done is None:
+                ids = self.encoding.encode_ordinary(p)
+                done = struct.pack(f"<{len(ids)}I", *ids)
+            (self.known if len(p) <= CACHED_CHARS else long)[p] = done
+        out = b"".join(map(self.known.__getitem__, pieces)) if not long else b"".join(long.get(p) or self.known[p] for p in pieces)
+        if len(self.known) > CACHED_PIECES:
+            self.known, self.older = {}, self.known
+        return out
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:

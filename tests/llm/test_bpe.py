@@ -1,6 +1,7 @@
 """Byte-level BPE against the library, whole and cut into small chunks."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -75,3 +76,20 @@ def test_query_digests(spark):
         ids = _library(t)
         want[(i, len(ids), sha(np.array(ids, "<u4").tobytes()), sha((t or "").encode()))] += 1
     assert got == want and sf001(spark, "documents").count() == sum(got.values())
+
+
+def test_remembered_pieces_stay_small():
+    """Texts of ever new words don't fill the worker's memory."""
+    coder = bpe.Encoder(RANKS, P.PATTERN)
+    tracemalloc.start()
+    try:
+        for i in range(400):
+            text = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j % 26)}{chr(97 + j // 26 % 26)}{chr(97 + j // 676)}" for j in range(1000))
+            got = coder.encode(text)
+            if i % 57 == 0:
+                assert np.frombuffer(got, "<u4").tolist() == _library(text)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 40e6
+    assert not any(len(p) > bpe.CACHED_CHARS for p in coder.known)
