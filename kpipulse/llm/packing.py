@@ -12,7 +12,9 @@ bucket), and the buckets of a length get offsets by a running sum of counts.
 
 Tokenizing: the words between ASCII white space are encoded apart, each
 distinct one once per batch and worker (bounded cache), because the
-tokenizer's normaliser and pre-tokenizer never look across white space.
+tokenizer's normaliser and pre-tokenizer never look across white space. The
+cache is sorted arrays of fixed width, a fifth of the memory that a dict of as
+many words takes; only words longer than ``KEY_BYTES`` are in a dict.
 
 Defined results for odd input: null or empty text is a document of the end id
 only; a null ``doc_id`` is kept; rows that repeat a ``doc_id`` are packed
@@ -38,6 +40,9 @@ from .store import stored
 
 BYTES_AT_ONCE = 1 << 20
 CACHED_WORDS = 1_000_000
+CACHED_LONG_BYTES = 16 << 20
+KEY_BYTES = 15
+LEARNT_AT_ONCE = 4096
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 RANK_BUCKETS = 256
 
@@ -46,7 +51,11 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 class WordEncoder:
     """Ids of white-space separated words, with a cache of at most
-    ``CACHED_WORDS`` words."""
+    ``CACHED_WORDS`` words (one batch's, if it has more).
+
+    ``ids`` and ``ends`` hold the ids of the cached words by slot; ``keys``
+    (sorted) and ``slots`` find the words of at most ``KEY_BYTES`` bytes,
+    ``long`` the others."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,13 +63,15 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = self._letters_only(Tokenizer.from_file(path))
-        self.known: dict[bytes, int] = {}
-        self._reset()
+        self._reset(0)
 
-    def _reset(self) -> None:
-        self.known.clear()
+    def _reset(self, words: int) -> None:
+        """An empty cache with room for a batch of ``words``."""
+        self.keys, self.slots = np.zeros(0, f"S{KEY_BYTES + 1}"), np.zeros(0, np.int32)
+        self.long: dict[bytes, int] = {}
+        self.long_bytes = self.n = 0
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.ends = np.zeros(CACHED_WORDS + 1, np.int64)
+        self.ends = np.zeros(max(words, CACHED_WORDS) + 1, np.int64)
 
     @classmethod
     def get(cls, path: str) -> WordEncoder:
@@ -103,30 +114,65 @@ class WordEncoder:
                 out[i] = coded.ids + marks[end]
         return out
 
-    def _learn(self, fresh: list[bytes]) -> None:
-        lists = self._ids([w.decode() for w in fresh])
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((x for one in lists for x in one), np.uint32, int(sizes.sum()))
-        n = len(self.known)
-        at = self.ends[n]
-        while at + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[at : at + len(flat)] = flat
-        self.ends[n + 1 : n + 1 + len(fresh)] = at + np.cumsum(sizes)
-        self.known.update(zip(fresh, range(n, n + len(fresh)), strict=True))
+    def _learn(self, fresh: list[bytes]) -> np.ndarray:
+        """The slots of new words, after putting their ids there."""
+        first = self.n
+        for i in range(0, len(fresh), LEARNT_AT_ONCE):
+            lists = self._ids([w.decode() for w in fresh[i : i + LEARNT_AT_ONCE]])
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat = np.fromiter((x for one in lists for x in one), np.uint32, int(sizes.sum()))
+            at = self.ends[self.n]
+            while at + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[at : at + len(flat)] = flat
+            self.ends[self.n + 1 : self.n + 1 + len(lists)] = at + np.cumsum(sizes)
+            self.n += len(lists)
+        return np.arange(first, self.n, dtype=np.int32)
+
+    @staticmethod
+    def _keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are short, and the keys of these: the bytes, padded,
+        and the length, so that different words have different keys."""
+        body, offsets = W.raw(words)
+        size = np.diff(offsets)
+        short = np.flatnonzero(size <= KEY_BYTES)
+        n = size[short]
+        key = np.zeros((len(short), KEY_BYTES + 1), np.uint8)
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        key[np.repeat(np.arange(len(short)), n), within] = body[np.repeat(offsets[short], n) + within]
+        key[:, KEY_BYTES] = n
+        return short, key.view(f"S{KEY_BYTES + 1}").ravel()
+
+    def _slots(self, words: pa.Array) -> np.ndarray:
+        """The slots of distinct words; new ones are learnt."""
+        out = np.full(len(words), -1, np.int32)
+        short, key = self._keys(words)
+        at = np.searchsorted(self.keys, key)
+        there = np.flatnonzero(at < len(self.keys))
+        there = there[self.keys[at[there]] == key[there]]
+        out[short[there]] = self.slots[at[there]]
+        rest = np.setdiff1d(np.arange(len(words)), short, assume_unique=True)
+        texts = words.take(pa.array(rest)).to_pylist()
+        out[rest] = [self.long.get(w, -1) for w in texts]
+        fresh = np.flatnonzero(out < 0)
+        if not len(fresh):
+            return out
+        out[fresh] = self._learn(words.take(pa.array(fresh)).to_pylist())
+        new = np.setdiff1d(np.arange(len(short)), there, assume_unique=True)
+        new = new[np.argsort(key[new])]
+        self.keys, self.slots = np.insert(self.keys, at[new], key[new]), np.insert(self.slots, at[new], out[short[new]])
+        for w, slot in zip(texts, out[rest].tolist(), strict=True):
+            if w not in self.long:
+                self.long[w] = slot
+                self.long_bytes += len(w)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the first id of each text."""
         words = W.split_words(texts)
-        vocab = words.vocab.to_pylist()
-        if len(self.known) + len(vocab) > CACHED_WORDS:
-            self._reset()
-            if len(vocab) > CACHED_WORDS:
-                self.ends = np.zeros(len(vocab) + 1, np.int64)
-        fresh = [w for w in vocab if w not in self.known]
-        if fresh:
-            self._learn(fresh)
-        slot = np.fromiter(map(self.known.__getitem__, vocab), np.int64, len(vocab))[words.codes]
+        if self.n + len(words.vocab) > len(self.ends) - 1 or self.long_bytes > CACHED_LONG_BYTES:
+            self._reset(len(words.vocab))
+        slot = self._slots(words.vocab)[words.codes]
         begin, size = self.ends[slot], self.ends[slot + 1] - self.ends[slot]
         before = np.concatenate([[0], np.cumsum(size)])
         place = np.arange(before[-1]) + np.repeat(begin - before[:-1], size)

@@ -8,6 +8,7 @@ import random
 import re
 import string
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -100,6 +101,39 @@ def test_packing_odd(spark, odd, none):
     assert packing.pack(none, _tokenizer()).count() == 0
 
 
+def _ids_by_word(coder, texts):
+    ids, starts = coder.encode(W.as_binary(pa.array(texts)))
+    return [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+
+
+def test_packing_word_cache(monkeypatch):
+    """Ids of cached words, short and long, with control bytes, and after the
+    cache was emptied, are those of the library."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 300)
+    tk, coder = Tokenizer.from_file(_tokenizer()), packing.WordEncoder(_tokenizer())
+    rng = np.random.default_rng(3)
+    vocab = ["a", "a\0", "a\0\0", "\0", "\0a", "é" * 7, "é" * 8, "x" * 15, "x" * 16, "x" * 15 + "\0", "end.", "(end)", "\U0001f600" * 4, "ABC" * 40]
+    vocab += ["".join(rng.choice(list("abcé,\0"), rng.integers(1, 30))) for _ in range(400)]
+    for _ in range(12):
+        texts = [" ".join(rng.choice(vocab, 60)) for _ in range(4)] + ["", vocab[rng.integers(len(vocab))]]
+        assert _ids_by_word(coder, texts) == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_word_cache_is_small():
+    coder = packing.WordEncoder(_tokenizer())
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}x{chr(97 + i // 17576)}" for i in range(200_000)]
+    tracemalloc.start()
+    try:
+        for i in range(0, len(words), 20_000):
+            coder.encode(W.as_binary(pa.array([" ".join(words[i : i + 20_000])])))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 60 * len(words)
+
+
 @given(st.dictionaries(st.integers(1, 64), st.sampled_from([1, 2, 7, 5000]), max_size=20))
 @settings(max_examples=100, deadline=None)
 def test_patterns_hold_every_piece(histogram):
