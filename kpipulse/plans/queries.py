@@ -580,11 +580,12 @@ def stream_kpi(spark, sf_dir):
 
 @register("stream_bronze_raw", SQL["bronze_parse"])
 def stream_bronze_raw(spark, sf_dir):
-    """S2, P7, ST8: broker rows with binary key and value, one file of the
-    topic per micro-batch."""
+    """S2, P7, ST8: broker rows with binary key and value, a third of the
+    topic's files per micro-batch."""
     p = R.new_paths(spark)
-    R.land_topic(spark, sf_dir, p.topic, files=3, raw=True)
-    R.run_stream_pipeline(spark, sf_dir, p, stages=("bronze",), land=False, raw=True, max_files_per_trigger=1)
+    each = R.files_for(-(-R.contract_events(spark, sf_dir).count() // 3))
+    R.land_topic(spark, sf_dir, p.topic, files=3 * each, raw=True)
+    R.run_stream_pipeline(spark, sf_dir, p, stages=("bronze",), land=False, raw=True, max_files_per_trigger=each)
     return finish(R.read_table(spark, p.bronze).select(*_BRONZE_COLS, "ingest_time_ts", "ingest_date", "ingest_hour"))
 
 
@@ -612,15 +613,18 @@ PREPARED = {
 _RESENT = 1_000_000_000  # the fixture's offsets of second deliveries start here
 
 
-def _bronze_parts(spark, sf_dir, path: str, n: int) -> None:
-    """The Bronze rows as files in delivery order: first deliveries in ``n``
-    files, then all second ones in one."""
+def _bronze_parts(spark, sf_dir, path: str, n: int) -> int:
+    """The Bronze rows in delivery order: first deliveries in ``n`` parts, then
+    all second ones in one. Each part is as many files as the largest needs;
+    returns that number, which a micro-batch has to read to get one part."""
     bronze = P.stored_bronze(spark, sf_dir)
     last = bronze.filter(F.col("kafka_offset") < _RESENT).agg(F.max("kafka_offset")).scalar()
     part = F.when(F.col("kafka_offset") < _RESENT, F.floor(F.col("kafka_offset") * n / (last + 1))).otherwise(n)
     dealt = bronze.withColumn("part", part)
+    files = R.files_for(dealt.groupBy("part").count().agg(F.max("count")).first()[0] or 0)
     for k in range(n + 1):
-        dealt.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
+        R.write_files(dealt.filter(F.col("part") == k).drop("part"), path, files)
+    return files
 
 
 _LATE_PARTS, _LATE_DELAY = 3, "36 hours"
@@ -648,8 +652,8 @@ def stream_late_rows(spark, sf_dir):
 
     R.configure(spark)
     p = R.new_paths(spark)
-    _bronze_parts(spark, sf_dir, p.bronze, _LATE_PARTS)
-    bronze = R.J.parquet_stream(spark, p.bronze, R.J.BRONZE_READ_SCHEMA, max_files_per_trigger=1)
+    files = _bronze_parts(spark, sf_dir, p.bronze, _LATE_PARTS)
+    bronze = R.J.parquet_stream(spark, p.bronze, R.J.BRONZE_READ_SCHEMA, max_files_per_trigger=files)
     with ProgressLog(spark, f"{p.root}/progress"):
         good, bad = R.J.silver_queries(bronze, p.silver, p.quarantine, p.ckpt("s"), p.ckpt("q"), watermark=_LATE_DELAY, by_hour=False)
         R._finish(good, bad)
@@ -664,8 +668,8 @@ def stream_dq_counts(spark, sf_dir):
 
     R.configure(spark)
     p = R.new_paths(spark)
-    _bronze_parts(spark, sf_dir, p.bronze, 3)
-    bronze = R.J.parquet_stream(spark, p.bronze, R.J.BRONZE_READ_SCHEMA, max_files_per_trigger=1)
+    files = _bronze_parts(spark, sf_dir, p.bronze, 3)
+    bronze = R.J.parquet_stream(spark, p.bronze, R.J.BRONZE_READ_SCHEMA, max_files_per_trigger=files)
     with ProgressLog(spark, f"{p.root}/progress"):
         good, bad = R.J.silver_queries(bronze, p.silver, p.quarantine, p.ckpt("s"), p.ckpt("q"), by_hour=False)
         R._finish(good, bad)

@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from ..sources import files as FS
@@ -48,6 +49,29 @@ def new_paths(spark: SparkSession, name: str = "stream") -> StreamPaths:
     return StreamPaths(root, f"{root}/topic", f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/kpi")
 
 
+ROWS_PER_FILE = 250_000
+
+
+def files_for(rows: int) -> int:
+    """How many files ``rows`` make, at most ``ROWS_PER_FILE`` in each: a task
+    writes one file, so what it holds does not follow the size of the table."""
+    return max(1, -(-rows // ROWS_PER_FILE))
+
+
+def write_files(df: DataFrame, path: str, files: int) -> None:
+    """Append ``df`` to ``path`` as exactly ``files`` files of about as many
+    rows (empty ones if rows are few), so that a stream that reads so many per
+    micro-batch gets one call's rows at a time. Rows are dealt by their number:
+    copies go apart, and nothing is sorted as before a round-robin."""
+    spark = df.sparkSession
+    count = lambda: sum(f.endswith(".parquet") for f in FS.child_files(spark, path))
+    before = count()
+    dealt = df.withColumn("_row", F.monotonically_increasing_id()).repartition(files, "_row").drop("_row")
+    dealt.write.mode("append").parquet(path)
+    for _ in range(before + files - count()):
+        spark.createDataFrame([], df.schema).write.mode("append").parquet(path)
+
+
 def land_topic(spark: SparkSession, sf_dir: str, path: str, files: int | None = None, raw: bool = False) -> None:
     """The events as topic rows: the six-column envelope, or with ``raw`` the
     columns a broker gives (binary key and value)."""
@@ -62,8 +86,9 @@ def land_topic(spark: SparkSession, sf_dir: str, path: str, files: int | None =
             "kafka_timestamp AS timestamp",
         )
     if files:
-        df = df.repartition(files)
-    df.write.mode("append").parquet(path)
+        write_files(df, path, files)
+    else:
+        df.write.mode("append").parquet(path)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

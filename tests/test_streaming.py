@@ -217,3 +217,35 @@ def test_running_pipeline_with_processing_time_triggers(spark):
         for q in queries:
             q.stop()
     R.await_any(spark, 1)
+
+
+def test_written_files_are_counted(spark):
+    """The number asked for, of about as many rows: copies go apart, and few
+    rows leave empty files."""
+    root = R.new_paths(spark, "written").root
+    same = spark.range(1000).selectExpr("1 AS a", "CAST(NULL AS STRING) AS b")
+    for rows, files in ((same, 4), (same.limit(1), 3), (same.limit(0), 2)):
+        R.write_files(rows, f"{root}/t", files)
+    assert len([f for f in R.FS.child_files(spark, f"{root}/t") if f.endswith(".parquet")]) == 9
+    sizes = [r["count"] for r in spark.read.parquet(f"{root}/t").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 1001 and max(sizes) < 400
+
+
+def test_parts_of_many_files(spark, monkeypatch):
+    """A part of the topic or of Bronze is as many files as its rows need,
+    none of them large, and one micro-batch all the same."""
+    from kpipulse.plans import queries as Q
+
+    names = ("stream_bronze_raw", "stream_late_rows", "stream_dq_counts")
+    rows = lambda name: sorted(map(str, getattr(Q, name)(spark, SF001).collect()))
+    want = {name: rows(name) for name in names}
+    monkeypatch.setattr(R, "ROWS_PER_FILE", 50)
+    seen, new_paths = [], R.new_paths
+    monkeypatch.setattr(R, "new_paths", lambda *a: seen.append(new_paths(*a)) or seen[-1])
+    assert {name: rows(name) for name in names} == want
+    for p, at, parts, queries in zip(seen, ("topic", "bronze", "bronze"), (3, 4, 4), (["bronze"], ["s", "q"], ["s", "q"]), strict=True):
+        files = spark.read.parquet(getattr(p, at)).groupBy(F.input_file_name()).count().collect()
+        assert len(files) > 2 * parts and max(r["count"] for r in files) < 120
+        for q in queries:
+            batches = spark.read.json(f"{p.ckpt(q)}/sources/0/*").select("path", "batchId").where("path IS NOT NULL")
+            assert batches.select("batchId").distinct().count() == parts
