@@ -11,7 +11,7 @@ checkpoint folder.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,19 +115,25 @@ def state_partitions(spark: SparkSession, path: str, least: int = 4) -> int:
     return max(1, min(most, max(least, -(-FS.size(spark, path) // STATE_BYTES))))
 
 
+SPLIT_BYTES = 8 << 20
+
+
 @contextmanager
-def _shuffle_width(spark: SparkSession, width: int):
-    """The width that queries started inside get (a query keeps the width of
-    its first start)."""
-    key = "spark.sql.shuffle.partitions"
+def _set(spark: SparkSession, key: str, value: str):
+    """The setting that queries started inside get (a query keeps that of its
+    first start)."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(width))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def _shuffle_width(spark: SparkSession, width: int):
+    return _set(spark, "spark.sql.shuffle.partitions", str(width))
+
+
 def _finish(*queries) -> None:
     for q in queries:
         q.awaitTermination()
@@ -161,7 +167,9 @@ def run_stream_pipeline(
     paths = paths or new_paths(spark)
     if land:
         land_topic(spark, sf_dir, paths.topic, raw=raw)
-    with _shuffle_width(spark, state_partitions(spark, paths.topic)):
+    # a sink sorts what a task read by partition folder: small splits, whatever a micro-batch holds
+    splits = _set(spark, "spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES)) if raw else nullcontext()
+    with _shuffle_width(spark, state_partitions(spark, paths.topic)), splits:
         _run_stages(spark, paths, stages, width, watermark, dedupe, max_files_per_trigger, by_hour, detector, raw, compact_every)
     return paths
 
