@@ -13,8 +13,8 @@ bucket), and the buckets of a length get offsets by a running sum of counts.
 Tokenizing: the words between ASCII white space are encoded apart, each
 distinct one once per batch and worker (bounded cache), because the
 tokenizer's normaliser and pre-tokenizer never look across white space. The
-cache is sorted arrays of fixed width, a fifth of the memory that a dict of as
-many words takes; only words longer than ``KEY_BYTES`` are in a dict.
+cache is sorted arrays of fixed width, which take less memory than a dict of as
+many words; only words longer than ``KEY_BYTES`` are in a dict.
 
 Defined results for odd input: null or empty text is a document of the end id
 only; a null ``doc_id`` is kept; rows that repeat a ``doc_id`` are packed
