@@ -42,9 +42,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.drop_template_lines(docs)
-    emptied = (F.col("n_dropped") > 0) & (F.regexp_replace("text", f"[\\n{lines.SPACE}]+", "") == "")
-    left = out.filter(~F.coalesce(emptied, F.lit(False)))
+    left = lines.drop_template_lines(docs, keep_emptied=False)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
     return left.select(*docs.columns)

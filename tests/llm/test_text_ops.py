@@ -491,6 +491,24 @@ def test_line_dedup_random(spark):
     _dropped(spark, rows + rows[:20])
 
 
+def test_line_dedup_cuts_each_text_once(spark):
+    """The pipeline's stage builds the new text in one place, and cuts the old
+    one outside of what runs per line; documents left without a word go."""
+    import corpus_pipeline
+
+    word = lambda i: f"own {chr(97 + i)}\n \n{BODY}"
+    rows = [(i, word(i), 7) for i in range(6)] + [(10, BODY, 7), (11, f" \n{BODY}\n\t", 7), (12, " \n", 7), (13, "", 7), (14, None, 7), (None, f"x\n{BODY}", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    out = corpus_pipeline.line_dedup(spark, docs, "")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join(") == 1 and "element_at(split(" not in plan
+    want = {i: (f"own {chr(97 + i)}\n ", 7) for i in range(6)} | {12: (" \n", 7), 13: ("", 7), 14: (None, 7), None: (f"x\n{BODY}", 7)}
+    want |= {i: (t, len(t)) for i, (t, _) in want.items() if i is not None and i < 6}
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()} == want
+    left = lines.drop_template_lines(docs)
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {i: t for i, (t, _) in want.items()} | {10: "", 11: " \n\t"}
+
+
 def test_line_dedup_odd(spark, odd, none):
     got = lines.drop_template_lines(odd).collect()
     assert Counter((r["doc_id"], r["text"], r["doc"], r["kept"]) for r in got) == Counter((i, t, "doc", "kept") for i, t in ODD)
