@@ -58,31 +58,45 @@ def shingles(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     h1, h2, starts = hash_all(texts, lower=True)
     counts = np.diff(starts)
     at = W.window_starts(starts, size)
-    one, two = [W.window_hashes(h1, size)[at]], [W.window_hashes(h2, size)[at]]
-    docs = [np.searchsorted(starts, at, side="right") - 1]
-    for n in range(1, size):  # the whole of a shorter text
-        short = np.flatnonzero(counts == n)
-        if len(short):
-            tag = np.full(len(short), n, np.uint64)
-            one.append(W.mix(W.window_hashes(h1, n)[starts[short]], tag))
-            two.append(W.mix(W.window_hashes(h2, n)[starts[short]], tag))
-            docs.append(short)
-    one, two, doc = np.concatenate(one), np.concatenate(two), np.concatenate(docs)
+    # the whole of shorter texts: their numbers, by number of words
+    short = [(n, np.flatnonzero(counts == n)) for n in range(1, size)]
+    short = [(n, docs) for n, docs in short if len(docs)]
+
+    def runs(h: np.ndarray) -> np.ndarray:
+        whole = [W.mix(W.window_hashes(h, n)[starts[docs]], np.full(len(docs), n, np.uint64)) for n, docs in short]
+        windows = W.window_hashes(h, size)[at]
+        return np.concatenate([windows, *whole]) if whole else windows
+
+    # a chunk's arrays are large: none is kept longer than needed
+    one = runs(h1)
+    del h1
+    two = runs(h2)
+    del h2
+    doc = np.searchsorted(starts, at, side="right") - 1
+    doc = np.concatenate([doc, *(docs for _, docs in short)]) if short else doc
+    del at
     order = np.lexsort((two, one, doc)) if len(counts) >> 16 else _order(doc, one)
-    one, two, doc = one[order], two[order], doc[order]
+    one = one[order]
+    two = two[order]
+    doc = doc[order]
+    del order
     new = np.ones(len(one), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    one, two, doc = one[new], two[new], doc[new]
-    return one, two, np.searchsorted(doc, np.arange(len(counts) + 1))
+    one = one[new]
+    two = two[new]
+    return one, two, np.searchsorted(doc[new], np.arange(len(counts) + 1))
 
 
 def _order(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
     """By document, then hash: one sort on 16 + 48 bits, and a full one in the
     rare case that 48 bits of different hashes agree."""
-    key = (doc.astype(np.uint64) << np.uint64(48)) | (h >> np.uint64(16))
+    key = doc.astype(np.uint64)
+    key <<= np.uint64(48)
+    key |= h >> np.uint64(16)
     order = np.argsort(key)
-    tie = np.diff(key[order]) == 0
-    if (h[order][1:][tie] != h[order][:-1][tie]).any():
+    key = key[order]
+    tie = np.flatnonzero(key[1:] == key[:-1])
+    if (h[order[tie + 1]] != h[order[tie]]).any():
         return np.lexsort((h, doc))
     return order
 
@@ -151,6 +165,8 @@ def _segments(reps: DataFrame, n_fragments: int) -> DataFrame:
                     out["fragment"].append(int(part[a]))
                     out["tokens"].append(h[a:b].tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=_CUT)
+        batch = out = tokens = None
+        W.release()
 
     def number(table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, np.uint64) for x in table["tokens"].to_pylist()]

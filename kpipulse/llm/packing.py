@@ -189,6 +189,8 @@ def pieces(docs: DataFrame, tokenizer: str, max_len: int, end_id: int, keep_ids:
             texts = W.as_binary(batch["text"])
             for i, j in W.slices(np.diff(W.raw(texts)[1]), BYTES_AT_ONCE):
                 yield from _cut(batch["doc_id"].slice(i, j - i), *encoder.encode(texts.slice(i, j - i)))
+        batch = texts = None
+        W.release()
 
     def _cut(ids: pa.Array, tokens: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         closed = np.insert(tokens, starts[1:], end_id).astype("<u4")

@@ -127,6 +127,8 @@ def statistics(docs: DataFrame) -> DataFrame:
                 rows = batch.slice(i, j - i)
                 columns = [*rows.columns, *(pa.array(found[s].astype(np.int64)) for s in STATISTICS)]
                 yield pa.RecordBatch.from_arrays(columns, [*kept, *STATISTICS])
+        batch = texts = rows = columns = None
+        W.release()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema.fields]
     return docs.select(*kept).mapInArrow(run, ", ".join([*fields, *(f"{s} long" for s in STATISTICS)]))

@@ -87,6 +87,7 @@ def repeated(chunks: DataFrame, items: Items, shape: Shape) -> DataFrame:
                 out["slice"].append(int(part[a]))
                 out["cells"].append(pack(low[a:b]))
                 out["twice"].append(np.packbits(counts[a:b] > 1).tobytes())
+            del cells, counts, part, low  # before the next row makes its own
         return pa.table(out, schema=_PIECE)
 
     def merge(table: pa.Table) -> pa.Table:
@@ -127,4 +128,5 @@ def read_flags(answer: pa.Table, shape: Shape, h1: np.ndarray, h2: np.ndarray) -
             raise ValueError("the chunk differs from the one that was counted")
         flags = np.concatenate([np.unpackbits(np.frombuffer(bits[i], np.uint8), count=n) for i, n in zip(mine, sizes, strict=True)])
         hot &= flags[place].astype(bool)
+        del cells, place, part, flags  # before the next row makes its own
     return hot

@@ -123,6 +123,12 @@ def hash_words(texts: pa.Array, lower: bool = False, lanes: int = 2) -> tuple[li
     return out, starts
 
 
+def release() -> None:
+    """Gives back the memory that Arrow keeps for later: an idle worker would
+    hold it beside the stages that follow."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose lengths add up to about ``most``."""
     total = np.concatenate([[0], np.cumsum(lengths)])

@@ -520,6 +520,24 @@ def test_line_dedup_odd(spark, odd, none):
     assert lines.drop_template_lines(none).count() == 0
 
 
+def test_jaccard_chunk_memory():
+    """A chunk's shingles take less than nine arrays of a 64-bit number per
+    word at once (eleven when all were kept to the end)."""
+    rng = np.random.default_rng(3)
+    n, words = 400, 1500
+    texts = [" ".join(map(str, rng.integers(0, 1 << 30, words))) for _ in range(n)] + ["a b c", "", "a"]
+    table = pa.table({"doc": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    jaccard.shingles(table, 5)  # the powers that all chunks share are made once
+    tracemalloc.start()
+    try:
+        one, two, starts = jaccard.shingles(table, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.diff(starts).tolist() == [words - 4] * n + [1, 0, 1] and len(one) == len(two) == n * (words - 4) + 2
+    assert peak < 9 * 8 * n * words, peak / (8 * n * words)
+
+
 # --- quality rules ---------------------------------------------------------
 
 
