@@ -13,8 +13,11 @@ bucket), and the buckets of a length get offsets by a running sum of counts.
 Tokenizing: the words between ASCII white space are encoded apart, each
 distinct one once per batch and worker (bounded cache), because the
 tokenizer's normaliser and pre-tokenizer never look across white space. The
-cache is sorted arrays of fixed width, which take less memory than a dict of as
-many words; only words longer than ``KEY_BYTES`` are in a dict.
+cache is arrays of fixed width sorted by a hash of the word, which take less
+memory than a dict of as many words; only words longer than ``KEY_BYTES``, and
+those whose hash another word has, are in a dict. New words of letters go
+through the tokenizer many at a time, as one text; where each word's ids end
+shows in the end-of-word suffix of its last one.
 
 Defined results for odd input: null or empty text is a document of the end id
 only; a null ``doc_id`` is kept; rows that repeat a ``doc_id`` are packed
@@ -42,7 +45,7 @@ BYTES_AT_ONCE = 1 << 20
 CACHED_WORDS = 1_000_000
 CACHED_LONG_BYTES = 16 << 20
 KEY_BYTES = 15
-LEARNT_AT_ONCE = 4096
+LEARNT_AT_ONCE = 1024
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 RANK_BUCKETS = 256
 
@@ -53,23 +56,23 @@ class WordEncoder:
     """Ids of white-space separated words, with a cache of at most
     ``CACHED_WORDS`` words (one batch's, if it has more).
 
-    ``ids`` and ``ends`` hold the ids of the cached words by slot; ``keys``
-    (sorted) and ``slots`` find the words of at most ``KEY_BYTES`` bytes,
-    ``long`` the others."""
+    ``ids`` and ``ends`` hold the ids of the cached words by slot; ``hashes``
+    (sorted), ``keys`` and ``slots`` find the words of at most ``KEY_BYTES``
+    bytes, ``others`` the rest."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = self._letters_only(Tokenizer.from_file(path))
+        self.letters, self.closing = self._letters_only(Tokenizer.from_file(path))
         self._reset(0)
 
     def _reset(self, words: int) -> None:
         """An empty cache with room for a batch of ``words``."""
-        self.keys, self.slots = np.zeros(0, f"S{KEY_BYTES + 1}"), np.zeros(0, np.int32)
-        self.long: dict[bytes, int] = {}
-        self.long_bytes = self.n = 0
+        self.hashes, self.keys, self.slots = np.zeros(0, np.uint64), np.zeros((0, 2), np.uint64), np.zeros(0, np.int32)
+        self.others: dict[bytes, int] = {}
+        self.other_bytes = self.n = 0
         self.ids = np.zeros(1 << 20, np.uint32)
         self.ends = np.zeros(max(words, CACHED_WORDS) + 1, np.int64)
 
@@ -81,58 +84,77 @@ class WordEncoder:
 
     @staticmethod
     def _letters_only(tokenizer):
-        """The same tokenizer without the steps that change nothing in a word
-        of letters in composed form: normal form, white space and the split
-        into letters and others. None if it isn't built of these steps."""
+        """The same tokenizer for words of letters in composed form, or of
+        marks, between single spaces: without the steps that change nothing in
+        these (normal form, white space, the split into letters and others).
+        And which ids end a word. Nones if it isn't built of these steps, or
+        some word's last id may not show its end."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
         steps = json.loads(tokenizer.to_str())
         norm, pre = steps["normalizer"] or {}, steps["pre_tokenizer"] or {}
         names = [x["type"] for x in norm.get("normalizers", [])], [x["type"] for x in pre.get("pretokenizers", [])]
         if names != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
-            return None
-        steps["normalizer"], steps["pre_tokenizer"] = norm["normalizers"][2], pre["pretokenizers"][1]
-        return type(tokenizer).from_str(json.dumps(steps))
-
-    def _plain(self, word: str) -> bool:
-        return word.isalpha() and (word.isascii() or (word.lower().isalpha() and unicodedata.is_normalized("NFC", word)))
-
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word: letters by the short way, with the marks at their
-        end (which the split always cuts off) added; other words in full."""
-        out: list[list[int]] = [[]] * len(words)
-        whole, cores = [], []
-        for i, word in enumerate(words):
-            core = word.rstrip(MARKS)
-            (cores if self.letters is not None and self._plain(core) else whole).append((i, core))
-        full = self.tokenizer.encode_batch_fast([words[i] for i, _ in whole], add_special_tokens=False)
-        for (i, _), coded in zip(whole, full, strict=True):
-            out[i] = coded.ids
-        if cores:
-            short = self.letters.encode_batch_fast([c for _, c in cores], add_special_tokens=False)
-            ends = [words[i][len(core) :] for i, core in cores]
-            marks = {"": []} | {e: self.tokenizer.encode(e, add_special_tokens=False).ids for e in set(ends) if e}
-            for (i, _), coded, end in zip(cores, short, ends, strict=True):
-                out[i] = coded.ids + marks[end]
-        return out
+            return None, None
+        vocab, suffix = tokenizer.get_vocab(), steps["model"].get("end_of_word_suffix")
+        if not suffix or any(c + suffix not in vocab for c in ByteLevel.alphabet()):
+            return None, None
+        # bytes become characters for the whole text at once, the space a letter that no other byte becomes
+        steps["normalizer"]["normalizers"] = [norm["normalizers"][2], {"type": "ByteLevel"}]
+        steps["pre_tokenizer"] = {"type": "CharDelimiterSplit", "delimiter": ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")[0][0]}
+        closing = np.zeros(max(vocab.values()) + 1, bool)
+        closing[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return type(tokenizer).from_str(json.dumps(steps)), closing
+
+    def _plain(self, cores: list[str]) -> np.ndarray:
+        """Which words are letters that stay so in lower case, and composed."""
+        if self.letters is None:
+            return np.zeros(len(cores), bool)
+        plain = np.fromiter(map(str.isalpha, cores), bool, len(cores))
+        beyond = [i for i in np.flatnonzero(plain).tolist() if not cores[i].isascii()]
+        kept = lambda text: text.lower().replace(" ", "").isalpha() and unicodedata.is_normalized("NFC", text)
+        if beyond and not kept(" ".join([cores[i] for i in beyond])):
+            plain[beyond] = [kept(cores[i]) for i in beyond]
+        return plain
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the words, their ids in it and how many each has:
+        letters first, as one text, with the marks at a word's end (which the
+        split always cuts off) as a word of their own; then other words in
+        full, each apart."""
+        cores = [w.rstrip(MARKS) for w in words]
+        plain = self._plain(cores)
+        short, whole = np.flatnonzero(plain), np.flatnonzero(~plain)
+        ids, sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(short):
+            marked = np.array([len(cores[i]) < len(words[i]) for i in short.tolist()])
+            text = " ".join([f"{cores[i]} {words[i][len(cores[i]) :]}" if m else cores[i] for i, m in zip(short.tolist(), marked.tolist(), strict=True)])
+            ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            sizes = np.diff(ends[np.cumsum(1 + marked) - 1], prepend=0)
+        full = [x.ids for x in self.tokenizer.encode_batch_fast([words[i] for i in whole.tolist()], add_special_tokens=False)]
+        flat = np.array([x for one in full for x in one], np.uint32)
+        return np.append(short, whole), np.append(ids, flat), np.append(sizes, np.array([len(x) for x in full], np.int64))
 
     def _learn(self, fresh: list[bytes]) -> np.ndarray:
         """The slots of new words, after putting their ids there."""
-        first = self.n
+        out = np.empty(len(fresh), np.int32)
         for i in range(0, len(fresh), LEARNT_AT_ONCE):
-            lists = self._ids([w.decode() for w in fresh[i : i + LEARNT_AT_ONCE]])
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((x for one in lists for x in one), np.uint32, int(sizes.sum()))
+            order, flat, sizes = self._ids([w.decode() for w in fresh[i : i + LEARNT_AT_ONCE]])
             at = self.ends[self.n]
             while at + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[at : at + len(flat)] = flat
-            self.ends[self.n + 1 : self.n + 1 + len(lists)] = at + np.cumsum(sizes)
-            self.n += len(lists)
-        return np.arange(first, self.n, dtype=np.int32)
+            self.ends[self.n + 1 : self.n + 1 + len(order)] = at + np.cumsum(sizes)
+            out[i + order] = np.arange(self.n, self.n + len(order))
+            self.n += len(order)
+        return out
 
     @staticmethod
-    def _keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Which words are short, and the keys of these: the bytes, padded,
-        and the length, so that different words have different keys."""
+    def _keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words are short, ordered by hash, their hashes, and their
+        keys: the bytes, padded, and the length, so that different words have
+        different keys."""
         body, offsets = W.raw(words)
         size = np.diff(offsets)
         short = np.flatnonzero(size <= KEY_BYTES)
@@ -141,36 +163,45 @@ class WordEncoder:
         within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         key[np.repeat(np.arange(len(short)), n), within] = body[np.repeat(offsets[short], n) + within]
         key[:, KEY_BYTES] = n
-        return short, key.view(f"S{KEY_BYTES + 1}").ravel()
+        key = key.view(np.uint64)
+        hashes = W.mix(key[:, 0], key[:, 1])
+        order = np.argsort(hashes)
+        return short[order], hashes[order], key[order]
 
     def _slots(self, words: pa.Array) -> np.ndarray:
         """The slots of distinct words; new ones are learnt."""
         out = np.full(len(words), -1, np.int32)
-        short, key = self._keys(words)
-        at = np.searchsorted(self.keys, key)
-        there = np.flatnonzero(at < len(self.keys))
-        there = there[self.keys[at[there]] == key[there]]
-        out[short[there]] = self.slots[at[there]]
-        rest = np.setdiff1d(np.arange(len(words)), short, assume_unique=True)
+        short, hashes, keys = self._keys(words)
+        at = np.searchsorted(self.hashes, hashes)
+        held = np.flatnonzero(at < len(self.hashes))
+        held = held[self.hashes[at[held]] == hashes[held]]
+        there = (self.keys[at[held]] == keys[held]).all(axis=1)
+        out[short[held[there]]] = self.slots[at[held[there]]]
+        # a hash is held once: words that share it with another are looked up with the long ones
+        new = np.append(True, hashes[1:] != hashes[:-1])[: len(short)]
+        twin = ~new
+        twin[held[there]] = new[held] = False
+        twin[held[~there]] = True
+        rest = np.append(np.setdiff1d(np.arange(len(words)), short, assume_unique=True), short[twin])
         texts = words.take(pa.array(rest)).to_pylist()
-        out[rest] = [self.long.get(w, -1) for w in texts]
+        out[rest] = [self.others.get(w, -1) for w in texts]
         fresh = np.flatnonzero(out < 0)
         if not len(fresh):
             return out
         out[fresh] = self._learn(words.take(pa.array(fresh)).to_pylist())
-        new = np.setdiff1d(np.arange(len(short)), there, assume_unique=True)
-        new = new[np.argsort(key[new])]
-        self.keys, self.slots = np.insert(self.keys, at[new], key[new]), np.insert(self.slots, at[new], out[short[new]])
+        self.hashes = np.insert(self.hashes, at[new], hashes[new])
+        self.keys = np.insert(self.keys, at[new], keys[new], axis=0)
+        self.slots = np.insert(self.slots, at[new], out[short[new]])
         for w, slot in zip(texts, out[rest].tolist(), strict=True):
-            if w not in self.long:
-                self.long[w] = slot
-                self.long_bytes += len(w)
+            if w not in self.others:
+                self.others[w] = slot
+                self.other_bytes += len(w)
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the first id of each text."""
         words = W.split_words(texts)
-        if self.n + len(words.vocab) > len(self.ends) - 1 or self.long_bytes > CACHED_LONG_BYTES:
+        if self.n + len(words.vocab) > len(self.ends) - 1 or self.other_bytes > CACHED_LONG_BYTES:
             self._reset(len(words.vocab))
         slot = self._slots(words.vocab)[words.codes]
         begin, size = self.ends[slot], self.ends[slot + 1] - self.ends[slot]

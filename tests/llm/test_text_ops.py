@@ -121,6 +121,56 @@ def test_packing_word_cache(monkeypatch):
         assert _ids_by_word(coder, texts) == [tk.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_packing_letters_and_marks():
+    """Ids of words with letters that change, join or split on the way are
+    those of the library."""
+    from tokenizers import Tokenizer
+
+    tk, coder = Tokenizer.from_file(_tokenizer()), packing.WordEncoder(_tokenizer())
+    rng = np.random.default_rng(4)
+    chars = list("aBz'.,&|<>=1") + ["'s", "\u0301", "\u0307", "\u0338", "É", "İ", "ı", "ß", "Σ", "σ", "ς", "Ġ", "Ä", "ł", "가", "ᄀ", "ᅡ", "中", "ﬁ", "Ω", "\u2126", "\u00a0", "<|endoftext|>"]
+    vocab = ["".join(rng.choice(chars, rng.integers(1, 9))) for _ in range(6000)] + [c * n for c in chars for n in (1, 2, 20)]
+    texts = [" ".join(vocab[i : i + 50]) for i in range(0, len(vocab), 50)]
+    assert _ids_by_word(coder, texts) == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_words_of_one_hash(monkeypatch):
+    """Words whose hashes agree keep their own ids, in one batch and later."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(W, "mix", lambda a, b: (a ^ b) % np.uint64(5))
+    tk, coder = Tokenizer.from_file(_tokenizer()), packing.WordEncoder(_tokenizer())
+    rng = np.random.default_rng(5)
+    vocab = ["".join(rng.choice(list("abcdé."), rng.integers(1, 20))) for _ in range(200)]
+    for n in (1, 2, 3, 60, 60, 60):
+        texts = [" ".join(rng.choice(vocab, n)) for _ in range(4)]
+        assert _ids_by_word(coder, texts) == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(coder.hashes) == 5
+
+
+def test_packing_learns_many_words_at_once():
+    """New words of letters, with marks at their end or not, go through the
+    tokenizer many in one text."""
+    coder, given = packing.WordEncoder(_tokenizer()), []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+        def encode(self, text, **how):
+            given.append(text)
+            return self.tokenizer.encode(text, **how)
+
+    coder.letters, coder.tokenizer = Counted(coder.letters), Counted(coder.tokenizer)
+    words = [f"{''.join(x)}{end}" for x in itertools.product("abcdefghij", repeat=3) for end in ("", ".", "é,", "&&&")]
+    coder.encode(W.as_binary(pa.array([" ".join(words)])))
+    assert len(given) <= len(words) / 100
+
+
 def test_packing_word_cache_is_small():
     coder = packing.WordEncoder(_tokenizer())
     words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}x{chr(97 + i // 17576)}" for i in range(200_000)]
